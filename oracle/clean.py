@@ -14,7 +14,7 @@ def q(s):
 
 
 def strip(x):
-    return "regexp_replace(" + x + r", '^[\s\x{00a0}]+|[\s\x{00a0}]+$', '', 'g')"
+    return f"trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11) || chr(160))"
 
 
 def clean_text(x):

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from storeloom.contracts import NA_TOKENS, TEXT_NULL_TOKENS
 
-# Leading/trailing whitespace including no-break space (Java regex).
-STRIP_PATTERN = r"^[\s\u00a0]+|[\s\u00a0]+$"
+# Characters removed from both ends by ``strip``: ASCII whitespace and no-break space.
+WHITESPACE = " \t\n\r\f\u000b\u00a0"
 
 
 def _col(c) -> Column:
@@ -17,7 +17,7 @@ def _col(c) -> Column:
 
 def strip(c) -> Column:
     """Remove leading and trailing whitespace (tab, newline, nbsp too)."""
-    return F.regexp_replace(_col(c), STRIP_PATTERN, "")
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def null_if_token(c, tokens=TEXT_NULL_TOKENS) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from storeloom.operators.mapping import standardize_columns
 from storeloom.plans import clean as C
 from storeloom.plans import marts as M
 from storeloom.sources import standins as S
+from storeloom.sources.staging import staged
 
 
 def _staged(df: DataFrame, keep=("_ordinal",)) -> DataFrame:
@@ -21,16 +24,24 @@ def _staged(df: DataFrame, keep=("_ordinal",)) -> DataFrame:
     return df.select(*[X.reader_nulls(c).alias(c) if c not in keep else F.col(c) for c in df.columns])
 
 
+def _version(sf, exprs):
+    return [os.path.abspath(sf), repr(exprs)]
+
+
 def sales_staged(spark, sf):
-    return _staged(S.sales_raw(spark, sf))
+    """The sales feed as landed in staging (S1 tokens already NULL)."""
+    return staged(spark, "sales", lambda: _staged(S.sales_raw(spark, sf)),
+                  *_version(sf, S.sales_raw_exprs(S.SPARK)))
 
 
 def ads_staged(spark, sf):
-    return _staged(S.ads_raw(spark, sf))
+    return staged(spark, "ads", lambda: _staged(S.ads_raw(spark, sf)),
+                  *_version(sf, S.ads_raw_exprs(S.SPARK)))
 
 
 def weather_staged(spark, sf):
-    return _staged(S.weather_raw(spark, sf))
+    return staged(spark, "weather", lambda: _staged(S.weather_raw(spark, sf)),
+                  *_version(sf, S.weather_raw_exprs(S.SPARK)))
 
 
 def clean_sales(spark, sf):
@@ -188,3 +199,198 @@ def q_sales_weather(spark, sf):
     clean = clean_sales(spark, sf)
     fact = FX.sales_fact(clean)
     return M.sales_weather(fact, D.dim_branch(clean), D.dim_product(clean), weather_fact(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks
+# ---------------------------------------------------------------------------
+
+def _scratch(spark, name):
+    """A fresh folder under the shared checkpoint folder for a query's files."""
+    import uuid
+    from storeloom.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/storeloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def token_rows(spark, sf):
+    """customer rows with a note column cycling through NULL tokens and kept look-alikes."""
+    from storeloom.contracts import NA_TOKENS
+    tokens = list(NA_TOKENS) + ["na", "none", "-", " "]
+    arms = " ".join(f"WHEN {i} THEN {S._q(t)}" for i, t in enumerate(tokens))
+    note = f"CASE c_custkey % {len(tokens) + 1} {arms} ELSE c_mktsegment END"
+    return (spark.read.parquet(f"{sf}/customer.parquet")
+            .selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS name", f"{note} AS note"))
+
+
+def q_text_scan_nulls(spark, sf):
+    from storeloom.sources.text import read_text_table, write_text_table
+    path = _scratch(spark, "customers-csv")
+    write_text_table(token_rows(spark, sf), path)
+    return read_text_table(spark, path, contract=["id", "name", "note", "extra"])
+
+
+def feed_documents(spark, sf):
+    """One document per region x month: parallel arrays of daily order stats, sorted by day.
+
+    Odd months lose the last precipitation value, so their arrays differ in length.
+    """
+    daily = (S.weather_join(spark, sf)
+             .groupBy(F.expr(S.region_name("n_regionkey")).alias("region"),
+                      F.to_date("o_orderdate").alias("day"))
+             .agg(F.count(F.lit(1)).cast("double").alias("tm"),
+                  F.max(F.col("o_custkey") % 40).cast("double").alias("tx"),
+                  (F.sum(F.col("o_orderkey") % 100) / 4.0).alias("rain")))
+    docs = (daily.groupBy("region", F.date_format("day", "yyyy-MM").alias("month"))
+            .agg(F.sort_array(F.collect_list(F.struct("day", "tm", "tx", "rain"))).alias("days")))
+    odd = (F.month(F.to_date(F.concat(F.col("month"), F.lit("-01")))) % 2) == 1
+    rain = F.transform("days", lambda x: x["rain"])
+    return docs.select("region", F.struct(
+        F.transform("days", lambda x: F.date_format(x["day"], "yyyy-MM-dd")).alias("time"),
+        F.transform("days", lambda x: x["tm"]).alias("temperature_2m_mean"),
+        F.transform("days", lambda x: x["tx"]).alias("temperature_2m_max"),
+        F.when(odd, F.slice(rain, 1, F.size(rain) - 1)).otherwise(rain).alias("precipitation_sum"),
+    ).alias("daily"))
+
+
+def q_feed_arrays(spark, sf):
+    from storeloom.sources.feed import flatten, read_feed
+    path = _scratch(spark, "weather-feed")
+    feed_documents(spark, sf).write.mode("overwrite").partitionBy("region").json(path)
+    return flatten(read_feed(spark, path))
+
+
+# ---------------------------------------------------------------------------
+# upserts
+# ---------------------------------------------------------------------------
+
+LOADED_AT = "2020-01-01 00:00:00"
+
+
+def orders_target(spark, sf):
+    """Orders loaded earlier: everything dated before 1999."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")).select(
+        F.col("o_orderkey").alias("order_key"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("total"),
+        F.to_date("o_orderdate").alias("order_date"),
+        F.lit(LOADED_AT).cast("timestamp").alias("created_at"))
+
+
+def orders_batch(spark, sf):
+    """A re-delivered feed overlapping the last year: changed totals, some NULL statuses."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return o.where(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).select(
+        F.col("o_orderkey").alias("order_key"),
+        F.when(F.col("o_orderkey") % 13 != 0, F.lower("o_orderstatus")).alias("status"),
+        (F.col("o_totalprice").cast("decimal(18,2)") + F.lit(1).cast("decimal(18,2)")).cast("decimal(18,2)").alias("total"),
+        F.to_date("o_orderdate").alias("order_date"))
+
+
+def _upsert_view(df):
+    return df.select("order_key", "status", "total", "order_date",
+                     (F.col("created_at") == F.lit(LOADED_AT).cast("timestamp")).alias("kept_created_at"))
+
+
+def q_upsert_update(spark, sf):
+    from storeloom.operators.upsert import upsert_update
+    return _upsert_view(upsert_update(orders_target(spark, sf), orders_batch(spark, sf), ["order_key"]))
+
+
+def q_upsert_ignore(spark, sf):
+    from storeloom.operators.upsert import insert_if_absent
+    return _upsert_view(insert_if_absent(orders_target(spark, sf), orders_batch(spark, sf), ["order_key"]))
+
+
+def q_upsert_idempotent(spark, sf):
+    from storeloom.operators.upsert import upsert_update
+    batch = orders_batch(spark, sf)
+    once = upsert_update(orders_target(spark, sf), batch, ["order_key"])
+    return _upsert_view(upsert_update(once, batch, ["order_key"]))
+
+
+# ---------------------------------------------------------------------------
+# constraints
+# ---------------------------------------------------------------------------
+
+def q_fk_violations(spark, sf):
+    """Line items whose part is missing from a part dimension that lacks the largest sizes."""
+    from storeloom.operators.constraints import fk_violations
+    li = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey")
+    dim = spark.read.parquet(f"{sf}/part.parquet").where(F.col("p_size") <= 45).select("p_partkey")
+    return fk_violations(li, "l_partkey", dim, "p_partkey")
+
+
+def q_constraint_report(spark, sf):
+    from storeloom.contracts import SALES_FACT_DECIMALS, VARCHAR_LIMITS
+    from storeloom.operators.constraints import key_check, row_checks, union_all
+    typed = C.typed_sales(sales_staged(spark, sf))
+    kept = typed.where(F.col("drop_reason").isNull())
+    clean = C.clean_sales(sales_staged(spark, sf))
+    fact = FX.sales_fact(clean)
+    src = dict(S_FACT_SOURCES)
+    lengths = {c: n for (t, c), n in VARCHAR_LIMITS.items() if t == "fact_marketing_sales"}
+    overflow = {dst: (src[dst], f"decimal({p},{s})") for dst, (p, s) in SALES_FACT_DECIMALS.items()}
+    renamed = clean.select(*[F.col(s).alias(d) for s, d in S_FACT_SOURCES],
+                           *[F.col(s).alias(f"src_{d}") for s, d in S_FACT_SOURCES if d in overflow])
+    return union_all([
+        row_checks(renamed, "fact_marketing_sales", not_null=["order_id"], lengths=lengths,
+                   overflow={d: (f"src_{d}", t) for d, (_, t) in overflow.items()}),
+        row_checks(fact, "fact_marketing_sales", not_null=["revenue"]),
+        key_check(fact, "fact_marketing_sales", ["order_id"]),
+        key_check(kept, "sales_batch", ["order_id"], check="batch_unique_key"),
+    ])
+
+
+from storeloom.contracts import SALES_FACT_COLUMNS as S_FACT_SOURCES  # noqa: E402
+
+
+# ---------------------------------------------------------------------------
+# upload gate
+# ---------------------------------------------------------------------------
+
+def flagged_sales(spark, sf):
+    from storeloom.operators import quality as V
+    return V.flag(sales_staged(spark, sf))
+
+
+def q_quality_report(spark, sf):
+    from storeloom.operators import quality as V
+    return V.report(flagged_sales(spark, sf))
+
+
+def q_quality_samples(spark, sf):
+    from storeloom.operators import quality as V
+    return V.samples(flagged_sales(spark, sf))
+
+
+def q_quality_split(spark, sf):
+    from storeloom.operators import quality as V
+    clean, rejected = V.split(flagged_sales(spark, sf))
+    cols = ["OrderID", "Date", "Revenue", "Category", "Region"]
+    return (clean.select(*cols, F.lit("clean").alias("status"), F.lit("").alias("failed_rules"))
+            .unionByName(rejected.select(*cols, F.lit("rejected").alias("status"),
+                                         F.concat_ws(",", "failed_rules").alias("failed_rules"))))
+
+
+def q_preview(spark, sf):
+    """L1: the first ten rows of the file and of its clean subset, in file order."""
+    from storeloom.operators import quality as V
+    flagged = flagged_sales(spark, sf)
+    clean, _ = V.split(flagged)
+    cols = ["OrderID", "Date", "Region", "Product", "Revenue"]
+    raw10 = flagged.orderBy("_ordinal").limit(10).select(F.lit("raw").alias("frame"), *cols)
+    clean10 = clean.orderBy("_ordinal").limit(10).select(F.lit("clean").alias("frame"), *cols)
+    return raw10.unionByName(clean10)
+
+
+# ---------------------------------------------------------------------------
+# the whole load
+# ---------------------------------------------------------------------------
+
+def q_end_to_end_load(spark, sf):
+    """R2 then R1 into a fresh warehouse: gate the sales feed (auto-filter), load all three feeds."""
+    from storeloom.plans import load as L
+    to_load, _, _ = L.gate(sales_staged(spark, sf), auto_filter=True)
+    wh = L.run_load(spark, _scratch(spark, "warehouse"), to_load,
+                    ads_staged(spark, sf), weather_staged(spark, sf))
+    return L.table_counts(wh, L.ALL_TABLES)

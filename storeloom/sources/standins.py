@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeloom.sources.tables import read_table
 from storeloom.contracts import (
     CAMPAIGN_TYPE_MAP, SALES_RAW_COLUMNS, STAGE_ORDER, VALID_CATEGORIES, VALID_REGIONS,
     VALID_SEGMENTS,
@@ -92,7 +93,8 @@ def region_name(regionkey: str) -> str:
 
 def _pad(x: str, key: str) -> str:
     """Surround with space+tab / nbsp on every fifth key (strip test)."""
-    return f"CASE WHEN {key} % 5 = 0 THEN concat(' ', chr(9), {x}, chr(160)) ELSE {x} END"
+    return (f"concat(CASE WHEN {key} % 5 = 0 THEN concat(' ', chr(9)) ELSE '' END, {x}, "
+            f"CASE WHEN {key} % 5 = 0 THEN chr(160) ELSE '' END)")
 
 
 # ---------------------------------------------------------------------------
@@ -168,15 +170,15 @@ def sales_raw_exprs(dialect: str) -> list[tuple[str, str]]:
     return list(exprs.items())
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _read(spark: SparkSession, sf_dir: str, name: str, parallel: bool = False) -> DataFrame:
+    return read_table(spark, sf_dir, name, parallel=parallel)
 
 
 def sales_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with its order, customer, part, supplier and supplier nation."""
     t = lambda n: _read(spark, sf_dir, n)
     return (
-        t("lineitem")
+        _read(spark, sf_dir, "lineitem", parallel=True)
         .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -216,7 +218,7 @@ def ads_raw_exprs(dialect: str) -> list[tuple[str, str]]:
 
 def ads_raw(spark: SparkSession, sf_dir: str, ordinal: str = "_ordinal") -> DataFrame:
     exprs = [f"{e} AS `{n}`" for n, e in ads_raw_exprs(SPARK)]
-    return _read(spark, sf_dir, "events").selectExpr(*exprs, f"event_id AS {ordinal}")
+    return _read(spark, sf_dir, "events", parallel=True).selectExpr(*exprs, f"event_id AS {ordinal}")
 
 
 # ---------------------------------------------------------------------------
@@ -242,7 +244,7 @@ def weather_raw_exprs(dialect: str) -> list[tuple[str, str]]:
 def weather_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: _read(spark, sf_dir, n)
     return (
-        t("orders")
+        _read(spark, sf_dir, "orders", parallel=True)
         .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
