@@ -33,17 +33,21 @@ def _typed_cols():
     return ",\n    ".join(out)
 
 
-SALES_CTES = f"""sales_raw AS ({sales_raw_sql()}),
-sales_typed0 AS (SELECT {_typed_cols()}, o1, o2, o3, o4, o5 FROM sales_raw),
-sales_typed AS (SELECT *, CASE WHEN order_id IS NULL THEN 'order_id missing/invalid'
+def sales_ctes(source: str = "sales_raw", p: str = "sales", with_raw: bool = True) -> str:
+    raw = f"sales_raw AS ({sales_raw_sql()}),\n" if with_raw else ""
+    return f"""{raw}{p}_typed0 AS (SELECT {_typed_cols()}, o1, o2, o3, o4, o5 FROM {source}),
+{p}_typed AS (SELECT *, CASE WHEN order_id IS NULL THEN 'order_id missing/invalid'
     WHEN date IS NULL THEN 'date missing/invalid' WHEN channel IS NULL THEN 'channel missing'
     WHEN stage IS NULL THEN 'stage missing' WHEN revenue IS NULL THEN 'revenue missing' END AS drop_reason
-  FROM sales_typed0),
-sales_clean AS (SELECT * REPLACE (CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month)
-  FROM sales_typed WHERE drop_reason IS NULL
+  FROM {p}_typed0),
+{p}_clean AS (SELECT * REPLACE (CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month)
+  FROM {p}_typed WHERE drop_reason IS NULL
   QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY o1 DESC, o2 DESC, o3 DESC, o4 DESC, o5 DESC) = 1)"""
 
 
+SALES_CTES = sales_ctes()
+
+
 def _fact_cols():
     out = []
     for src, dst in SALES_FACT_COLUMNS:
@@ -227,3 +231,232 @@ ORACLE = {
     "sales_fact": SALES_FACT,
     "sales_weather": SALES_WEATHER,
 }
+
+
+# ---------------------------------------------------------------------------
+# sources and sinks
+# ---------------------------------------------------------------------------
+
+def _na(x):
+    from storeloom.contracts import NA_TOKENS
+    return f"CASE WHEN {x} IN ({', '.join(K.q(t) for t in NA_TOKENS)}) THEN NULL ELSE {x} END"
+
+
+def _token_note():
+    from storeloom.contracts import NA_TOKENS
+    tokens = list(NA_TOKENS) + ["na", "none", "-", " "]
+    arms = " ".join(f"WHEN {i} THEN {K.q(t)}" for i, t in enumerate(tokens))
+    return f"CASE c_custkey % {len(tokens) + 1} {arms} ELSE c_mktsegment END"
+
+
+TEXT_SCAN_NULLS = f"""WITH t AS (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, {_token_note()} AS note FROM customer)
+SELECT {_na('id')} AS id, {_na('name')} AS name, {_na('note')} AS note, CAST(NULL AS VARCHAR) AS extra FROM t"""
+
+from storeloom.sources.standins import region_name  # noqa: E402
+
+FEED_ARRAYS = f"""WITH j AS (SELECT {region_name('n_regionkey')} AS region, CAST(o_orderdate AS DATE) AS day, o_custkey, o_orderkey
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+daily AS (SELECT region, day, CAST(count(*) AS DOUBLE) AS tm, CAST(max(o_custkey % 40) AS DOUBLE) AS tx,
+  CAST(sum(o_orderkey % 100) AS DOUBLE) / 4.0 AS rain FROM j GROUP BY region, day),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY region, strftime(day, '%Y-%m') ORDER BY day) AS i,
+  count(*) OVER (PARTITION BY region, strftime(day, '%Y-%m')) AS n FROM daily)
+SELECT strftime(day, '%Y-%m-%d') AS date, tm AS temp_mean, tx AS temp_max, rain AS rain_mm, region
+FROM ranked WHERE i <= CASE WHEN month(day) % 2 = 1 THEN n - 1 ELSE n END"""
+
+# ---------------------------------------------------------------------------
+# upserts
+# ---------------------------------------------------------------------------
+
+_UPSERT_INPUTS = """t AS (SELECT o_orderkey AS order_key, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
+  CAST(o_orderdate AS DATE) AS order_date FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+b AS (SELECT o_orderkey AS order_key, CASE WHEN o_orderkey % 13 <> 0 THEN lower(o_orderstatus) END AS status,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) + 1 AS DECIMAL(18,2)) AS total, CAST(o_orderdate AS DATE) AS order_date
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')"""
+
+UPSERT_UPDATE = f"""WITH {_UPSERT_INPUTS}
+SELECT b.*, EXISTS (SELECT 1 FROM t WHERE t.order_key = b.order_key) AS kept_created_at FROM b
+UNION ALL
+SELECT t.*, true FROM t WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.order_key = t.order_key)"""
+
+UPSERT_IGNORE = f"""WITH {_UPSERT_INPUTS}
+SELECT t.*, true AS kept_created_at FROM t
+UNION ALL
+SELECT b.*, false FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.order_key = b.order_key)"""
+
+# ---------------------------------------------------------------------------
+# constraints
+# ---------------------------------------------------------------------------
+
+FK_VIOLATIONS = """SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem l
+WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_size <= 45 AND p.p_partkey = l.l_partkey)"""
+
+
+def _constraint_report():
+    from storeloom.contracts import VARCHAR_LIMITS
+    src = {d: s for s, d in SALES_FACT_COLUMNS}
+    rows = [("not_null", "order_id", "count_if(order_id IS NULL)")]
+    for (t, c), n in VARCHAR_LIMITS.items():
+        if t == "fact_marketing_sales":
+            rows.append((f"max_length_{n}", c, f"count_if(length({src[c]}) > {n})"))
+    for d, (p, sc) in SALES_FACT_DECIMALS.items():
+        rows.append((f"fits_decimal({p},{sc})", d,
+                     f"count_if({src[d]} IS NOT NULL AND TRY_CAST({src[d]} AS DECIMAL({p},{sc})) IS NULL)"))
+    body = "\nUNION ALL\n".join(
+        f"SELECT {K.q(ch)} AS check_name, 'fact_marketing_sales' AS table_name, {K.q(col)} AS column_name, "
+        f"CAST({agg} AS BIGINT) AS violations FROM sales_clean" for ch, col, agg in rows)
+    return f"""WITH {FACT_CTES}
+{body}
+UNION ALL
+SELECT 'not_null', 'fact_marketing_sales', 'revenue', CAST(count_if(revenue IS NULL) AS BIGINT) FROM sales_fact
+UNION ALL
+SELECT 'primary_key', 'fact_marketing_sales', 'order_id', CAST(coalesce(sum(n - 1), 0) AS BIGINT)
+  FROM (SELECT order_id, count(*) AS n FROM sales_fact GROUP BY order_id HAVING count(*) > 1) d
+UNION ALL
+SELECT 'batch_unique_key', 'sales_batch', 'order_id', CAST(coalesce(sum(n - 1), 0) AS BIGINT)
+  FROM (SELECT order_id, count(*) AS n FROM sales_typed WHERE drop_reason IS NULL GROUP BY order_id HAVING count(*) > 1) d"""
+
+
+# ---------------------------------------------------------------------------
+# upload gate
+# ---------------------------------------------------------------------------
+
+def _gate_flags():
+    from storeloom.contracts import GATE_REQUIRED_COLS, VALID_CATEGORIES, VALID_REGIONS, VALID_SEGMENTS
+    rev, qty, cost = K.to_number('"Revenue"'), K.to_number('"Quantity"'), K.to_number('"Cost"')
+    inlist = lambda vals: ", ".join(K.q(v) for v in vals)
+    rules = [("date_format", f'"Date" IS NOT NULL AND NOT {K.strict_date(chr(34) + "Date" + chr(34))}')]
+    rules += [(f"null_{c}", f'"{c}" IS NULL') for c in GATE_REQUIRED_COLS]
+    rules += [
+        ("revenue_not_numeric", f'"Revenue" IS NOT NULL AND ({rev}) IS NULL'),
+        ("revenue_non_positive", f"coalesce(({rev}) <= 0, false)"),
+        ("quantity_non_positive", f"coalesce(({qty}) <= 0, false)"),
+        ("category_invalid", f'"Category" IS NOT NULL AND "Category" NOT IN ({inlist(VALID_CATEGORIES)})'),
+        ("region_invalid", f'"Region" IS NOT NULL AND "Region" NOT IN ({inlist(VALID_REGIONS)})'),
+    ]
+    warns = [
+        ("segment_unknown", f'"CustomerSegment" IS NOT NULL AND "CustomerSegment" NOT IN ({inlist(VALID_SEGMENTS)})'),
+        ("revenue_below_cost", f"coalesce(({rev}) < ({cost}), false)"),
+    ]
+    return rules, warns
+
+
+def gate_ctes(source: str = "sales_raw") -> str:
+    rules, warns = _gate_flags()
+    cols = ", ".join(f"coalesce({t}, false) AS r_{n}" for n, t in rules)
+    wcols = ", ".join(f"coalesce({t}, false) AS w_{n}" for n, t in warns)
+    failed = "concat_ws(',', " + ", ".join(f"CASE WHEN r_{n} THEN {K.q(n)} END" for n, _ in rules) + ")"
+    return f"""gate0 AS (SELECT *, {cols}, {wcols} FROM {source}),
+gate AS (SELECT *, {failed} AS failed_rules,
+  row_number() OVER (ORDER BY o1, o2, o3, o4, o5) - 1 AS row_index FROM gate0)"""
+
+
+def _rule_names():
+    rules, warns = _gate_flags()
+    return [n for n, _ in rules], [n for n, _ in warns]
+
+
+def _quality_report():
+    rules, warns = _rule_names()
+    parts = [f"SELECT {K.q(r)} AS rule, 'row' AS kind, CAST(count_if(r_{r}) AS BIGINT) AS n_rows, "
+             f"CAST(NULL AS DOUBLE) AS pct FROM gate" for r in rules]
+    pct = lambda n: f"CAST(({n} * 2000 + count(*)) // (2 * count(*)) AS DOUBLE) / CAST(10 AS DOUBLE)"
+    parts.append("SELECT 'segment_unknown', 'warning', CAST(count_if(w_segment_unknown) AS BIGINT), CAST(NULL AS DOUBLE) FROM gate")
+    parts.append(f"SELECT 'revenue_below_cost', 'warning', CAST(count_if(w_revenue_below_cost) AS BIGINT), "
+                 f"{pct('count_if(w_revenue_below_cost)')} FROM gate")
+    parts.append("SELECT 'total_rows', 'summary', CAST(count(*) AS BIGINT), CAST(NULL AS DOUBLE) FROM gate")
+    parts.append("SELECT 'bad_rows', 'summary', CAST(count_if(failed_rules <> '') AS BIGINT), CAST(NULL AS DOUBLE) FROM gate")
+    clean_n = "count_if(failed_rules = '')"
+    parts.append(f"SELECT 'clean_rows', 'summary', CAST({clean_n} AS BIGINT), {pct(clean_n)} FROM gate")
+    parts.append("""SELECT 'duplicate_order_id', 'warning', CAST(coalesce(sum(n - 1), 0) AS BIGINT), CAST(NULL AS DOUBLE)
+  FROM (SELECT "OrderID", count(*) AS n FROM gate GROUP BY "OrderID") d""")
+    body = "\nUNION ALL\n".join(parts)
+    return f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()},
+report AS ({body})
+SELECT * FROM report
+UNION ALL
+SELECT 'warning_kinds', 'summary', CAST(count(*) AS BIGINT), CAST(NULL AS DOUBLE) FROM report
+WHERE kind = 'warning' AND n_rows > 0"""
+
+
+def _quality_samples():
+    rules, _ = _rule_names()
+    firsts = "\nUNION ALL\n".join(
+        f"""SELECT {K.q(r)} AS rule, CAST(pos AS INTEGER) AS pos, sheet_row, CAST(NULL AS VARCHAR) AS sample FROM (
+  SELECT row_number() OVER (ORDER BY row_index) AS pos, row_index + 2 AS sheet_row FROM gate WHERE r_{r}) x WHERE pos <= 5"""
+        for r in rules)
+    def firstk(rule, col, k, flag):
+        return f"""SELECT {K.q(rule)}, CAST(row_number() OVER (ORDER BY row_index) AS INTEGER), CAST(NULL AS BIGINT), {col}
+  FROM (SELECT {col}, row_index FROM gate WHERE {flag} ORDER BY row_index LIMIT {k}) x"""
+    def distinctk(rule, col, flag):
+        return f"""SELECT {K.q(rule)}, CAST(row_number() OVER (ORDER BY first_row) AS INTEGER), CAST(NULL AS BIGINT), {col}
+  FROM (SELECT {col}, min(row_index) AS first_row FROM gate WHERE {flag} GROUP BY {col} ORDER BY first_row LIMIT 5) x"""
+    values = [
+        firstk("date_format", '"Date"', 1, "r_date_format"),
+        firstk("revenue_not_numeric", '"Revenue"', 3, "r_revenue_not_numeric"),
+        distinctk("category_invalid", '"Category"', "r_category_invalid"),
+        distinctk("region_invalid", '"Region"', "r_region_invalid"),
+        distinctk("segment_unknown", '"CustomerSegment"', "w_segment_unknown"),
+    ]
+    return f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()}
+{firsts}
+UNION ALL
+""" + "\nUNION ALL\n".join(values)
+
+
+QUALITY_SPLIT = f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()}
+SELECT "OrderID", "Date", "Revenue", "Category", "Region",
+  CASE WHEN failed_rules = '' THEN 'clean' ELSE 'rejected' END AS status, failed_rules FROM gate"""
+
+PREVIEW = f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()}
+SELECT * FROM (SELECT 'raw' AS frame, "OrderID", "Date", "Region", "Product", "Revenue" FROM gate ORDER BY row_index LIMIT 10)
+UNION ALL
+SELECT * FROM (SELECT 'clean' AS frame, "OrderID", "Date", "Region", "Product", "Revenue" FROM gate
+  WHERE failed_rules = '' ORDER BY row_index LIMIT 10)"""
+
+
+def _end_to_end():
+    from storeloom.contracts import STAGE_ORDER as SO
+    g = f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()},
+gated AS (SELECT * EXCLUDE (failed_rules, row_index) FROM gate WHERE failed_rules = ''),
+{sales_ctes('gated', 'g', with_raw=False)}, {ADS_CTES}, {WEATHER_CTES}"""
+    d = lambda col: f"(SELECT count(DISTINCT {col}) FROM g_clean WHERE {col} IS NOT NULL)"
+    stages = ", ".join(K.q(x) for x in SO)
+    counts = [
+        ("dim_region", "(SELECT count(*) FROM (SELECT region FROM g_clean WHERE region IS NOT NULL "
+                       "UNION SELECT region FROM weather_clean))"),
+        ("dim_branch", d("branch")),
+        ("dim_product", d("product")),
+        ("dim_date", "(SELECT count(*) FROM (SELECT date FROM g_clean UNION SELECT date FROM ads_daily "
+                     "UNION SELECT date FROM weather_clean))"),
+        ("dim_stage", f"({len(SO)} + (SELECT count(DISTINCT stage) FROM g_clean WHERE stage IS NOT NULL "
+                      f"AND stage NOT IN ({stages})))"),
+        ("dim_channel", "(SELECT count(*) FROM (SELECT channel FROM g_clean WHERE channel IS NOT NULL "
+                        "UNION SELECT 'Facebook'))"),
+        ("dim_customer_segment", d("customer_segment")),
+        ("dim_campaign", "(SELECT count(*) FROM (SELECT campaign FROM g_clean WHERE campaign IS NOT NULL "
+                         "UNION SELECT campaign FROM ads_daily))"),
+        ("dim_department", d("department")),
+        ("dim_machine", d("machine")),
+        ("dim_information", d("information")),
+        ("fact_marketing_sales", "(SELECT count(*) FROM g_clean)"),
+        ("fact_ad_spend", "(SELECT count(*) FROM ads_daily)"),
+        ("fact_weather_daily", "(SELECT count(*) FROM weather_clean)"),
+    ]
+    body = "\nUNION ALL\n".join(f"SELECT {K.q(t)} AS table_name, CAST({c} AS BIGINT) AS rows" for t, c in counts)
+    return f"{g}\n{body}"
+
+
+ORACLE.update({
+    "text_scan_nulls": TEXT_SCAN_NULLS,
+    "feed_arrays": FEED_ARRAYS,
+    "upsert_update": UPSERT_UPDATE,
+    "upsert_ignore": UPSERT_IGNORE,
+    "upsert_idempotent": UPSERT_UPDATE,
+    "fk_violations": FK_VIOLATIONS,
+    "constraint_report": _constraint_report(),
+    "quality_report": _quality_report(),
+    "quality_samples": _quality_samples(),
+    "quality_split": QUALITY_SPLIT,
+    "preview": PREVIEW,
+    "end_to_end_load": _end_to_end(),
+})
