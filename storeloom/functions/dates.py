@@ -26,7 +26,11 @@ COMPACT_PATTERN = r"^\d{8}$"
 
 def parse_date(c) -> Column:
     """Text -> date with the precedence above; NULL when nothing matches."""
-    t = strip(c)
+    return date_from_stripped(strip(c))
+
+
+def date_from_stripped(t) -> Column:
+    t = _col(t)
     iso = F.try_to_date(F.regexp_extract(t, ISO_PATTERN, 1), "yyyy-M-d")
     slashed = F.regexp_replace(t, r"[.-]", "/")
     day_first = F.try_to_date(slashed, "d/M/yyyy")

@@ -16,6 +16,10 @@ from storeloom.functions.text import _col, strip
 
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 DIGITS_PATTERN = r"^\s*[+-]?\d{1,18}\s*$"
+# Characters a plain decimal number may contain. Spark's string -> double cast
+# accepts exactly R2's grammar over these characters, so "nothing else left"
+# is the guard, without running a regex per value.
+NUMBER_CHARS = "0123456789+-.eE"
 INF = float("inf")
 
 
@@ -23,11 +27,25 @@ def is_number_text(c) -> Column:
     return strip(c).rlike(NUMBER_PATTERN)
 
 
+def _only_number_chars(t: Column) -> Column:
+    return F.length(F.translate(t, NUMBER_CHARS, "")) == 0
+
+
+def number_from_stripped(t) -> Column:
+    """C3 on already stripped text: double, or NULL for bad text and non-finite values."""
+    t = _col(t)
+    d = t.try_cast("double")
+    return F.when(_only_number_chars(t) & (F.abs(d) < F.lit(INF)), d)
+
+
 def to_number(c) -> Column:
     """Text -> double; bad text, NaN and +/-Infinity -> NULL."""
-    t = strip(c)
-    d = t.try_cast("double")
-    return F.when(t.rlike(NUMBER_PATTERN) & (F.abs(d) < F.lit(INF)), d)
+    return number_from_stripped(strip(c))
+
+
+def decimal_from_stripped(t, precision: int, scale: int) -> Column:
+    t = _col(t)
+    return F.when(_only_number_chars(t), t.try_cast(f"decimal({precision},{scale})"))
 
 
 def to_decimal(c, precision: int, scale: int) -> Column:
@@ -36,19 +54,22 @@ def to_decimal(c, precision: int, scale: int) -> Column:
     Overflow and bad text give NULL (never an error), so one row cannot
     fail a job; the constraint report (N-5) counts those rows.
     """
-    t = strip(c)
-    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast(f"decimal({precision},{scale})"))
+    return decimal_from_stripped(strip(c), precision, scale)
 
 
-def to_id(c) -> Column:
-    """Text id -> bigint: digit-only text exactly, else through double truncated toward zero."""
-    t = strip(c)
-    as_double = to_number(t)
+def id_from_stripped(t) -> Column:
+    t = _col(t)
+    as_double = number_from_stripped(t)
     return F.when(t.rlike(DIGITS_PATTERN), t.try_cast("bigint")).otherwise(
         F.when(F.abs(as_double) < F.lit(9.2e18), as_double.cast("bigint"))
     )
 
 
+def to_id(c) -> Column:
+    """Text id -> bigint: digit-only text exactly, else through double truncated toward zero."""
+    return id_from_stripped(strip(c))
+
+
 def nan_to_null(c) -> Column:
     """P10: NaN (not NULL in Spark) -> NULL for a double column."""
     c = _col(c)

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.contracts import SALES_NUMERIC_COLS, SALES_TEXT_COLS
-from storeloom.functions import (
-    campaign_from_slug, clean_text, parse_date, strip, to_decimal, to_id, to_number,
-)
+from storeloom.functions import campaign_from_slug, null_if_token, parse_date, strip, to_decimal, to_number
+from storeloom.functions.dates import date_from_stripped
+from storeloom.functions.numeric import id_from_stripped, number_from_stripped
 from storeloom.operators.dedup import keep_last
 from storeloom.operators.filters import drop_missing, with_drop_reason
 from storeloom.operators.mapping import standardize_columns
@@ -23,19 +23,22 @@ ORDINAL = "_ordinal"
 def typed_sales(raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:
     """P1-P5, C4, C1, C3, C6 and the F1 drop reason; nothing removed yet."""
     df = standardize_columns(raw, keep=(ordinal,))
+    # strip once; later steps reuse the stripped text (Catalyst keeps this
+    # projection separate because its outputs are referenced several times)
+    stripped = df.select(*[strip(c).alias(c) if c != ordinal else F.col(c) for c in df.columns])
     exprs = []
     for c in df.columns:
         if c == "date":
-            exprs.append(parse_date(c).alias(c))
+            exprs.append(date_from_stripped(c).alias(c))
         elif c in SALES_TEXT_COLS:
-            exprs.append(clean_text(c).alias(c))
+            exprs.append(null_if_token(c).alias(c))
         elif c == "order_id":
-            exprs.append(to_id(c).alias(c))
+            exprs.append(id_from_stripped(c).alias(c))
         elif c in SALES_NUMERIC_COLS:
-            exprs.append(to_number(c).alias(c))
+            exprs.append(number_from_stripped(c).alias(c))
         else:
             exprs.append(F.col(c))
-    return with_drop_reason(df.select(*exprs))
+    return with_drop_reason(stripped.select(*exprs))
 
 
 def clean_sales(raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:

@@ -7,6 +7,7 @@ table is published after its checks, dimensions before facts.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,13 +72,24 @@ def load_weather(wh: Warehouse, clean: DataFrame) -> None:
 
 def run_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame,
              ads_raw: DataFrame | None = None, weather_raw: DataFrame | None = None) -> Warehouse:
-    """Load the three feeds; a missing optional feed (None) is skipped."""
+    """Load the three feeds; a missing optional feed (None) is skipped.
+
+    Each cleaned feed feeds up to a dozen table writes, so it is persisted
+    (memory, spilling to disk) for the duration of its phase; a lost block is
+    recomputed from the staged snapshot.
+    """
     wh = Warehouse(spark, warehouse_root)
-    load_sales(wh, C.clean_sales(sales_raw))
+    phases = [(load_sales, C.clean_sales, sales_raw)]
     if ads_raw is not None:
-        load_ads(wh, C.clean_ads(ads_raw))
+        phases.append((load_ads, C.clean_ads, ads_raw))
     if weather_raw is not None:
-        load_weather(wh, C.clean_weather(weather_raw))
+        phases.append((load_weather, C.clean_weather, weather_raw))
+    for loader, cleaner, raw in phases:
+        cleaned = cleaner(raw).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            loader(wh, cleaned)
+        finally:
+            cleaned.unpersist()
     return wh
 
 

@@ -48,6 +48,16 @@ def clean_sales(spark, sf):
     return C.clean_sales(sales_staged(spark, sf))
 
 
+def clean_sales_shared(spark, sf):
+    """The cleaned sales feed written once to the shared checkpoint folder.
+
+    For queries that read it from several branches: each branch prunes
+    different columns, so without this Spark would clean the feed per branch.
+    """
+    from storeloom.sources.staging import land
+    return land(clean_sales(spark, sf), _scratch(spark, "sales-clean"))
+
+
 def sales_fact(spark, sf):
     return FX.sales_fact(clean_sales(spark, sf))
 
@@ -143,7 +153,7 @@ def q_dim_date(spark, sf):
 
 
 def q_dim_distinct(spark, sf):
-    clean = clean_sales(spark, sf)
+    clean = clean_sales_shared(spark, sf)
     parts = [D.distinct_names(clean, col, "name").select(F.lit(t).alias("dimension"), "name")
              for t, (col, _) in D.NAME_DIMS.items()]
     out = parts[0]
@@ -157,7 +167,7 @@ def q_dim_stage(spark, sf):
 
 
 def q_lookup_default(spark, sf):
-    clean = clean_sales(spark, sf)
+    clean = clean_sales_shared(spark, sf)
     ch = D.dim_channel(clean).select(F.lit("channel").alias("dimension"),
                                      F.col("channel_name").alias("name"), F.col("channel_type").alias("type"))
     ca = D.dim_campaign(clean).select(F.lit("campaign").alias("dimension"),
@@ -196,7 +206,7 @@ def q_sales_fact(spark, sf):
 
 
 def q_sales_weather(spark, sf):
-    clean = clean_sales(spark, sf)
+    clean = clean_sales_shared(spark, sf)
     fact = FX.sales_fact(clean)
     return M.sales_weather(fact, D.dim_branch(clean), D.dim_product(clean), weather_fact(spark, sf))
 
@@ -325,7 +335,7 @@ def q_constraint_report(spark, sf):
     from storeloom.operators.constraints import key_check, row_checks, union_all
     typed = C.typed_sales(sales_staged(spark, sf))
     kept = typed.where(F.col("drop_reason").isNull())
-    clean = C.clean_sales(sales_staged(spark, sf))
+    clean = clean_sales_shared(spark, sf)
     fact = FX.sales_fact(clean)
     src = dict(S_FACT_SOURCES)
     lengths = {c: n for (t, c), n in VARCHAR_LIMITS.items() if t == "fact_marketing_sales"}

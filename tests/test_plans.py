@@ -27,10 +27,9 @@ def test_kpi_reads_only_needed_columns(spark):
 
 def test_dedup_aggregates_before_the_shuffle(spark):
     df = Q.q_dedup_keep_last(spark, SF_SMALL)
-    p = df._jdf.queryExecution().optimizedPlan().toString()
     phys = plan_of(df)
-    assert "max_by" in p
-    assert "partial_max_by" in phys
+    # WindowGroupLimit runs on each map task before the exchange, then again after it
+    assert phys.count("WindowGroupLimit") >= 2
 
 
 def test_view_joins_without_sort_merge_for_small_dims(spark):
