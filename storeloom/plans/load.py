@@ -18,7 +18,7 @@ from storeloom.operators import quality as V
 from storeloom.operators.constraints import duplicate_keys
 from storeloom.operators.upsert import insert_if_absent, upsert_update
 from storeloom.plans import clean as C
-from storeloom.plans.warehouse import Warehouse
+from storeloom.plans.warehouse import Warehouse, month_of
 
 FACTS = {"fact_marketing_sales", "fact_ad_spend", "fact_weather_daily"}
 
@@ -32,15 +32,33 @@ def _no_duplicate_keys(table):
     return check
 
 
+def touched_months(wh: Warehouse, table: str, batch: DataFrame) -> list[str]:
+    """Months a fact upsert must rewrite: the batch's months, plus, when the key
+    does not contain the date (sales), the months where matched keys live now.
+
+    The result is one string per calendar month, a bounded list.
+    """
+    keys = PRIMARY_KEYS[table]
+    months = batch.select(month_of().alias("m")).distinct()
+    if "full_date" not in keys and wh.version(table) is not None:
+        current = wh.read(table).select(*keys, month_of().alias("m"))
+        months = months.unionByName(current.join(batch.select(*keys).distinct(), keys, "left_semi")
+                                    .select("m").distinct())
+    return sorted({r.m for r in months.distinct().collect() if r.m is not None})
+
+
 def _merge(wh: Warehouse, table: str, batch: DataFrame, update: bool) -> None:
     keys = PRIMARY_KEYS[table]
-    target = wh.read(table, schema=batch.schema if table not in FACTS else _with_created(batch).schema)
     if table in FACTS:
-        merged = (upsert_update(target, batch, keys) if update else insert_if_absent(target, batch, keys))
-    else:
-        merged = (upsert_update(target, batch, keys, created_at=None) if update
-                  else insert_if_absent(target, batch, keys, created_at=None))
-    wh.publish(table, merged, checks=_no_duplicate_keys(table), by_month=table in FACTS)
+        touched = touched_months(wh, table, batch)
+        target = wh.read(table, schema=_with_created(batch).schema, months=touched)
+        merged = upsert_update(target, batch, keys) if update else insert_if_absent(target, batch, keys)
+        wh.publish_months(table, merged, touched, checks=_no_duplicate_keys(table))
+        return
+    target = wh.read(table, schema=batch.schema)
+    merged = (upsert_update(target, batch, keys, created_at=None) if update
+              else insert_if_absent(target, batch, keys, created_at=None))
+    wh.publish(table, merged, checks=_no_duplicate_keys(table))
 
 
 def _with_created(df: DataFrame) -> DataFrame:

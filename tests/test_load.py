@@ -41,3 +41,42 @@ def test_clean_plus_quarantine_is_input(spark):
 def test_gate_blocks_without_auto_filter(spark):
     to_load, _, rejected = L.gate(Q.sales_staged(spark, SF_SMALL), auto_filter=False)
     assert to_load is None and rejected.count() > 0
+
+
+def test_fact_publish_rewrites_only_touched_months(spark):
+    from storeloom.plans import clean as C
+    sales = Q.sales_staged(spark, SF_SMALL)
+    wh = L.run_load(spark, _root(spark), sales)
+    m1 = wh.manifest("fact_marketing_sales")["months"]
+    # a second batch touching a single month
+    clean = C.clean_sales(sales)
+    one_month = sorted(m1)[0]
+    part = clean.where(F.date_format("date", "yyyy-MM") == one_month)
+    L.load_sales(wh, part)
+    m2 = wh.manifest("fact_marketing_sales")["months"]
+    assert set(m2) == set(m1)
+    changed = {m for m in m2 if m2[m] != m1[m]}
+    assert changed == {one_month}
+    assert wh.read("fact_marketing_sales").count() == clean.count()
+
+
+def test_sales_update_moving_a_row_to_another_month(spark):
+    import datetime as dt
+    from storeloom.plans.load import _merge
+    wh = L.Warehouse(spark, _root(spark))
+    base = Q.FX.sales_fact(C_clean(spark)).limit(0)
+    schema = base.schema
+    row = {f.name: None for f in schema.fields}
+    a = dict(row, order_id=1, full_date=dt.date(2024, 1, 5))
+    b = dict(row, order_id=2, full_date=dt.date(2024, 2, 5))
+    _merge(wh, "fact_marketing_sales", spark.createDataFrame([a, b], schema), update=True)
+    moved = dict(row, order_id=1, full_date=dt.date(2024, 3, 1))
+    _merge(wh, "fact_marketing_sales", spark.createDataFrame([moved], schema), update=True)
+    got = sorted((r.order_id, str(r.full_date)) for r in wh.read("fact_marketing_sales").collect())
+    assert got == [(1, "2024-03-01"), (2, "2024-02-05")]
+    assert set(wh.manifest("fact_marketing_sales")["months"]) == {"2024-02", "2024-03"}
+
+
+def C_clean(spark):
+    from storeloom.plans import clean as C
+    return C.clean_sales(Q.sales_staged(spark, SF_SMALL))
