@@ -7,6 +7,8 @@ table is published after its checks, dimensions before facts.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,67 +49,101 @@ def touched_months(wh: Warehouse, table: str, batch: DataFrame) -> list[str]:
     return sorted({r.m for r in months.distinct().collect() if r.m is not None})
 
 
-def _merge(wh: Warehouse, table: str, batch: DataFrame, update: bool) -> None:
+def _merge_fact(wh: Warehouse, table: str, batch: DataFrame) -> None:
+    """K3 into a month-partitioned fact: rewrite only the touched months."""
     keys = PRIMARY_KEYS[table]
+    touched = touched_months(wh, table, batch)
+    target = wh.read(table, schema=_with_created(batch).schema, months=touched)
+    wh.publish_months(table, upsert_update(target, batch, keys), touched, checks=_no_duplicate_keys(table))
+
+
+def _merge(wh: Warehouse, table: str, batch: DataFrame, update: bool) -> None:
+    """One upsert of one batch into one table (kept for single-batch callers)."""
     if table in FACTS:
-        touched = touched_months(wh, table, batch)
-        target = wh.read(table, schema=_with_created(batch).schema, months=touched)
-        merged = upsert_update(target, batch, keys) if update else insert_if_absent(target, batch, keys)
-        wh.publish_months(table, merged, touched, checks=_no_duplicate_keys(table))
+        _merge_fact(wh, table, batch)
         return
-    target = wh.read(table, schema=batch.schema)
-    merged = (upsert_update(target, batch, keys, created_at=None) if update
-              else insert_if_absent(target, batch, keys, created_at=None))
-    wh.publish(table, merged, checks=_no_duplicate_keys(table))
+    _publish_dimension(wh, table, [(batch, update)])
+
+
+def _publish_dimension(wh: Warehouse, table: str, batches: list[tuple[DataFrame, bool]]) -> None:
+    """Apply the batches in feed order (DO UPDATE or DO NOTHING each), publish once."""
+    keys = PRIMARY_KEYS[table]
+    state = wh.read(table, schema=batches[0][0].schema)
+    for batch, update in batches:
+        state = (upsert_update(state, batch, keys, created_at=None) if update
+                 else insert_if_absent(state, batch, keys, created_at=None))
+    wh.publish(table, state, checks=_no_duplicate_keys(table))
 
 
 def _with_created(df: DataFrame) -> DataFrame:
     return df.withColumn("created_at", F.current_timestamp())
 
 
-def load_sales(wh: Warehouse, clean: DataFrame) -> None:
-    dims = D.sales_dimensions(clean)
-    for table in ("dim_date", "dim_stage", "dim_channel", "dim_campaign", "dim_branch", "dim_product"):
-        _merge(wh, table, dims[table], update=True)
-    for table in D.NAME_DIMS:
-        _merge(wh, table, dims[table], update=False)
-    _merge(wh, "fact_marketing_sales", FX.sales_fact(clean), update=True)
+def dimension_batches(sales: DataFrame, ads: DataFrame | None, weather: DataFrame | None) -> dict:
+    """table -> [(batch, DO UPDATE?)] in load order: sales first (DO UPDATE for its
+    attribute dimensions, DO NOTHING for name-only ones), then ads, then weather
+    (DO NOTHING)."""
+    dims = D.sales_dimensions(sales)
+    plan = {t: [(dims[t], True)] for t in ("dim_date", "dim_stage", "dim_channel", "dim_campaign",
+                                          "dim_branch", "dim_product")}
+    plan.update({t: [(dims[t], False)] for t in D.NAME_DIMS})
+    if ads is not None:
+        channel = ads.sparkSession.createDataFrame([ADS_CHANNEL], "channel_name string, channel_type string")
+        plan["dim_date"].append((D.dim_date(ads.select("date")), False))
+        plan["dim_campaign"].append((D.dim_campaign(ads), False))
+        plan["dim_channel"].append((channel, False))
+    if weather is not None:
+        plan["dim_date"].append((D.dim_date(weather.select("date")), False))
+        plan["dim_region"].append((D.distinct_names(weather, "region", "region_name"), False))
+    return plan
 
 
-def load_ads(wh: Warehouse, daily: DataFrame) -> None:
-    _merge(wh, "dim_date", D.dim_date(daily.select("date")), update=False)
-    _merge(wh, "dim_campaign", D.dim_campaign(daily), update=False)
-    channel = daily.sparkSession.createDataFrame([ADS_CHANNEL], "channel_name string, channel_type string")
-    _merge(wh, "dim_channel", channel, update=False)
-    _merge(wh, "fact_ad_spend", FX.ads_fact(daily), update=True)
+def load_sales(wh: Warehouse, clean: DataFrame) -> None:
+    """The sales phase alone: its dimensions, then its fact."""
+    for table, batches in dimension_batches(clean, None, None).items():
+        _publish_dimension(wh, table, batches)
+    _merge_fact(wh, "fact_marketing_sales", FX.sales_fact(clean))
 
 
-def load_weather(wh: Warehouse, clean: DataFrame) -> None:
-    _merge(wh, "dim_date", D.dim_date(clean.select("date")), update=False)
-    _merge(wh, "dim_region", D.distinct_names(clean, "region", "region_name"), update=False)
-    _merge(wh, "fact_weather_daily", FX.weather_fact(clean), update=True)
+def _in_parallel(fn, items, threads: int) -> None:
+    """Run independent publishes as concurrent Spark jobs from driver threads."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for f in [pool.submit(fn, *item) for item in items]:
+            f.result()
 
 
 def run_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame,
-             ads_raw: DataFrame | None = None, weather_raw: DataFrame | None = None) -> Warehouse:
+             ads_raw: DataFrame | None = None, weather_raw: DataFrame | None = None,
+             threads: int = 4) -> Warehouse:
     """Load the three feeds; a missing optional feed (None) is skipped.
 
-    Each cleaned feed feeds up to a dozen table writes, so it is persisted
-    (memory, spilling to disk) for the duration of its phase; a lost block is
-    recomputed from the staged snapshot.
+    Each cleaned feed is persisted (memory, spilling to disk) while it feeds a
+    dozen table writes; a lost block is recomputed from the staged snapshot.
+    Every dimension folds its batches from all feeds in load order into one
+    publish; dimensions are published before facts (K12), independent tables
+    concurrently.
     """
     wh = Warehouse(spark, warehouse_root)
-    phases = [(load_sales, C.clean_sales, sales_raw)]
-    if ads_raw is not None:
-        phases.append((load_ads, C.clean_ads, ads_raw))
-    if weather_raw is not None:
-        phases.append((load_weather, C.clean_weather, weather_raw))
-    for loader, cleaner, raw in phases:
-        cleaned = cleaner(raw).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            loader(wh, cleaned)
-        finally:
-            cleaned.unpersist()
+    level = StorageLevel.MEMORY_AND_DISK
+    sales = C.clean_sales(sales_raw).persist(level)
+    ads = C.clean_ads(ads_raw).persist(level) if ads_raw is not None else None
+    weather = C.clean_weather(weather_raw).persist(level) if weather_raw is not None else None
+    for df in (sales, ads, weather):  # fill the caches once, before concurrent readers
+        if df is not None:
+            df.count()
+    try:
+        _in_parallel(lambda t, b: _publish_dimension(wh, t, b),
+                     list(dimension_batches(sales, ads, weather).items()), threads)
+        facts = [("fact_marketing_sales", FX.sales_fact(sales))]
+        if ads is not None:
+            facts.append(("fact_ad_spend", FX.ads_fact(ads)))
+        if weather is not None:
+            facts.append(("fact_weather_daily", FX.weather_fact(weather)))
+        _in_parallel(lambda t, b: _merge_fact(wh, t, b), facts, threads)
+    finally:
+        for df in (sales, ads, weather):
+            if df is not None:
+                df.unpersist()
     return wh
 
 
