@@ -48,16 +48,6 @@ def clean_sales(spark, sf):
     return C.clean_sales(sales_staged(spark, sf))
 
 
-def clean_sales_shared(spark, sf):
-    """The cleaned sales feed written once to the shared checkpoint folder.
-
-    For queries that read it from several branches: each branch prunes
-    different columns, so without this Spark would clean the feed per branch.
-    """
-    from storeloom.sources.staging import land
-    return land(clean_sales(spark, sf), _scratch(spark, "sales-clean"))
-
-
 def sales_fact(spark, sf):
     return FX.sales_fact(clean_sales(spark, sf))
 
@@ -153,13 +143,7 @@ def q_dim_date(spark, sf):
 
 
 def q_dim_distinct(spark, sf):
-    clean = clean_sales_shared(spark, sf)
-    parts = [D.distinct_names(clean, col, "name").select(F.lit(t).alias("dimension"), "name")
-             for t, (col, _) in D.NAME_DIMS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return D.names_by_dimension(clean_sales(spark, sf), {t: col for t, (col, _) in D.NAME_DIMS.items()})
 
 
 def q_dim_stage(spark, sf):
@@ -167,12 +151,10 @@ def q_dim_stage(spark, sf):
 
 
 def q_lookup_default(spark, sf):
-    clean = clean_sales_shared(spark, sf)
-    ch = D.dim_channel(clean).select(F.lit("channel").alias("dimension"),
-                                     F.col("channel_name").alias("name"), F.col("channel_type").alias("type"))
-    ca = D.dim_campaign(clean).select(F.lit("campaign").alias("dimension"),
-                                      F.col("campaign_name").alias("name"), F.col("campaign_type").alias("type"))
-    return ch.unionByName(ca)
+    names = D.names_by_dimension(clean_sales(spark, sf), {"channel": "channel", "campaign": "campaign"})
+    return names.select("dimension", "name",
+                        F.when(F.col("dimension") == "channel", X.channel_type("name"))
+                        .otherwise(X.campaign_type("name")).alias("type"))
 
 
 def q_lookup_drop(spark, sf):
@@ -206,7 +188,7 @@ def q_sales_fact(spark, sf):
 
 
 def q_sales_weather(spark, sf):
-    clean = clean_sales_shared(spark, sf)
+    clean = clean_sales(spark, sf)
     fact = FX.sales_fact(clean)
     return M.sales_weather(fact, D.dim_branch(clean), D.dim_product(clean), weather_fact(spark, sf))
 
@@ -331,23 +313,27 @@ def q_fk_violations(spark, sf):
 
 
 def q_constraint_report(spark, sf):
+    """N-1, N-2, N-4, N-5 on the sales fact and K6 on the batch before dedup.
+
+    Row checks are one aggregate over the cleaned rows (the fact is a row-wise
+    projection of them); key checks read only the key columns.
+    """
     from storeloom.contracts import SALES_FACT_DECIMALS, VARCHAR_LIMITS
     from storeloom.operators.constraints import key_check, row_checks, union_all
-    typed = C.typed_sales(sales_staged(spark, sf))
-    kept = typed.where(F.col("drop_reason").isNull())
-    clean = clean_sales_shared(spark, sf)
+    kept = C.typed_sales(sales_staged(spark, sf)).where(F.col("drop_reason").isNull())
+    clean = clean_sales(spark, sf)
     fact = FX.sales_fact(clean)
-    src = dict(S_FACT_SOURCES)
     lengths = {c: n for (t, c), n in VARCHAR_LIMITS.items() if t == "fact_marketing_sales"}
-    overflow = {dst: (src[dst], f"decimal({p},{s})") for dst, (p, s) in SALES_FACT_DECIMALS.items()}
-    renamed = clean.select(*[F.col(s).alias(d) for s, d in S_FACT_SOURCES],
-                           *[F.col(s).alias(f"src_{d}") for s, d in S_FACT_SOURCES if d in overflow])
+    src = dict((d, s_) for s_, d in S_FACT_SOURCES)
+    renamed = clean.select(*[F.col(s_).alias(d) for s_, d in S_FACT_SOURCES],
+                           *[F.col(src[d]).alias(f"src_{d}") for d in SALES_FACT_DECIMALS])
+    overflow = {d: (f"src_{d}", f"decimal({p},{sc})") for d, (p, sc) in SALES_FACT_DECIMALS.items()}
+    revenue = FX.sales_fact(clean).select("revenue")
     return union_all([
-        row_checks(renamed, "fact_marketing_sales", not_null=["order_id"], lengths=lengths,
-                   overflow={d: (f"src_{d}", t) for d, (_, t) in overflow.items()}),
-        row_checks(fact, "fact_marketing_sales", not_null=["revenue"]),
-        key_check(fact, "fact_marketing_sales", ["order_id"]),
-        key_check(kept, "sales_batch", ["order_id"], check="batch_unique_key"),
+        row_checks(renamed, "fact_marketing_sales", not_null=["order_id"], lengths=lengths, overflow=overflow),
+        row_checks(revenue, "fact_marketing_sales", not_null=["revenue"]),
+        key_check(fact.select("order_id"), "fact_marketing_sales", ["order_id"]),
+        key_check(kept.select("order_id"), "sales_batch", ["order_id"], check="batch_unique_key"),
     ])
 
 

@@ -7,6 +7,21 @@ import os
 from pyspark.sql import SparkSession
 
 
+# HotSpot does not JIT-compile methods above 8000 bytes of bytecode. The wide
+# text-typing stages generate whole-stage methods larger than that; with
+# Spark's default limit (65535) they would run as interpreted bytecode.
+# At 8000 Spark falls back to per-operator generated code, which is compiled.
+JIT_METHOD_LIMIT = 8000
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Settings the library's plans rely on; call on a cluster session too."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(JIT_METHOD_LIMIT))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "storeloom") -> SparkSession:
     """A local-mode session for tests and the bench (cluster jobs bring their own)."""
     spark = (
@@ -21,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.sql.codegen.hugeMethodLimit", str(JIT_METHOD_LIMIT))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

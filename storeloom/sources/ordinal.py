@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from storeloom.session import ensure_checkpoint_dir
 
 
 def file_ordinal() -> Column:
@@ -28,12 +27,14 @@ def with_row_index(df: DataFrame, ordinal: str, name: str = "row_index",
                    partitions: int | None = None) -> DataFrame:
     """Add ``name``: 0-based dense position of each row in ``ordinal`` order."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = partitions or spark.sparkContext.defaultParallelism
+    # One plan reads ``tagged`` twice (counts and rows); Spark reuses the range
+    # exchange, and even when re-run (a lost executor) the bounds come from
+    # deterministic sampling and rows are sorted by a unique ordinal, so every
+    # row gets the same partition and position again.
     tagged = (df.repartitionByRange(n, F.col(ordinal)).sortWithinPartitions(ordinal)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("_mono", F.monotonically_increasing_id()))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
