@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 
 def _keep(df: DataFrame, keys: list[str], order) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(order)
+    w = Window.partitionBy(*keys).orderBy(*(order if isinstance(order, list) else [order]))
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
@@ -25,6 +25,18 @@ def keep_last(df: DataFrame, keys: list[str], ordinal: str = "_ordinal") -> Data
     return _keep(df, keys, F.col(ordinal).desc())
 
 
+def keep_last_where(df: DataFrame, keys: list[str], condition, ordinal: str = "_ordinal") -> DataFrame:
+    """W1 among the rows meeting ``condition`` only: per key, the last such row.
+
+    Rows are ranked by (condition, ordinal) and the first one is kept if it
+    meets the condition. Filtering first would let Catalyst push the filter
+    below the projection that computes ``condition`` and evaluate that
+    projection twice; here the test stays above the window, read once.
+    """
+    ranked = _keep(df.withColumn("_ok", condition), keys, [F.col("_ok").desc(), F.col(ordinal).desc()])
+    return ranked.where(F.col("_ok")).drop("_ok")
+
+
 def keep_first(df: DataFrame, keys: list[str], ordinal: str = "_ordinal") -> DataFrame:
     """One row per key, the first in feed order."""
     return _keep(df, keys, F.col(ordinal).asc())

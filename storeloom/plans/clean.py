@@ -13,7 +13,7 @@ from storeloom.contracts import SALES_NUMERIC_COLS, SALES_TEXT_COLS
 from storeloom.functions import campaign_from_slug, null_if_token, parse_date, strip, to_decimal, to_number
 from storeloom.functions.dates import date_from_stripped
 from storeloom.functions.numeric import id_from_stripped, number_from_stripped
-from storeloom.operators.dedup import keep_last
+from storeloom.operators.dedup import keep_last, keep_last_where
 from storeloom.operators.filters import drop_missing, with_drop_reason
 from storeloom.operators.mapping import standardize_columns
 
@@ -42,12 +42,16 @@ def typed_sales(raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:
 
 
 def clean_sales(raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:
-    """Typed rows without a drop reason, year/month from the date, last row per order_id."""
-    kept = (typed_sales(raw, ordinal)
-            .where(F.col("drop_reason").isNull()).drop("drop_reason")
+    """Typed rows without a drop reason, year/month from the date, last row per order_id.
+
+    The F1 filter is folded into the dedup (see ``keep_last_where``) so the
+    critical columns are parsed once.
+    """
+    typed = typed_sales(raw, ordinal)
+    last = keep_last_where(typed, ["order_id"], F.col("drop_reason").isNull(), ordinal)
+    return (last.drop("drop_reason")
             .withColumn("year", F.year("date"))
             .withColumn("month", F.month("date")))
-    return keep_last(kept, ["order_id"], ordinal)
 
 
 ADS_MEASURES = ("spend", "impressions", "clicks", "conversions")
