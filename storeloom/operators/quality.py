@@ -120,28 +120,28 @@ def samples(flagged: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
                   .select("rule", F.col("pos").cast("int").alias("pos"),
                           (F.col("row_index") + 2).alias("sheet_row"),
                           F.lit(None).cast("string").alias("sample")))
-    value_specs = [("date_format", "Date", 1, False), ("revenue_not_numeric", "Revenue", 3, False),
-                   ("category_invalid", "Category", 5, True), ("region_invalid", "Region", 5, True)]
-    parts = []
-    for rule, column, k, distinct in value_specs:
-        hits = bad.where(F.array_contains("failed_rules", rule)).select(ordinal, F.col(column).alias("sample"))
-        parts.append((rule, hits, k, distinct))
+    # value samples, all rules in one pass: (rule, value, ordinal) pairs of the bad rows;
+    # rules sampling distinct values keep each value's first row; then k first per rule
+    specs = [("date_format", "Date", 1, False, "failed_rules"),
+             ("revenue_not_numeric", "Revenue", 3, False, "failed_rules"),
+             ("category_invalid", "Category", 5, True, "failed_rules"),
+             ("region_invalid", "Region", 5, True, "failed_rules")]
     if "CustomerSegment" in flagged.columns:
-        hits = bad.where(F.array_contains("warnings", "segment_unknown")).select(
-            ordinal, F.col("CustomerSegment").alias("sample"))
-        parts.append(("segment_unknown", hits, 5, True))
-    out = first_rows
-    for rule, hits, k, distinct in parts:
-        if distinct:  # first-seen order of each distinct value
-            hits = hits.groupBy("sample").agg(F.min(ordinal).alias(ordinal))
-        # top-k by file order: each task keeps its k first rows, the driver-side merge sees k x tasks
-        first_k = hits.orderBy(ordinal).limit(k)
-        top = (first_k.select(F.lit(rule).alias("rule"),
-                              F.row_number().over(Window.partitionBy(F.lit(rule)).orderBy(ordinal))
-                              .cast("int").alias("pos"),
-                              F.lit(None).cast("bigint").alias("sheet_row"), "sample"))
-        out = out.unionByName(top)
-    return out
+        specs.append(("segment_unknown", "CustomerSegment", 5, True, "warnings"))
+    pairs = F.explode(F.array_compact(F.array(*[
+        F.when(F.array_contains(arr, rule), F.struct(F.lit(rule).alias("rule"), F.col(col).alias("sample"),
+                                                     F.lit(distinct).alias("distinct")))
+        for rule, col, _, distinct, arr in specs])))
+    hits = bad.select(ordinal, pairs.alias("p")).select(ordinal, "p.*")
+    distinct_hits = (hits.where("distinct").groupBy("rule", "sample")
+                     .agg(F.min(ordinal).alias(ordinal)))
+    all_hits = hits.where(~F.col("distinct")).select("rule", "sample", ordinal).unionByName(distinct_hits)
+    k = F.create_map(*[x for rule, _, n, _, _ in specs for x in (F.lit(rule), F.lit(n))])
+    ranked = all_hits.withColumn("pos", F.row_number().over(Window.partitionBy("rule").orderBy(ordinal)))
+    values = (ranked.where(F.col("pos") <= 5).where(F.col("pos") <= k[F.col("rule")])
+              .select("rule", F.col("pos").cast("int").alias("pos"),
+                      F.lit(None).cast("bigint").alias("sheet_row"), "sample"))
+    return first_rows.unionByName(values)
 
 
 def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -190,7 +190,8 @@ def q_sales_fact(spark, sf):
 def q_sales_weather(spark, sf):
     clean = clean_sales(spark, sf)
     fact = FX.sales_fact(clean)
-    return M.sales_weather(fact, D.dim_branch(clean), D.dim_product(clean), weather_fact(spark, sf))
+    branch, product = D.branch_and_product(clean)
+    return M.sales_weather(fact, branch, product, weather_fact(spark, sf))
 
 
 # ---------------------------------------------------------------------------
