@@ -161,6 +161,42 @@ def gate(sales_raw: DataFrame, auto_filter: bool) -> tuple[DataFrame | None, Dat
     return (clean if auto_filter else None), flagged, rejected
 
 
+def quarantine(rejected: DataFrame, root: str, run_id: str) -> str:
+    """K8: rejected rows with their original columns and ``failed_rules``, one folder per run."""
+    path = f"{root.rstrip('/')}/quarantine/run={run_id}"
+    rejected.write.mode("overwrite").parquet(path)
+    return path
+
+
+def gate_and_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame,
+                  ads_raw: DataFrame | None = None, weather_raw: DataFrame | None = None,
+                  auto_filter: bool = True, run_id: str | None = None) -> tuple[Warehouse | None, dict]:
+    """R2: gate the upload, quarantine rejects (K8), publish the accepted upload as a new
+    version keeping the previous one (K9), then load from it (R1).
+
+    The counts (G9) are observed while the quarantine is written, so the gate
+    decision (V13) costs no extra pass. Returns the warehouse (None when the
+    gate blocks: row errors and no auto-filter) and the counts.
+    """
+    import datetime
+    from pyspark.sql import Observation
+    run_id = run_id or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    wh = Warehouse(spark, warehouse_root)
+    seen = Observation(f"upload-{run_id}")
+    flagged = V.flag(sales_raw).observe(
+        seen, F.count(F.lit(1)).alias("upload_rows"),
+        F.count_if(F.size("failed_rules") > 0).alias("rejected_rows"))
+    clean, rejected = V.split(flagged)
+    quarantine(rejected, warehouse_root, run_id)
+    counts = dict(seen.get)
+    counts["accepted_rows"] = counts["upload_rows"] - counts["rejected_rows"]
+    if counts["rejected_rows"] and not auto_filter:
+        return None, counts
+    wh.publish("upload_sales", clean)
+    run_load(spark, warehouse_root, wh.read("upload_sales"), ads_raw, weather_raw)
+    return wh, counts
+
+
 def table_counts(wh: Warehouse, tables: list[str]) -> DataFrame:
     """Rows per published table, as one small DataFrame."""
     frames = [wh.read(t).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")

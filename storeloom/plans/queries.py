@@ -387,7 +387,6 @@ def q_preview(spark, sf):
 def q_end_to_end_load(spark, sf):
     """R2 then R1 into a fresh warehouse: gate the sales feed (auto-filter), load all three feeds."""
     from storeloom.plans import load as L
-    to_load, _, _ = L.gate(sales_staged(spark, sf), auto_filter=True)
-    wh = L.run_load(spark, _scratch(spark, "warehouse"), to_load,
-                    ads_staged(spark, sf), weather_staged(spark, sf))
+    wh, _ = L.gate_and_load(spark, _scratch(spark, "warehouse"), sales_staged(spark, sf),
+                            ads_staged(spark, sf), weather_staged(spark, sf), auto_filter=True)
     return L.table_counts(wh, L.ALL_TABLES)

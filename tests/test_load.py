@@ -80,3 +80,40 @@ def test_sales_update_moving_a_row_to_another_month(spark):
 def C_clean(spark):
     from storeloom.plans import clean as C
     return C.clean_sales(Q.sales_staged(spark, SF_SMALL))
+
+
+def test_gate_and_load_quarantines_publishes_and_counts(spark):
+    root = _root(spark)
+    wh, counts = L.gate_and_load(spark, root, Q.sales_staged(spark, SF_SMALL), auto_filter=True, run_id="t1")
+    flagged = V.flag(Q.sales_staged(spark, SF_SMALL))
+    bad = flagged.where(F.size("failed_rules") > 0).count()
+    assert counts["upload_rows"] == flagged.count()
+    assert counts["rejected_rows"] == bad and counts["accepted_rows"] == flagged.count() - bad
+    assert spark.read.parquet(f"{root}/quarantine/run=t1").count() == bad
+    assert wh.read("upload_sales").count() == flagged.count() - bad
+    # a second upload keeps the first as the previous version (K9)
+    L.gate_and_load(spark, root, Q.sales_staged(spark, SF_SMALL), auto_filter=True, run_id="t2")
+    assert wh.version("upload_sales") == 2
+    assert spark.read.parquet(wh.path("upload_sales", 1)).count() == flagged.count() - bad
+
+
+def test_empty_batch_is_a_no_op(spark):
+    from storeloom.operators.upsert import upsert_update
+    t = spark.createDataFrame([(1, "a")], "k int, v string")
+    empty = spark.createDataFrame([], "k int, v string")
+    assert sorted(rows_of(upsert_update(t, empty, ["k"], created_at=None))) == [(1, "a")]
+
+
+def test_file_summary_and_status(spark):
+    from storeloom.sources.text import file_status, read_text_table, summary, write_text_table
+    root = _root(spark)
+    raw = Q.sales_staged(spark, SF_SMALL).drop("_ordinal")
+    write_text_table(raw, f"{root}/upload")
+    s = summary(read_text_table(spark, f"{root}/upload")).first()
+    assert s.rows == raw.count() and s.columns == 37 and s.header.startswith("OrderID,Date")
+    st = file_status(spark, f"{root}/upload").first()
+    assert st.rows == raw.count() and st.modified_at is not None and st.amount_m is not None
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
