@@ -183,16 +183,20 @@ def gate_and_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame
     run_id = run_id or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%S")
     wh = Warehouse(spark, warehouse_root)
     seen = Observation(f"upload-{run_id}")
+    # both writes below read the flagged rows: evaluate the rules once
     flagged = V.flag(sales_raw).observe(
         seen, F.count(F.lit(1)).alias("upload_rows"),
-        F.count_if(F.size("failed_rules") > 0).alias("rejected_rows"))
-    clean, rejected = V.split(flagged)
-    quarantine(rejected, warehouse_root, run_id)
-    counts = dict(seen.get)
-    counts["accepted_rows"] = counts["upload_rows"] - counts["rejected_rows"]
-    if counts["rejected_rows"] and not auto_filter:
-        return None, counts
-    wh.publish("upload_sales", clean)
+        F.count_if(F.size("failed_rules") > 0).alias("rejected_rows")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        clean, rejected = V.split(flagged)
+        quarantine(rejected, warehouse_root, run_id)
+        counts = dict(seen.get)
+        counts["accepted_rows"] = counts["upload_rows"] - counts["rejected_rows"]
+        if counts["rejected_rows"] and not auto_filter:
+            return None, counts
+        wh.publish("upload_sales", clean)
+    finally:
+        flagged.unpersist()
     run_load(spark, warehouse_root, wh.read("upload_sales"), ads_raw, weather_raw)
     return wh, counts
 
