@@ -24,8 +24,13 @@ def _staged(df: DataFrame, keep=("_ordinal",)) -> DataFrame:
     return df.select(*[X.reader_nulls(c).alias(c) if c not in keep else F.col(c) for c in df.columns])
 
 
+STAGING_FORMAT = "2"
+
+
 def _version(sf, exprs):
-    return [os.path.abspath(sf), repr(exprs)]
+    """Identity of a staged feed: source folder, feed definition and staging rules."""
+    from storeloom.contracts import NA_TOKENS
+    return [STAGING_FORMAT, os.path.abspath(sf), repr(exprs), repr(NA_TOKENS)]
 
 
 def sales_staged(spark, sf):
