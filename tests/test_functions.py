@@ -85,3 +85,8 @@ def test_headers():
 def test_later_header_wins_when_two_normalise_alike():
     assert canonical_names(["Order ID", "order_id"]) == ["Order ID", "order_id"]
     assert canonical_names(["OrderID", "Order-ID"]) == ["OrderID", "order_id"]
+
+
+def test_nan_becomes_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.5,), (None,)], "v double")
+    assert [r[0] for r in df.select(X.nan_to_null("v")).collect()] == [None, 1.5, None]

@@ -117,3 +117,15 @@ def test_file_summary_and_status(spark):
 
 def rows_of(df):
     return [tuple(r) for r in df.collect()]
+
+
+def test_staging_contract_rejects_unknown_header_and_fills_missing(spark):
+    import pytest
+    from storeloom.sources.text import read_text_table, write_text_table
+    root = _root(spark)
+    df = spark.createDataFrame([("1", "x")], "a string, b string")
+    write_text_table(df, f"{root}/t")
+    got = read_text_table(spark, f"{root}/t", contract=["a", "b", "c"]).collect()
+    assert [tuple(r) for r in got] == [("1", "x", None)]
+    with pytest.raises(ValueError):
+        read_text_table(spark, f"{root}/t", contract=["a"])
