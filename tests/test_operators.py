@@ -146,3 +146,12 @@ def test_fk_and_key_checks(spark):
     dim = spark.createDataFrame([("a",)], "name string")
     assert rows(N.fk_violations(fact, "dim", dim, "name"), "id") == [(2,)]
     assert rows(N.key_check(fact, "t", ["id"]), "violations") == [(1,)]
+
+
+def test_blank_weather_region_is_kept_and_reported(spark):
+    from storeloom.plans import clean as C
+    raw = spark.createDataFrame([("2024-01-01", "  ", "20", "25", "1.5", 1), ("2024-01-01", "North", "20", "25", "0", 2)],
+                                "date string, region string, temp_mean string, temp_max string, rain_mm string, _ordinal int")
+    cleaned = C.clean_weather(raw)
+    assert sorted(r.region for r in cleaned.collect()) == ["", "North"]
+    assert rows(N.blank_keys(cleaned, "fact_weather_daily", ["region"]), "violations") == [(1,)]
