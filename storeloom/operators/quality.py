@@ -112,8 +112,10 @@ def samples(flagged: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
     narrow = flagged.select(ordinal, "failed_rules", "Date", "Revenue", "Category", "Region",
                             *(["CustomerSegment"] if "CustomerSegment" in flagged.columns else []),
                             "warnings")
-    bad = narrow.where((F.size("failed_rules") > 0) | F.array_contains("warnings", "segment_unknown"))
-    indexed = with_row_index(narrow.select(ordinal, "failed_rules"), ordinal)
+    # one range exchange carries everything both parts need, so the rules are
+    # evaluated once (the row numbers and the value samples reuse that exchange)
+    indexed = with_row_index(narrow, ordinal)
+    bad = indexed.where((F.size("failed_rules") > 0) | F.array_contains("warnings", "segment_unknown"))
     per_rule = indexed.select(ordinal, "row_index", F.explode("failed_rules").alias("rule"))
     first_rows = (per_rule.withColumn("pos", F.row_number().over(Window.partitionBy("rule").orderBy(ordinal)))
                   .where(F.col("pos") <= 5)
