@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storeloom.contracts import SALES_NUMERIC_COLS, SALES_TEXT_COLS
-from storeloom.functions import campaign_from_slug, null_if_token, parse_date, strip, to_decimal, to_number
+from storeloom.functions import (
+    campaign_from_slug, null_if_token, parse_date, strip, sum_or_zero, to_decimal, to_number,
+)
 from storeloom.functions.dates import date_from_stripped
 from storeloom.functions.numeric import id_from_stripped, number_from_stripped
 from storeloom.operators.dedup import keep_last, keep_last_where
@@ -76,7 +78,7 @@ def clean_ads(raw: DataFrame) -> DataFrame:
     whose values are all missing sums to 0.
     """
     kept = typed_ads(raw).drop(ORDINAL)
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ADS_MEASURES]
+    sums = [sum_or_zero(c).alias(c) for c in ADS_MEASURES]
     return kept.groupBy("date", "campaign").agg(*sums)
 
 
