@@ -16,7 +16,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    corpus = E._corpus()[0]  # tested in tests/llm, against brute force where SQL can't express one
+    assert set(QUERIES) - set(corpus) <= set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
