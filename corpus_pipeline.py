@@ -13,10 +13,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import decontaminate, line_spread, packing
+from storeloom.llm import decontaminate, line_spread, packing, toxicity
 from storeloom.llm.queries import table, tokenizer
 
 
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity network doesn't reject."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines removed; ``n_chars`` counts what is left."""
     out, clean, n = line_spread.without_boilerplate(docs)
@@ -35,7 +40,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer("word_bpe_49k.json"))
 
 
-STAGES = [("line_dedup", lines), ("decontamination", decontaminated), ("packing", packed)]
+STAGES = [("toxicity", clean), ("line_dedup", lines), ("decontamination", decontaminated), ("packing", packed)]
 
 ORACLE_SQL = None  # token ids and models are beyond SQL
 
