@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,16 +45,29 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a local folder set.
+    Where it is unset, a local session (tests, bench) gets a folder under
+    ``/tmp``; on a cluster, whose executors share no local folder, this raises.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = fallback or os.path.join("/tmp", f"storeloom-checkpoints-{os.getpid()}")
+        return current.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = os.path.join("/tmp", f"storeloom-checkpoints-{os.getpid()}")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables in the shared checkpoint folder; it goes when the driver's JVM ends."""
+    root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return root
