@@ -8,13 +8,12 @@ windows of token ids. All stages but the last return the columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.llm import decontaminate, line_spread, packing, toxicity
+from storeloom.llm import decontaminate, line_spread, ngram_join, packing, toxicity
 from storeloom.llm.queries import table, tokenizer
+from storeloom.session import scratch_folder
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +29,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*[own.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return ngram_join.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
@@ -40,15 +44,14 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer("word_bpe_49k.json"))
 
 
-STAGES = [("toxicity", clean), ("line_dedup", lines), ("decontamination", decontaminated), ("packing", packed)]
+STAGES = [("toxicity", clean), ("line_dedup", lines), ("near_duplicates", distinct), ("decontamination", decontaminated), ("packing", packed)]
 
 ORACLE_SQL = None  # token ids and models are beyond SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over ``documents``; each one's result is kept in the shared checkpoint folder."""
-    from storeloom.session import ensure_checkpoint_dir
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{k}-{name}")

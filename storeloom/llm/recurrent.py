@@ -68,7 +68,7 @@ class BiGRU:
         d, h = word_dim + gram_dim, hidden
         self.h = h
         draw = lambda scale, *shape: rng.normal(0, scale, shape).astype(np.float32)
-        self.p = {"word": draw(0.3, WORD_BUCKETS, word_dim), "gram": draw(0.6, GRAM_BUCKETS, gram_dim), "W": draw(d ** -0.5, 2, d, 3 * h), "U": draw(h ** -0.5, 2, h, 3 * h),
+        self.p = {"word": draw(0.02, WORD_BUCKETS, word_dim), "gram": draw(0.1, GRAM_BUCKETS, gram_dim), "W": draw(d ** -0.5, 2, d, 3 * h), "U": draw(h ** -0.5, 2, h, 3 * h),
                   "b": np.zeros((2, 1, 3 * h), np.float32), "v": draw(0.3, 2, h), "w": draw(0.3, 2, h), "c": np.zeros(1, np.float32)}
 
     def inputs(self, words: list[bytes], chunk: int = 20_000) -> tuple[np.ndarray, tuple]:

@@ -30,6 +30,8 @@ from storeloom.llm.recurrent import BiGRU
 WINDOW, STRIDE = 64, 48
 PER_CLASS, WINDOWS_EACH = 900, 5
 PASSES, BATCH, RATE = 6, 96, 0.02
+#: Training steps at least; a small sample is passed over more often.
+LEAST_STEPS = 300
 #: Clean documents in the sample to a toxic one, and how much more a clean window weighs in the loss.
 CLEAN_TIMES, CLEAN_WEIGHT = 2, 2.0
 HELD_OUT_OF, HELD_OUT = 5, 0
@@ -86,6 +88,8 @@ def train(windows: list[tuple[int, int, list[bytes]]], passes: int = PASSES, bat
     size = np.bincount(doc)[doc]
     net, rng = BiGRU(), np.random.default_rng(seed)
     clean = np.flatnonzero(y == 0)
+    in_a_pass = -(-4 * int((y == 1).sum()) // batch)
+    passes = max(passes, -(-LEAST_STEPS // max(1, in_a_pass)))
     for k in range(passes):
         if k == 0:
             toxic = np.flatnonzero((y == 1) & (size <= max(2, int(size[y == 1].min()))))
