@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeloom.llm import decontaminate, latent_votes, line_spread, ngram_join, packing, quality_rules, secret_scan, token_counts, toxicity
+from storeloom.llm import decontaminate, latent_votes, line_spread, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op5_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.report(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(table(spark, sf_dir, "documents"))
 
