@@ -13,7 +13,7 @@ on the input.
    repeated, and one of them stands for all. Different pieces of an anchor go to
    a shard.
 3. A shard sorts all suffixes of its pieces by Larsson-Sadakane refinement (first
-   by 8 bytes, then by the ranks at doubling distances, in numpy, only inside
+   by 7 bytes, then by the ranks at doubling distances, in numpy, only inside
    groups that are still unsorted), and takes the common prefixes of neighbours
    by Kasai's method, run in many lanes at once. Starts whose neighbours share
    ``LENGTH`` bytes or more are repeated.
@@ -88,15 +88,17 @@ def anchors(rows: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
-    """All suffixes in order (Larsson-Sadakane: groups that 8, 16, 32... bytes leave unsorted are sorted by the ranks further on)."""
+    """All suffixes in order (Larsson-Sadakane: groups that 7, 14, 28... bytes leave unsorted are sorted by the ranks further on)."""
     n = data.size
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     first = np.ndarray(n, ">u8", padded.tobytes(), strides=(1,)).astype(np.uint64)
+    # seven bytes, then how many there are: a suffix that ends comes before one that goes on with zeros
+    first = (first & ~np.uint64(255)) | np.minimum(np.arange(n, 0, -1), 8).astype(np.uint64)
     order = np.argsort(first, kind="stable")
     head = np.concatenate(([True], first[order][1:] != first[order][:-1]))
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
-    span = 8
+    span = 7
     while True:
         ends = np.concatenate((head[1:], [True]))
         open_ = np.flatnonzero(~(head & ends))  # places in groups of two or more
