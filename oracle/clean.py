@@ -14,7 +14,9 @@ def q(s):
 
 
 def strip(x):
-    return f"trim({x}, ' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11) || chr(160))"
+    """White space by Unicode property (separators) and the control characters that count as such."""
+    space = r"[\x09-\x0D\x1C-\x1F\x{85}\p{Z}]+"
+    return f"regexp_replace(regexp_replace({x}, '^{space}', ''), '{space}$', '')"
 
 
 def clean_text(x):
@@ -36,8 +38,10 @@ def to_decimal(x, p, s_):
 def to_id(x):
     s = strip(x)
     n = to_number(x)
-    return (f"CASE WHEN regexp_matches({s}, '^\\s*[+-]?\\d{{1,18}}\\s*$') THEN TRY_CAST({s} AS BIGINT) "
-            f"WHEN abs({n}) < 9.2e18 THEN CAST(trunc({n}) AS BIGINT) END")
+    # whole numbers through a 38-digit integer, others through their truncated double; out of range is NULL
+    whole = f"TRY_CAST(TRY_CAST({s} AS HUGEINT) AS BIGINT)"
+    return (f"CASE WHEN ltrim(translate({s}, '0123456789', ''), '+-') = '' AND regexp_matches({s}, '^[+-]?[0-9]') THEN {whole} "
+            f"ELSE TRY_CAST(trunc({n}) AS BIGINT) END")
 
 
 def parse_date(x):

@@ -124,10 +124,10 @@ def _standardize():
     # messy headers: MarketShare and RegionProfitShare dropped; PromotionCampaign renamed to
     # "Campaign" and Region to "Vùng" (normalises to "vng"), neither of which maps, so
     # campaign and region are NULL; every other column maps back.
-    from storeloom.contracts import ALL_COLS
+    from storeloom.contracts import OPTIONAL_COLS, REQUIRED_COLS
     canon_to_raw = {v: k for k, v in K.SALES_CANON.items()}
     cols = []
-    for c in ALL_COLS:
+    for c in (*REQUIRED_COLS, *OPTIONAL_COLS):
         if c in ("market_share", "region_profit_share", "campaign", "region"):
             cols.append(f"CAST(NULL AS VARCHAR) AS {c}")
         else:

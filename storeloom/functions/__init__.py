@@ -5,13 +5,13 @@ from storeloom.functions.lookups import (
     campaign_from_slug, campaign_type, channel_type, lookup, lookup_or_default,
 )
 from storeloom.functions.numeric import (
-    is_number_text, nan_to_null, safe_ratio, sum_or_zero, to_decimal, to_id, to_number,
+    safe_ratio, sum_or_zero, to_decimal, to_id, to_number,
 )
 from storeloom.functions.text import clean_text, normalize_key, null_if_token, reader_nulls, strip
 
 __all__ = [
     "calendar_columns", "is_strict_iso_date", "parse_date", "campaign_from_slug",
-    "campaign_type", "channel_type", "lookup", "lookup_or_default", "is_number_text",
-    "nan_to_null", "safe_ratio", "sum_or_zero", "to_decimal", "to_id", "to_number",
+    "campaign_type", "channel_type", "lookup", "lookup_or_default", 
+    "safe_ratio", "sum_or_zero", "to_decimal", "to_id", "to_number",
     "clean_text", "normalize_key", "null_if_token", "reader_nulls", "strip",
 ]

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from storeloom.functions.text import _col, strip
 
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-DIGITS_PATTERN = r"^\s*[+-]?\d{1,18}\s*$"
+DIGITS_PATTERN = r"^[+-]?\d+$"
 # Characters a plain decimal number may contain. Spark's string -> double cast
 # accepts exactly R2's grammar over these characters, so "nothing else left"
 # is the guard, without running a regex per value.
@@ -23,10 +22,6 @@ NUMBER_CHARS = "0123456789+-.eE"
 INF = float("inf")
 
 
-def is_number_text(c) -> Column:
-    return strip(c).rlike(NUMBER_PATTERN)
-
-
 def _only_number_chars(t: Column) -> Column:
     return F.length(F.translate(t, NUMBER_CHARS, "")) == 0
 
@@ -61,21 +56,15 @@ def id_from_stripped(t) -> Column:
     t = _col(t)
     as_double = number_from_stripped(t)
     return F.when(t.rlike(DIGITS_PATTERN), t.try_cast("bigint")).otherwise(
-        F.when(F.abs(as_double) < F.lit(9.2e18), as_double.cast("bigint"))
+        F.when(F.abs(as_double) < F.lit(2.0 ** 63), as_double.cast("bigint"))
     )
 
 
 def to_id(c) -> Column:
-    """Text id -> bigint: digit-only text exactly, else through double truncated toward zero."""
+    """Text id -> bigint: digits exactly over the whole range, else through double truncated toward zero; NULL beyond it."""
     return id_from_stripped(strip(c))
 
 
-def nan_to_null(c) -> Column:
-    """P10: NaN (not NULL in Spark) -> NULL for a double column."""
-    c = _col(c)
-    return F.when(~F.isnan(c), c)
-
-
 def safe_ratio(numerator, denominator, precision: int = 18, scale: int = 6) -> Column:
     """CASE WHEN d IS NULL OR d = 0 THEN NULL ELSE n / d END, as decimal(p,s)."""
     n, d = _col(numerator), _col(denominator)

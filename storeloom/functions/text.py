@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from storeloom.contracts import NA_TOKENS, TEXT_NULL_TOKENS
 
-# Characters removed from both ends by ``strip``: ASCII whitespace and no-break space.
-WHITESPACE = " \t\n\r\f\u000b\u00a0"
+# Characters removed from both ends by ``strip``: all Unicode white space, as text tools strip it.
+WHITESPACE = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                               0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def _col(c) -> Column:
@@ -16,7 +17,7 @@ def _col(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Remove leading and trailing whitespace (tab, newline, nbsp too)."""
+    """Remove leading and trailing white space (any Unicode space)."""
     return F.trim(_col(c), F.lit(WHITESPACE))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from storeloom.contracts import GATE_REQUIRED_COLS, VALID_CATEGORIES, VALID_REGIONS, VALID_SEGMENTS
 from storeloom.functions import is_strict_iso_date, to_number
-from storeloom.sources.ordinal import with_row_index
+from storeloom.sources.ordinal import rows_before
 
 ROW_RULES = (["date_format"] + [f"null_{c}" for c in GATE_REQUIRED_COLS]
              + ["revenue_not_numeric", "revenue_non_positive", "quantity_non_positive",
@@ -64,8 +64,8 @@ def flag(df: DataFrame) -> DataFrame:
 
 
 def _tenths_pct(n: Column, total: Column) -> Column:
-    """n / total * 100 rounded half-up to one decimal, as a double."""
-    return (F.floor((n * 2000 + total) / (total * 2)) / 10.0).cast("double")
+    """n / total * 100 rounded half-up to one decimal, as a double; NULL for an empty upload."""
+    return (F.floor(F.try_divide(n * 2000 + total, total * 2)) / 10.0).cast("double")
 
 
 def report(flagged: DataFrame) -> DataFrame:
@@ -112,15 +112,12 @@ def samples(flagged: DataFrame, ordinal: str = "_ordinal") -> DataFrame:
     narrow = flagged.select(ordinal, "failed_rules", "Date", "Revenue", "Category", "Region",
                             *(["CustomerSegment"] if "CustomerSegment" in flagged.columns else []),
                             "warnings")
-    # one range exchange carries everything both parts need, so the rules are
-    # evaluated once (the row numbers and the value samples reuse that exchange)
-    indexed = with_row_index(narrow, ordinal)
-    bad = indexed.where((F.size("failed_rules") > 0) | F.array_contains("warnings", "segment_unknown"))
-    per_rule = indexed.select(ordinal, "row_index", F.explode("failed_rules").alias("rule"))
-    first_rows = (per_rule.withColumn("pos", F.row_number().over(Window.partitionBy("rule").orderBy(ordinal)))
-                  .where(F.col("pos") <= 5)
-                  .select("rule", F.col("pos").cast("int").alias("pos"),
-                          (F.col("row_index") + 2).alias("sheet_row"),
+    bad = narrow.where((F.size("failed_rules") > 0) | F.array_contains("warnings", "segment_unknown"))
+    # at most five ordinals a rule; then one narrow aggregate counts the rows before each of them
+    firsts = (narrow.select(ordinal, F.explode("failed_rules").alias("rule"))
+              .withColumn("pos", F.row_number().over(Window.partitionBy("rule").orderBy(ordinal))).where(F.col("pos") <= 5))
+    first_rows = (firsts.join(rows_before(narrow.select(ordinal), firsts.select(ordinal), ordinal), ordinal)
+                  .select("rule", F.col("pos").cast("int").alias("pos"), (F.col("rows_before") + 2).alias("sheet_row"),
                           F.lit(None).cast("string").alias("sample")))
     # value samples, all rules in one pass: (rule, value, ordinal) pairs of the bad rows;
     # rules sampling distinct values keep each value's first row; then k first per rule

@@ -1,10 +1,6 @@
-"""Feed order (W3) and dense row numbers without a single-task window.
+"""Feed order (W3) and positions in it, without a global sort.
 
-A file scan's order is (file path, split start, position in split). A dense
-row number over a total order is built from per-partition counts: the frame
-is range-partitioned and sorted by the order, each row gets its position in
-its partition, and a tiny per-partition offsets table (one row per
-partition, a proven size bound) is broadcast back.
+A file scan's order is (file path, split start, position in split).
 """
 
 from __future__ import annotations
@@ -13,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 def file_ordinal() -> Column:
     """Order of rows as stored in the scanned files (CSV has no row index)."""
     return F.struct(
@@ -23,21 +18,18 @@ def file_ordinal() -> Column:
     )
 
 
-def with_row_index(df: DataFrame, ordinal: str, name: str = "row_index",
-                   partitions: int | None = None) -> DataFrame:
-    """Add ``name``: 0-based dense position of each row in ``ordinal`` order."""
-    spark = df.sparkSession
-    n = partitions or spark.sparkContext.defaultParallelism
-    # One plan reads ``tagged`` twice (counts and rows); Spark reuses the range
-    # exchange, and even when re-run (a lost executor) the bounds come from
-    # deterministic sampling and rows are sorted by a unique ordinal, so every
-    # row gets the same partition and position again.
-    tagged = (df.repartitionByRange(n, F.col(ordinal)).sortWithinPartitions(ordinal)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_offset") + F.col("_mono") - F.col("_first"))
-            .drop("_pid", "_mono", "_first", "_offset"))
+def rows_before(rows: DataFrame, wanted: DataFrame, ordinal: str) -> DataFrame:
+    """For each of a few ``wanted`` ordinals: (ordinal, ``rows_before``), the rows with a smaller one.
+
+    The wanted ordinals become one sorted array; every row is put in the gap
+    between two of them, and one map-side combined count per gap, summed up in
+    order, gives the positions. No row is sorted or shuffled.
+    """
+    marks = wanted.select(ordinal).distinct().agg(F.sort_array(F.collect_list(ordinal)).alias("marks"))
+    marked = rows.select(ordinal, marks.scalar().alias("_marks"))
+    counts = marked.select(F.size(F.filter("_marks", lambda m: m <= F.col(ordinal))).alias("gap")).groupBy("gap").agg(F.count(F.lit(1)).alias("n"))
+    # gap k holds the rows from mark k-1 up to mark k: those before mark k are in gaps 0..k
+    places = marks.select(F.posexplode("marks").alias("gap", ordinal)).join(counts, "gap", "full_outer")
+    upto = Window.orderBy("gap").rowsBetween(Window.unboundedPreceding, 0)  # one row a mark
+    return (places.withColumn("rows_before", F.sum(F.coalesce("n", F.lit(0))).over(upto))
+            .where(F.col(ordinal).isNotNull()).select(ordinal, "rows_before"))

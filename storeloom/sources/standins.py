@@ -92,9 +92,9 @@ def region_name(regionkey: str) -> str:
 
 
 def _pad(x: str, key: str) -> str:
-    """Surround with space+tab / nbsp on every fifth key (strip test)."""
+    """Surround with space+tab / nbsp on every fifth key, wide spaces on the next (strip test)."""
     return (f"concat(CASE WHEN {key} % 5 = 0 THEN concat(' ', chr(9)) ELSE '' END, {x}, "
-            f"CASE WHEN {key} % 5 = 0 THEN chr(160) ELSE '' END)")
+            f"CASE WHEN {key} % 5 = 0 THEN chr(160) WHEN {key} % 5 = 1 THEN '\u2003\u3000' ELSE '' END)")
 
 
 # ---------------------------------------------------------------------------
@@ -115,6 +115,9 @@ def sales_raw_exprs(dialect: str) -> list[tuple[str, str]]:
     exprs = {
         "OrderID": f"CASE WHEN {k} % 101 = 0 THEN NULL "
                    f"WHEN {k} % 101 = 1 THEN concat(CAST({oid} AS STRING), '.7') "
+                   # 19 digits that differ in the last ones only, and some beyond the range
+                   f"WHEN {k} % 109 = 5 THEN concat('12345678901', CAST(10000000 + {oid} AS STRING)) "
+                   f"WHEN {k} % 113 = 7 THEN concat('9223372036854775', CAST(806 + l_linenumber AS STRING)) "
                    f"ELSE CAST({oid} AS STRING) END",
         "Date": f"CASE WHEN {k} % 97 = 0 THEN 'junk' WHEN {k} % 97 = 1 THEN '2024-02-30' "
                 f"WHEN {k} % 4 = 1 THEN {fmt_date(d, 'yyyy-M-d', dialect)} "
@@ -123,7 +126,7 @@ def sales_raw_exprs(dialect: str) -> list[tuple[str, str]]:
                 f"ELSE {iso} END",
         "Year": f"CAST(year({d}) AS STRING)",
         "Month": f"CAST(month({d}) AS STRING)",
-        "Region": _pad(f"CASE WHEN {k} % 71 = 1 THEN 'Tây Nguyên' ELSE {region_name('n_regionkey')} END", k),
+        "Region": _pad(f"CASE WHEN {k} % 71 = 1 AND {d} >= DATE '1997-01-01' THEN 'Tây Nguyên' ELSE {region_name('n_regionkey')} END", k),
         "Branch": _pad("n_name", k),
         "Department": f"CASE WHEN {k} % 79 = 0 THEN '' WHEN {k} % 79 = 1 THEN 'nan' "
                       f"WHEN {k} % 79 = 2 THEN 'None' WHEN {k} % 79 = 3 THEN 'NA' "

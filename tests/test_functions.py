@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from storeloom import functions as X
 from storeloom.contracts import NA_TOKENS
-from storeloom.operators.mapping import canonical_names, normalize_header
+from storeloom.operators.mapping import canonical_names, spelling
 from tests.conftest import rows
 
 
@@ -76,8 +76,8 @@ def test_safe_ratio(spark):
 
 
 def test_headers():
-    assert normalize_header(" Doanh_Thu ") == "doanhthu"
-    assert normalize_header("Ngày") == "ngy"
+    assert spelling(" Doanh_Thu ") == "doanhthu"
+    assert spelling("Ngày") == "ngy"
     names = canonical_names(["Doanh_Thu", "ROI_Marketing", "Ngày", "Campaign", "campaign"])
     assert names == ["revenue", "roi_marketing", "Ngày", "Campaign", "campaign"]
 
@@ -87,6 +87,17 @@ def test_later_header_wins_when_two_normalise_alike():
     assert canonical_names(["OrderID", "Order-ID"]) == ["OrderID", "order_id"]
 
 
-def test_nan_becomes_null(spark):
-    df = spark.createDataFrame([(float("nan"),), (1.5,), (None,)], "v double")
-    assert [r[0] for r in df.select(X.nan_to_null("v")).collect()] == [None, 1.5, None]
+def test_best_alias_wins_before_the_later_header():
+    assert canonical_names(["promotion_campaign", "campaign name", "PromotionCampaign "]) == ["promotion_campaign", "campaign name", "campaign"]
+
+
+def test_ids_are_exact_over_bigint(spark):
+    got = one(spark, ["1234567890123456789", "1234567890123456788", "+9223372036854775807", "9223372036854775808", "-9223372036854775808",
+                      "1e3", "12.9", "1e19", "x", "--5"], X.to_id)
+    assert got == [1234567890123456789, 1234567890123456788, 9223372036854775807, None, -9223372036854775808, 1000, 12, None, None, None]
+
+
+def test_strip_takes_all_unicode_space(spark):
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    assert one(spark, [f"{s}a{s}b{s}{s}" for s in spaces], X.strip) == [f"a{s}b" for s in spaces]
+    assert one(spark, ["\u200ba\ufeff"], X.strip) == ["\u200ba\ufeff"]

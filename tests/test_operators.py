@@ -15,7 +15,7 @@ from storeloom.operators.mapping import standardize_columns
 from storeloom.operators.upsert import insert_if_absent, upsert_update
 from storeloom.plans import clean as C
 from storeloom.sources.feed import flatten
-from storeloom.sources.ordinal import with_row_index
+from storeloom.sources.ordinal import rows_before
 from tests.conftest import rows
 
 
@@ -126,10 +126,30 @@ def test_gate_rules_each_fire(spark):
         V.flag(df.drop("Cost"))
 
 
-def test_row_index_is_dense_and_ordered(spark):
-    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("_ordinal"))
-    got = sorted(rows(with_row_index(df, "_ordinal"), "_ordinal", "row_index"))
-    assert got == [(i, i) for i in range(5000)]
+def test_positions_are_right_in_a_wide_frame_over_many_partitions(spark):
+    order = F.col("id") * 7919 % 5000
+    df = spark.range(0, 5000, 1, 8).select(F.struct((order / 100).cast("int").alias("a"), (order % 100).alias("b")).alias("_ordinal"),
+                                           F.repeat(F.lit("x"), 50).alias("wide"), order.alias("place"))
+    wanted = df.where("place % 97 = 5 or place in (0, 1, 4999)")
+    at = {tuple(r[0]): r[1] for r in rows(rows_before(df, wanted.select("_ordinal"), "_ordinal"))}
+    assert len(at) == wanted.count() and all(n == a * 100 + b for (a, b), n in at.items())
+    assert rows(rows_before(df, df.where("false").select("_ordinal"), "_ordinal")) == []
+
+
+def test_samples_need_no_range_exchange(spark):
+    cols = ["OrderID", "Date", "Region", "Product", "Category", "Quantity", "Revenue", "Cost", "Profit"]
+    df = spark.range(2000).repartition(8).selectExpr("id AS _ordinal", *[f"CASE WHEN id % 1999 = 1777 THEN NULL ELSE '5' END AS {c}" for c in cols])
+    samples = V.samples(V.flag(df))
+    got = {(r.rule, r.sheet_row) for r in samples.where("rule like 'null%'").collect()}
+    assert got == {(f"null_{c}", 1779) for c in cols}
+    assert "rangepartitioning" not in samples._jdf.queryExecution().toString()
+
+
+def test_empty_upload_has_a_report(spark):
+    cols = ["OrderID", "Date", "Region", "Product", "Category", "Quantity", "Revenue", "Cost", "Profit"]
+    empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in cols))
+    got = {r.rule: (r.n_rows, r.pct) for r in V.report(V.flag(empty)).collect()}
+    assert got["total_rows"] == (0, None) and got["clean_rows"] == (0, None)
 
 
 def test_flatten_stops_at_shortest_array(spark):
