@@ -244,7 +244,7 @@ def _na(x):
 
 def _token_note():
     from storeloom.contracts import NA_TOKENS
-    tokens = list(NA_TOKENS) + ["na", "none", "-", " "]
+    tokens = list(NA_TOKENS) + ["na", "none", "-", " ", 'a "b", c', '"', "line 1\nline 2", " padded\t", ",", 'x""y', "back\\slash"]
     arms = " ".join(f"WHEN {i} THEN {K.q(t)}" for i, t in enumerate(tokens))
     return f"CASE c_custkey % {len(tokens) + 1} {arms} ELSE c_mktsegment END"
 

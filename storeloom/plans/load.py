@@ -7,6 +7,7 @@ table is published after its checks, dimensions before facts.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
@@ -22,7 +23,8 @@ from storeloom.operators.upsert import insert_if_absent, upsert_update
 from storeloom.plans import clean as C
 from storeloom.plans.warehouse import Warehouse, month_of
 
-FACTS = {"fact_marketing_sales", "fact_ad_spend", "fact_weather_daily"}
+#: Facts without an insert time.
+UNSTAMPED = {"fact_weather_daily"}
 
 
 def _no_duplicate_keys(table):
@@ -52,17 +54,11 @@ def touched_months(wh: Warehouse, table: str, batch: DataFrame) -> list[str]:
 def _merge_fact(wh: Warehouse, table: str, batch: DataFrame) -> None:
     """K3 into a month-partitioned fact: rewrite only the touched months."""
     keys = PRIMARY_KEYS[table]
+    stamped = table not in UNSTAMPED
     touched = touched_months(wh, table, batch)
-    target = wh.read(table, schema=_with_created(batch).schema, months=touched)
-    wh.publish_months(table, upsert_update(target, batch, keys), touched, checks=_no_duplicate_keys(table))
-
-
-def _merge(wh: Warehouse, table: str, batch: DataFrame, update: bool) -> None:
-    """One upsert of one batch into one table (kept for single-batch callers)."""
-    if table in FACTS:
-        _merge_fact(wh, table, batch)
-        return
-    _publish_dimension(wh, table, [(batch, update)])
+    target = wh.read(table, schema=(_with_created(batch) if stamped else batch).schema, months=touched)
+    merged = upsert_update(target, batch, keys, created_at="created_at" if stamped else None)
+    wh.publish_months(table, merged, touched, checks=_no_duplicate_keys(table))
 
 
 def _publish_dimension(wh: Warehouse, table: str, batches: list[tuple[DataFrame, bool]]) -> None:
@@ -162,9 +158,9 @@ def gate(sales_raw: DataFrame, auto_filter: bool) -> tuple[DataFrame | None, Dat
 
 
 def quarantine(rejected: DataFrame, root: str, run_id: str) -> str:
-    """K8: rejected rows with their original columns and ``failed_rules``, one folder per run."""
+    """K8: rejected rows with their original columns and ``failed_rules``, one folder per run (never overwritten)."""
     path = f"{root.rstrip('/')}/quarantine/run={run_id}"
-    rejected.write.mode("overwrite").parquet(path)
+    rejected.write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -180,7 +176,7 @@ def gate_and_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame
     """
     import datetime
     from pyspark.sql import Observation
-    run_id = run_id or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    run_id = run_id or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%S") + f"-{uuid.uuid4().hex[:12]}"
     wh = Warehouse(spark, warehouse_root)
     seen = Observation(f"upload-{run_id}")
     # both writes below read the flagged rows: evaluate the rules once

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from storeloom.operators.mapping import standardize_columns
 from storeloom.plans import clean as C
 from storeloom.plans import marts as M
 from storeloom.sources import standins as S
-from storeloom.sources.staging import staged
+from storeloom.sources.staging import source_state, staged
 
 
 def _staged(df: DataFrame, keep=("_ordinal",)) -> DataFrame:
@@ -24,29 +22,26 @@ def _staged(df: DataFrame, keep=("_ordinal",)) -> DataFrame:
     return df.select(*[X.reader_nulls(c).alias(c) if c not in keep else F.col(c) for c in df.columns])
 
 
-STAGING_FORMAT = "2"
-
-
-def _version(sf, exprs):
-    """Identity of a staged feed: source folder, feed definition and staging rules."""
+def _version(spark, sf, exprs, *tables):
+    """Identity of a staged feed: the state of its source files, feed definition and staging rules."""
     from storeloom.contracts import NA_TOKENS
-    return [STAGING_FORMAT, os.path.abspath(sf), repr(exprs), repr(NA_TOKENS)]
+    return [*(source_state(spark, f"{sf}/{t}.parquet") for t in tables), repr(exprs), repr(NA_TOKENS)]
 
 
 def sales_staged(spark, sf):
     """The sales feed as landed in staging (S1 tokens already NULL)."""
     return staged(spark, "sales", lambda: _staged(S.sales_raw(spark, sf)),
-                  *_version(sf, S.sales_raw_exprs(S.SPARK)))
+                  *_version(spark, sf, S.sales_raw_exprs(S.SPARK), "lineitem", "orders", "customer", "part", "supplier", "nation"))
 
 
 def ads_staged(spark, sf):
     return staged(spark, "ads", lambda: _staged(S.ads_raw(spark, sf)),
-                  *_version(sf, S.ads_raw_exprs(S.SPARK)))
+                  *_version(spark, sf, S.ads_raw_exprs(S.SPARK), "events"))
 
 
 def weather_staged(spark, sf):
     return staged(spark, "weather", lambda: _staged(S.weather_raw(spark, sf)),
-                  *_version(sf, S.weather_raw_exprs(S.SPARK)))
+                  *_version(spark, sf, S.weather_raw_exprs(S.SPARK), "orders", "customer", "nation"))
 
 
 def clean_sales(spark, sf):
@@ -205,16 +200,15 @@ def q_sales_weather(spark, sf):
 
 def _scratch(spark, name):
     """A fresh folder under the shared checkpoint folder for a query's files."""
-    import uuid
-    from storeloom.session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/storeloom-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    from storeloom.session import scratch_folder
+    return f"{scratch_folder(spark, name)}/files"
 
 
 def token_rows(spark, sf):
     """customer rows with a note column cycling through NULL tokens and kept look-alikes."""
     from storeloom.contracts import NA_TOKENS
-    tokens = list(NA_TOKENS) + ["na", "none", "-", " "]
-    arms = " ".join(f"WHEN {i} THEN {S._q(t)}" for i, t in enumerate(tokens))
+    tokens = list(NA_TOKENS) + ["na", "none", "-", " ", 'a "b", c', '"', "line 1\nline 2", " padded\t", ",", 'x""y', "back\\slash"]
+    arms = " ".join("WHEN {} THEN {}".format(i, S._q(t).replace("\\", "\\\\")) for i, t in enumerate(tokens))
     note = f"CASE c_custkey % {len(tokens) + 1} {arms} ELSE c_mktsegment END"
     return (spark.read.parquet(f"{sf}/customer.parquet")
             .selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS name", f"{note} AS note"))
@@ -223,7 +217,7 @@ def token_rows(spark, sf):
 def q_text_scan_nulls(spark, sf):
     from storeloom.sources.text import read_text_table, write_text_table
     path = _scratch(spark, "customers-csv")
-    write_text_table(token_rows(spark, sf), path)
+    write_text_table(token_rows(spark, sf).repartition(4, "id"), path)
     return read_text_table(spark, path, contract=["id", "name", "note", "extra"])
 
 

@@ -1,18 +1,22 @@
 """Staging snapshots and file-system checks.
 
-A raw feed is landed once as a Parquet snapshot (truncate-and-load =
-write a fresh directory) under the cluster's shared checkpoint folder and
-scanned from there. The snapshot cuts the lineage: a lost executor
-re-reads files instead of recomputing the feed from its sources.
+A raw feed is landed as a Parquet snapshot (truncate-and-load = write a fresh
+folder) under the cluster's shared checkpoint folder and scanned from there.
+The snapshot cuts the lineage: a lost executor re-reads files instead of
+recomputing the feed from its sources. An application lands a feed once for
+each state of its source files (names, lengths, modification times), in a
+folder of its own that goes when the application ends, so neither changed data
+nor another application's snapshot is ever read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from storeloom.session import ensure_checkpoint_dir
+from storeloom.session import scratch_folder
 from storeloom.sources.tables import spread
 
 
@@ -34,17 +38,31 @@ def land(df: DataFrame, path: str) -> DataFrame:
     return spread(df.sparkSession.read.parquet(path))
 
 
+def source_state(spark: SparkSession, path: str) -> str:
+    """The files under ``path`` with their lengths and modification times (any Hadoop file system)."""
+    fs, p = _fs_path(spark, path)
+    files = fs.listFiles(p, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(out))
+
+
+_LANDED: dict[tuple[str, ...], str] = {}
+_LANDING = threading.Lock()
+
+
 def staged(spark: SparkSession, name: str, build, *version_parts: str) -> DataFrame:
-    """The landed snapshot of feed ``name``; built by ``build()`` the first time.
+    """The landed snapshot of feed ``name`` in this application; built by ``build()`` the first time.
 
-    The directory name hashes ``version_parts`` (source location and feed
-    definition), so a changed definition lands a new snapshot instead of
-    reusing a stale one. A snapshot is reused only once its ``_SUCCESS``
-    marker exists.
+    ``version_parts`` identify the feed's definition and the state of its sources.
     """
-    digest = hashlib.sha1("\x00".join(version_parts).encode()).hexdigest()[:16]
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/storeloom-staging/{name}-{digest}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        return land(build(), path)
-    return spread(spark.read.parquet(path))
+    digest = hashlib.sha1("\x00".join(version_parts).encode()).hexdigest()
+    key = (spark.sparkContext.applicationId, name, digest)
+    with _LANDING:
+        if key not in _LANDED:
+            path = f"{scratch_folder(spark, f'staging-{name}')}/rows"
+            land(build(), path)
+            _LANDED[key] = path
+    return spread(spark.read.parquet(_LANDED[key]))

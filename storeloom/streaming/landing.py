@@ -11,18 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from storeloom.contracts import SALES_RAW_COLUMNS
 from storeloom.functions import reader_nulls
 from storeloom.plans import load as L
+from storeloom.sources.text import DIALECT, STRICT, text_schema
 
-SALES_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in SALES_RAW_COLUMNS])
+SALES_SCHEMA = text_schema(SALES_RAW_COLUMNS)
 
 
 def landed_sales(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 100) -> DataFrame:
     """S1 as a stream: all-string CSV with header, NULL tokens applied, feed ordinal attached."""
-    raw = (spark.readStream.schema(SALES_SCHEMA).option("header", True)
+    raw = (spark.readStream.schema(SALES_SCHEMA).options(**DIALECT, **STRICT)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(landing_dir))
     where = F.struct(F.col("_metadata.file_modification_time").alias("mtime"),
                      F.col("_metadata.file_path").alias("file"),
@@ -39,11 +39,15 @@ def with_ordinal(batch: DataFrame) -> DataFrame:
 
 
 def load_batch(warehouse_root: str, auto_filter: bool = True):
-    """foreachBatch body: gate the micro-batch, then load its clean rows."""
+    """foreachBatch body: gate the micro-batch, quarantine its rejects, load its clean rows.
+
+    Without ``auto_filter`` a micro-batch with rejects stops the stream, so that
+    its files stay unprocessed in the checkpoint and no row is lost.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
-        to_load, _, _ = L.gate(with_ordinal(batch), auto_filter=auto_filter)
-        if to_load is not None:
-            L.run_load(batch.sparkSession, warehouse_root, to_load)
+        wh, counts = L.gate_and_load(batch.sparkSession, warehouse_root, with_ordinal(batch), auto_filter=auto_filter)
+        if wh is None:
+            raise ValueError(f"landed batch {batch_id} has {counts['rejected_rows']} rejected rows (see the quarantine); nothing was loaded")
     return run
 
 

@@ -62,16 +62,16 @@ def test_fact_publish_rewrites_only_touched_months(spark):
 
 def test_sales_update_moving_a_row_to_another_month(spark):
     import datetime as dt
-    from storeloom.plans.load import _merge
+    from storeloom.plans.load import _merge_fact
     wh = L.Warehouse(spark, _root(spark))
     base = Q.FX.sales_fact(C_clean(spark)).limit(0)
     schema = base.schema
     row = {f.name: None for f in schema.fields}
     a = dict(row, order_id=1, full_date=dt.date(2024, 1, 5))
     b = dict(row, order_id=2, full_date=dt.date(2024, 2, 5))
-    _merge(wh, "fact_marketing_sales", spark.createDataFrame([a, b], schema), update=True)
+    _merge_fact(wh, "fact_marketing_sales", spark.createDataFrame([a, b], schema))
     moved = dict(row, order_id=1, full_date=dt.date(2024, 3, 1))
-    _merge(wh, "fact_marketing_sales", spark.createDataFrame([moved], schema), update=True)
+    _merge_fact(wh, "fact_marketing_sales", spark.createDataFrame([moved], schema))
     got = sorted((r.order_id, str(r.full_date)) for r in wh.read("fact_marketing_sales").collect())
     assert got == [(1, "2024-03-01"), (2, "2024-02-05")]
     assert set(wh.manifest("fact_marketing_sales")["months"]) == {"2024-02", "2024-03"}
@@ -129,3 +129,67 @@ def test_staging_contract_rejects_unknown_header_and_fills_missing(spark):
     assert [tuple(r) for r in got] == [("1", "x", None)]
     with pytest.raises(ValueError):
         read_text_table(spark, f"{root}/t", contract=["a"])
+
+
+def test_csv_dialect_round_trip(spark):
+    from storeloom.sources.text import read_text_table, write_text_table
+    path = f"{_root(spark)}/quoted"
+    values = ['a "b", c', "line1\nline2", '"', "x,y", "  padded ", "back\\slash", "tail\\"]
+    write_text_table(spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, v string").repartition(3, "id"), path)
+    assert sorted(rows_of(read_text_table(spark, path))) == [(str(i), v) for i, v in enumerate(values)]
+
+
+def _land_files(spark, **files):
+    import os
+    path = _root(spark)
+    os.makedirs(path)
+    for name, text in files.items():
+        with open(f"{path}/{name}.csv", "w") as f:
+            f.write(text)
+    return path
+
+
+def test_reordered_surplus_and_ragged_input_raise(spark):
+    import pytest
+    from storeloom.sources.text import read_text_table
+    good = _land_files(spark, a="id,name\n1,x\n", b="id,name\n2,\"q\"\"q\"\n")
+    assert sorted(rows_of(read_text_table(spark, good))) == [("1", "x"), ("2", 'q"q')]
+    for bad in ("name,id\ny,2\n", "id,name\n2,y,z\n", "id,name\n2\n"):
+        path = _land_files(spark, a="id,name\n1,x\n", b=bad)
+        with pytest.raises(Exception):
+            read_text_table(spark, path).collect()
+
+
+def test_changed_source_data_gives_changed_results(spark):
+    from storeloom.sources.staging import source_state, staged
+    path = f"{_root(spark)}/src"
+
+    def feed():
+        return staged(spark, "changing", lambda: spark.read.parquet(path), source_state(spark, path))
+    spark.range(3).write.parquet(path)
+    assert feed().count() == 3
+    spark.range(5).write.mode("overwrite").parquet(path)
+    assert feed().count() == 5
+
+
+def test_weather_fact_has_no_insert_time(spark):
+    wh = L.run_load(spark, _root(spark), Q.sales_staged(spark, SF_SMALL), None, Q.weather_staged(spark, SF_SMALL))
+    assert wh.read("fact_weather_daily").columns == ["full_date", "region_name", "temp_mean", "temp_max", "rain_mm"]
+    assert "created_at" in wh.read("fact_marketing_sales").columns
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    import pytest
+    from storeloom import session
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
