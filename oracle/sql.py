@@ -414,11 +414,104 @@ SELECT * FROM (SELECT 'clean' AS frame, "OrderID", "Date", "Region", "Product",
   WHERE failed_rules = '' ORDER BY row_index LIMIT 10)"""
 
 
+def sales_fits():
+    """Rows that the warehouse can hold: no text over its limit, no number beyond its decimal type."""
+    from storeloom.contracts import VARCHAR_LIMITS
+    longest = {s: VARCHAR_LIMITS["fact_marketing_sales", d] for s, d in SALES_FACT_COLUMNS if ("fact_marketing_sales", d) in VARCHAR_LIMITS}
+    longest |= {"region": 50, "category": 100}
+    tests = [f"coalesce(length({c}) <= {n}, true)" for c, n in longest.items()]
+    tests += [f"({s} IS NULL OR TRY_CAST({s} AS DECIMAL({p},{sc})) IS NOT NULL)" for s, d in SALES_FACT_COLUMNS for p, sc in [SALES_FACT_DECIMALS.get(d, (0, 0))] if p]
+    return " AND ".join(tests)
+
+
+def _sales_tables(p):
+    """The sales tables from rows ``{p}_ok``, as CTEs with the prefix."""
+    return f"""{p}_fact0 AS (SELECT {_fact_cols()} FROM {p}_ok),
+{p}_fact AS (SELECT *, CAST(coalesce(revenue, 0) - coalesce(target, 0) AS DECIMAL(18,2)) AS target_gap,
+  {K.ratio('revenue', 'target', 2, 2)} AS target_achievement_rate, {K.ratio('profit', 'budget', 2, 2)} AS roi_marketing_calc FROM {p}_fact0),
+{p}_branch AS (SELECT branch AS branch_name, arg_min(region, (o1, o2, o3, o4, o5)) AS region_name FROM {p}_ok WHERE branch IS NOT NULL GROUP BY branch),
+{p}_product AS (SELECT product AS product_name, arg_min(category, (o1, o2, o3, o4, o5)) AS category_name FROM {p}_ok WHERE product IS NOT NULL GROUP BY product)"""
+
+
+def warehouse_ctes(second):
+    """All 14 tables after one load, or after a second one that overlaps it (w_<table>)."""
+    feeds = f"""{sales_ctes()}, s1_ok AS (SELECT * FROM sales_clean WHERE {sales_fits()}), {_sales_tables('s1')}, {ADS_CTES}, {WEATHER_CTES}"""
+    if second:
+        later = ADS_CTES[ADS_CTES.index("ads_typed AS"):].replace("ads_", "ads2_")
+        feeds += f""", sales2_raw AS (SELECT * REPLACE ('777.5' AS "Revenue", 'Miền Nam' AS "Region", 'M-new' AS "Machine", 'Return' AS "Stage", 'Snack' AS "Category")
+  FROM sales_raw WHERE "OrderID" LIKE '%1'),
+{sales_ctes('sales2_raw', 's2', with_raw=False)}, s2_ok AS (SELECT * FROM s2_clean WHERE {sales_fits()}), {_sales_tables('s2')},
+ads2_raw AS (SELECT * REPLACE ('10' AS spend) FROM ads_raw WHERE o1 % 10 = 0), {later}"""
+    both = lambda one: f"{one.format(k=1)} UNION {one.format(k=2)}" if second else one.format(k=1)
+    newest = lambda key, one, two: f"SELECT * FROM {two} UNION ALL SELECT * FROM {one} WHERE ({key}) NOT IN (SELECT ({key}) FROM {two})" if second else f"SELECT * FROM {one}"
+    names = {"customer_segment": "customer_segment", "department": "department", "machine": "machine", "information": "information"}
+    ads_days = "SELECT date FROM ads_daily" + (" UNION SELECT date FROM ads2_daily" if second else "")
+    ads_names = ads_days.replace("SELECT date", "SELECT campaign")
+    stages = ", ".join(K.q(x) for x in STAGE_ORDER)
+    tables = {
+        "dim_region": both("SELECT region AS region_name FROM s{k}_ok WHERE region IS NOT NULL") + " UNION SELECT region FROM weather_clean",
+        "dim_branch": newest("branch_name", "s1_branch", "s2_branch"), "dim_product": newest("product_name", "s1_product", "s2_product"),
+        "dim_date": f"""SELECT date AS full_date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name,
+  CAST(quarter(date) AS INTEGER) AS quarter, strftime(date, '%Y-%m') AS year_month FROM ({both("SELECT date FROM s{k}_ok")} UNION {ads_days} UNION SELECT date FROM weather_clean) d""",
+        "dim_stage": f"""SELECT * FROM ({_SEED}) seed UNION ALL SELECT stage, 99, 'Other' FROM ({both("SELECT stage FROM s{k}_ok")}) x WHERE stage IS NOT NULL AND stage NOT IN ({stages})""".replace("UNION ALL SELECT stage, 99, 'Other' FROM (SELECT stage FROM s1_ok)", "UNION ALL SELECT DISTINCT stage, 99, 'Other' FROM (SELECT stage FROM s1_ok)"),
+        "dim_channel": f"""SELECT channel AS channel_name, {K.channel_type('channel')} AS channel_type FROM ({both("SELECT channel FROM s{k}_ok")} UNION SELECT 'Facebook') x WHERE channel IS NOT NULL""",
+        "dim_campaign": f"""SELECT campaign AS campaign_name, {K.campaign_type('campaign')} AS campaign_type FROM ({both("SELECT campaign FROM s{k}_ok")} UNION {ads_names}) x WHERE campaign IS NOT NULL""",
+        "fact_marketing_sales": newest("order_id", "s1_fact", "s2_fact"), "fact_ad_spend": newest("full_date, campaign_name", "ads_fact", "ads2_fact"),
+        "fact_weather_daily": "SELECT * FROM weather_fact",
+    }
+    for t, c in names.items():
+        tables[f"dim_{t}"] = f"SELECT DISTINCT {c} AS {'segment_name' if t == 'customer_segment' else t + '_name'} FROM ({both(f'SELECT {c} FROM s{{k}}_ok')}) x WHERE {c} IS NOT NULL"
+    return feeds + ", " + ",\n".join(f"w_{t} AS ({body})" for t, body in tables.items())
+
+
+def _columns(table):
+    from storeloom.contracts import ADS_FACT_DECIMALS, WEATHER_FACT_DECIMALS
+    own = {"dim_region": ["region_name"], "dim_branch": ["branch_name", "region_name"], "dim_product": ["product_name", "category_name"],
+           "dim_date": ["full_date", "year", "month", "month_name", "quarter", "year_month"], "dim_stage": ["stage_name", "stage_order", "stage_group"],
+           "dim_channel": ["channel_name", "channel_type"], "dim_campaign": ["campaign_name", "campaign_type"], "dim_customer_segment": ["segment_name"],
+           "dim_department": ["department_name"], "dim_machine": ["machine_name"], "dim_information": ["information_name"],
+           "fact_marketing_sales": [d for _, d in SALES_FACT_COLUMNS] + ["target_gap", "target_achievement_rate", "roi_marketing_calc"],
+           "fact_ad_spend": ["full_date", "campaign_name", "channel_name", *ADS_FACT_DECIMALS, "ctr", "cost_per_click"],
+           "fact_weather_daily": ["full_date", "region_name", *WEATHER_FACT_DECIMALS]}
+    return own[table]
+
+
+def _tables_as_text(second):
+    from storeloom.contracts import PRIMARY_KEYS
+    body = "\nUNION ALL\n".join("SELECT '{}' AS table_name, concat_ws('|', {}) AS row FROM w_{}".format(
+        t, ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _columns(t)), t) for t in PRIMARY_KEYS)
+    return f"WITH {warehouse_ctes(second)}\n{body}"
+
+
+def _warehouse_constraints():
+    from storeloom.contracts import ADS_FACT_DECIMALS, FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, VARCHAR_LIMITS, WEATHER_FACT_DECIMALS
+    changed = {
+        "fact_marketing_sales": """SELECT * REPLACE (CASE WHEN order_id % 1000 <> 1 THEN revenue END AS revenue, CASE WHEN order_id % 1000 = 2 THEN 'No such stage' ELSE stage_name END AS stage_name,
+  CASE WHEN order_id % 1000 = 3 THEN repeat('x', 151) ELSE product_name END AS product_name) FROM (SELECT * FROM w_fact_marketing_sales UNION ALL SELECT * FROM w_fact_marketing_sales WHERE order_id % 1000 = 4)""",
+        "dim_branch": "SELECT * REPLACE (CASE WHEN branch_name LIKE 'B%' THEN 'Nowhere' ELSE region_name END AS region_name) FROM w_dim_branch",
+        "dim_date": "SELECT * REPLACE (CASE WHEN year_month <> '1995-02' THEN month END AS month) FROM w_dim_date",
+        "dim_stage": "SELECT * REPLACE (CASE WHEN stage_name <> 'Click' THEN stage_order END AS stage_order) FROM w_dim_stage",
+        "fact_ad_spend": "SELECT * REPLACE (CASE WHEN day(full_date) = 3 THEN 'Radio' ELSE channel_name END AS channel_name) FROM w_fact_ad_spend",
+        "fact_weather_daily": "SELECT * REPLACE (CASE WHEN day(full_date) <> 7 THEN region_name END AS region_name) FROM w_fact_weather_daily",
+    }
+    ctes = ",\n".join(f"x_{t} AS ({changed.get(t, f'SELECT * FROM w_{t}')})" for t in PRIMARY_KEYS)
+    rows = [("not_null", t, c, f"SELECT count(*) FROM x_{t} WHERE {c} IS NULL") for t, k in PRIMARY_KEYS.items() for c in dict.fromkeys([*k, *NOT_NULL.get(t, [])])]
+    rows += [(f"max_length_{n}", t, c, f"SELECT count(*) FROM x_{t} WHERE length({c}) > {n}") for (t, c), n in VARCHAR_LIMITS.items()]
+    rows += [("primary_key", t, ",".join(k), f"SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM x_{t} GROUP BY {', '.join(k)}) g") for t, k in PRIMARY_KEYS.items()]
+    rows += [("foreign_key", t, c, f"SELECT count(*) FROM x_{t} WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM x_{p} p WHERE p.{k} = x_{t}.{c})") for (t, c), (p, k) in FOREIGN_KEYS.items()]
+    feeds = [("fact_marketing_sales", "sales_clean", {d: (s, SALES_FACT_DECIMALS[d]) for s, d in SALES_FACT_COLUMNS if d in SALES_FACT_DECIMALS}),
+             ("fact_ad_spend", "ads_daily", {c: (c, ps) for c, ps in ADS_FACT_DECIMALS.items()}), ("fact_weather_daily", "weather_clean", {c: (c, ps) for c, ps in WEATHER_FACT_DECIMALS.items()})]
+    rows += [(f"fits_decimal({p},{sc})", t, d, f"SELECT count(*) FROM {feed} WHERE {s} IS NOT NULL AND TRY_CAST({s} AS DECIMAL({p},{sc})) IS NULL") for t, feed, own in feeds for d, (s, (p, sc)) in own.items()]
+    body = "\nUNION ALL\n".join(f"SELECT '{ch}' AS check_name, '{t}' AS table_name, '{c}' AS column_name, CAST(({q}) AS BIGINT) AS violations" for ch, t, c, q in rows)
+    return f"WITH {warehouse_ctes(False)},\n{ctes}\n{body}"
+
+
 def _end_to_end():
     from storeloom.contracts import STAGE_ORDER as SO
     g = f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()},
 gated AS (SELECT * EXCLUDE (failed_rules, row_index) FROM gate WHERE failed_rules = ''),
-{sales_ctes('gated', 'g', with_raw=False)}, {ADS_CTES}, {WEATHER_CTES}"""
+{sales_ctes('gated', 'g', with_raw=False).replace('g_clean AS', 'g_every AS')},
+g_clean AS (SELECT * FROM g_every WHERE {sales_fits()}), {ADS_CTES}, {WEATHER_CTES}"""
     d = lambda col: f"(SELECT count(DISTINCT {col}) FROM g_clean WHERE {col} IS NOT NULL)"
     stages = ", ".join(K.q(x) for x in SO)
     counts = [
@@ -459,4 +552,11 @@ ORACLE.update({
     "quality_split": QUALITY_SPLIT,
     "preview": PREVIEW,
     "end_to_end_load": _end_to_end(),
+    "loaded_tables": _tables_as_text(False),
+    "reloaded_tables": _tables_as_text(True),
+    "warehouse_constraints": _warehouse_constraints(),
+    "sales_weather": f"""WITH {warehouse_ctes(False)}
+SELECT f.*, b.region_name, p.category_name, w.temp_mean, w.temp_max, w.rain_mm FROM w_fact_marketing_sales f
+LEFT JOIN w_dim_branch b ON b.branch_name = f.branch_name LEFT JOIN w_dim_product p ON p.product_name = f.product_name
+LEFT JOIN w_fact_weather_daily w ON w.full_date = f.full_date AND w.region_name = b.region_name""",
 })

@@ -7,35 +7,63 @@ table is published after its checks, dimensions before facts.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from storeloom.contracts import ADS_CHANNEL, PRIMARY_KEYS
+from storeloom.contracts import (
+    ADS_CHANNEL, ADS_FACT_DECIMALS, FOREIGN_KEYS, PRIMARY_KEYS, SALES_FACT_COLUMNS, SALES_FACT_DECIMALS, VARCHAR_LIMITS, WEATHER_FACT_DECIMALS,
+)
 from storeloom.operators import dims as D
 from storeloom.operators import facts as FX
 from storeloom.operators import quality as V
-from storeloom.operators.constraints import duplicate_keys
+from storeloom.operators.constraints import table_report, violations_of
 from storeloom.operators.upsert import insert_if_absent, upsert_update
 from storeloom.plans import clean as C
 from storeloom.plans.warehouse import Warehouse, month_of
+from storeloom.session import scratch_folder
+from storeloom.sources.staging import land
 
+#: Dimensions that refer to another one: published after the others.
+CHILDREN = {t for t, _ in FOREIGN_KEYS if t.startswith("dim_")}
 #: Facts without an insert time.
 UNSTAMPED = {"fact_weather_daily"}
 
 
-def _no_duplicate_keys(table):
-    keys = PRIMARY_KEYS[table]
+#: Limits that a cleaned feed row must meet: (column -> length), (column -> decimal type).
+SALES_LIMITS = ({s: VARCHAR_LIMITS["fact_marketing_sales", d] for s, d in SALES_FACT_COLUMNS if ("fact_marketing_sales", d) in VARCHAR_LIMITS}
+                | {"region": VARCHAR_LIMITS["dim_region", "region_name"], "category": VARCHAR_LIMITS["dim_product", "category_name"]},
+                {s: SALES_FACT_DECIMALS[d] for s, d in SALES_FACT_COLUMNS if d in SALES_FACT_DECIMALS})
+ADS_LIMITS = ({"campaign": VARCHAR_LIMITS["fact_ad_spend", "campaign_name"]}, ADS_FACT_DECIMALS)
+WEATHER_LIMITS = ({"region": VARCHAR_LIMITS["fact_weather_daily", "region_name"]}, WEATHER_FACT_DECIMALS)
+VIOLATIONS = "violations"
+
 
+def _meets_contract(wh: Warehouse, table: str):
+    """The publish check: NOT NULL, key, lengths and foreign keys of what was written."""
     def check(df: DataFrame):
-        n = duplicate_keys(df, keys).count()
-        return f"{n} duplicated keys" if n else None
+        parents = {p: wh.read(p) for (t, _), (p, _) in FOREIGN_KEYS.items() if t == table}
+        bad = table_report(df, table, parents).where("violations > 0").collect()  # at most a row a constraint
+        return "; ".join(f"{r.check_name} {r.column_name}: {r.violations} rows" for r in sorted(bad)) or None
     return check
 
 
+def _loadable(wh: Warehouse, feed: str, clean: DataFrame, limits: tuple[dict, dict], run_id: str) -> DataFrame:
+    """The rows of a cleaned feed that meet the contract, from a landed snapshot; the others go to the quarantine.
+
+    A database would reject the whole load at the first such row; here the rows
+    that can't be stored are kept apart with the reasons, and the rest is loaded.
+    """
+    flagged = land(clean.withColumn(VIOLATIONS, violations_of(*limits)), f"{scratch_folder(wh.spark, f'clean-{feed}')}/rows")
+    bad = flagged.where(F.size(VIOLATIONS) > 0)
+    if bad.limit(1).count():
+        quarantine(bad, f"{wh.root}/constraints/{feed}", run_id)
+    return flagged.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+
+
 def touched_months(wh: Warehouse, table: str, batch: DataFrame) -> list[str]:
     """Months a fact upsert must rewrite: the batch's months, plus, when the key
     does not contain the date (sales), the months where matched keys live now.
@@ -58,7 +86,7 @@ def _merge_fact(wh: Warehouse, table: str, batch: DataFrame) -> None:
     touched = touched_months(wh, table, batch)
     target = wh.read(table, schema=(_with_created(batch) if stamped else batch).schema, months=touched)
     merged = upsert_update(target, batch, keys, created_at="created_at" if stamped else None)
-    wh.publish_months(table, merged, touched, checks=_no_duplicate_keys(table))
+    wh.publish_months(table, merged, touched, checks=_meets_contract(wh, table))
 
 
 def _publish_dimension(wh: Warehouse, table: str, batches: list[tuple[DataFrame, bool]]) -> None:
@@ -68,7 +96,7 @@ def _publish_dimension(wh: Warehouse, table: str, batches: list[tuple[DataFrame,
     for batch, update in batches:
         state = (upsert_update(state, batch, keys, created_at=None) if update
                  else insert_if_absent(state, batch, keys, created_at=None))
-    wh.publish(table, state, checks=_no_duplicate_keys(table))
+    wh.publish(table, state, checks=_meets_contract(wh, table))
 
 
 def _with_created(df: DataFrame) -> DataFrame:
@@ -96,8 +124,10 @@ def dimension_batches(sales: DataFrame, ads: DataFrame | None, weather: DataFram
 
 def load_sales(wh: Warehouse, clean: DataFrame) -> None:
     """The sales phase alone: its dimensions, then its fact."""
-    for table, batches in dimension_batches(clean, None, None).items():
-        _publish_dimension(wh, table, batches)
+    clean = _loadable(wh, "sales", clean, SALES_LIMITS, new_run_id())
+    batches = dimension_batches(clean, None, None)
+    for table in sorted(batches, key=lambda t: t in CHILDREN):
+        _publish_dimension(wh, table, batches[table])
     _merge_fact(wh, "fact_marketing_sales", FX.sales_fact(clean))
 
 
@@ -113,33 +143,26 @@ def run_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame,
              threads: int = 4) -> Warehouse:
     """Load the three feeds; a missing optional feed (None) is skipped.
 
-    Each cleaned feed is persisted (memory, spilling to disk) while it feeds a
-    dozen table writes; a lost block is recomputed from the staged snapshot.
-    Every dimension folds its batches from all feeds in load order into one
-    publish; dimensions are published before facts (K12), independent tables
-    concurrently.
+    Each cleaned feed is landed once with what its rows violate, and feeds a dozen
+    table writes from there. Every dimension folds its batches from all feeds in
+    load order into one publish; parents are published before children and
+    dimensions before facts (K12), independent tables concurrently. A publish
+    whose rows violate the contract raises and leaves the previous version.
     """
     wh = Warehouse(spark, warehouse_root)
-    level = StorageLevel.MEMORY_AND_DISK
-    sales = C.clean_sales(sales_raw).persist(level)
-    ads = C.clean_ads(ads_raw).persist(level) if ads_raw is not None else None
-    weather = C.clean_weather(weather_raw).persist(level) if weather_raw is not None else None
-    for df in (sales, ads, weather):  # fill the caches once, before concurrent readers
-        if df is not None:
-            df.count()
-    try:
-        _in_parallel(lambda t, b: _publish_dimension(wh, t, b),
-                     list(dimension_batches(sales, ads, weather).items()), threads)
-        facts = [("fact_marketing_sales", FX.sales_fact(sales))]
-        if ads is not None:
-            facts.append(("fact_ad_spend", FX.ads_fact(ads)))
-        if weather is not None:
-            facts.append(("fact_weather_daily", FX.weather_fact(weather)))
-        _in_parallel(lambda t, b: _merge_fact(wh, t, b), facts, threads)
-    finally:
-        for df in (sales, ads, weather):
-            if df is not None:
-                df.unpersist()
+    run_id = new_run_id()
+    sales = _loadable(wh, "sales", C.clean_sales(sales_raw), SALES_LIMITS, run_id)
+    ads = _loadable(wh, "ads", C.clean_ads(ads_raw), ADS_LIMITS, run_id) if ads_raw is not None else None
+    weather = _loadable(wh, "weather", C.clean_weather(weather_raw), WEATHER_LIMITS, run_id) if weather_raw is not None else None
+    batches = dimension_batches(sales, ads, weather)
+    for wave in (set(batches) - CHILDREN, set(batches) & CHILDREN):
+        _in_parallel(lambda t, b: _publish_dimension(wh, t, b), [(t, b) for t, b in batches.items() if t in wave], threads)
+    facts = [("fact_marketing_sales", FX.sales_fact(sales))]
+    if ads is not None:
+        facts.append(("fact_ad_spend", FX.ads_fact(ads)))
+    if weather is not None:
+        facts.append(("fact_weather_daily", FX.weather_fact(weather)))
+    _in_parallel(lambda t, b: _merge_fact(wh, t, b), facts, threads)
     return wh
 
 
@@ -157,6 +180,11 @@ def gate(sales_raw: DataFrame, auto_filter: bool) -> tuple[DataFrame | None, Dat
     return (clean if auto_filter else None), flagged, rejected
 
 
+def new_run_id() -> str:
+    """Unique, and sorted by time."""
+    return datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%S") + f"-{uuid.uuid4().hex[:12]}"
+
+
 def quarantine(rejected: DataFrame, root: str, run_id: str) -> str:
     """K8: rejected rows with their original columns and ``failed_rules``, one folder per run (never overwritten)."""
     path = f"{root.rstrip('/')}/quarantine/run={run_id}"
@@ -170,29 +198,24 @@ def gate_and_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame
     """R2: gate the upload, quarantine rejects (K8), publish the accepted upload as a new
     version keeping the previous one (K9), then load from it (R1).
 
-    The counts (G9) are observed while the quarantine is written, so the gate
+    The counts (G9) are observed while the flagged upload is landed, so the gate
     decision (V13) costs no extra pass. Returns the warehouse (None when the
     gate blocks: row errors and no auto-filter) and the counts.
     """
-    import datetime
-    from pyspark.sql import Observation
-    run_id = run_id or datetime.datetime.now(datetime.timezone.utc).strftime("%Y%m%dT%H%M%S") + f"-{uuid.uuid4().hex[:12]}"
+    run_id = run_id or new_run_id()
     wh = Warehouse(spark, warehouse_root)
     seen = Observation(f"upload-{run_id}")
-    # both writes below read the flagged rows: evaluate the rules once
-    flagged = V.flag(sales_raw).observe(
+    # landed once: the rules are evaluated once, and both writes below read the snapshot
+    flagged = land(V.flag(sales_raw).observe(
         seen, F.count(F.lit(1)).alias("upload_rows"),
-        F.count_if(F.size("failed_rules") > 0).alias("rejected_rows")).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        clean, rejected = V.split(flagged)
-        quarantine(rejected, warehouse_root, run_id)
-        counts = dict(seen.get)
-        counts["accepted_rows"] = counts["upload_rows"] - counts["rejected_rows"]
-        if counts["rejected_rows"] and not auto_filter:
-            return None, counts
-        wh.publish("upload_sales", clean)
-    finally:
-        flagged.unpersist()
+        F.count_if(F.size("failed_rules") > 0).alias("rejected_rows")), f"{scratch_folder(spark, 'flagged-upload')}/rows")
+    clean, rejected = V.split(flagged)
+    quarantine(rejected, warehouse_root, run_id)
+    counts = dict(seen.get)
+    counts["accepted_rows"] = counts["upload_rows"] - counts["rejected_rows"]
+    if counts["rejected_rows"] and not auto_filter:
+        return None, counts
+    wh.publish("upload_sales", clean)
     run_load(spark, warehouse_root, wh.read("upload_sales"), ads_raw, weather_raw)
     return wh, counts
 

@@ -187,11 +187,56 @@ def q_sales_fact(spark, sf):
     return sales_fact(spark, sf)
 
 
+_LOADED: dict = {}
+
+
+def loaded(spark, sf):
+    """The warehouse that one load of the three feeds gives; once for an application and state of the sources."""
+    from storeloom.plans import load as L
+    tables = ("lineitem", "orders", "customer", "part", "supplier", "nation", "events")
+    key = (spark.sparkContext.applicationId, *(source_state(spark, f"{sf}/{t}.parquet") for t in tables))
+    if key not in _LOADED:
+        _LOADED[key] = L.run_load(spark, _scratch(spark, "warehouse"), sales_staged(spark, sf), ads_staged(spark, sf), weather_staged(spark, sf))
+    return _LOADED[key]
+
+
 def q_sales_weather(spark, sf):
-    clean = clean_sales(spark, sf)
-    fact = FX.sales_fact(clean)
-    branch, product = D.branch_and_product(clean)
-    return M.sales_weather(fact, branch, product, weather_fact(spark, sf))
+    """J4 over the published fact, dimensions and weather."""
+    wh = loaded(spark, sf)
+    return M.sales_weather(wh.read("fact_marketing_sales").drop("created_at"), wh.read("dim_branch"), wh.read("dim_product"), wh.read("fact_weather_daily"))
+
+
+def _rows_as_text(wh, tables):
+    """(table_name, row) of all rows of the tables: their values in column order."""
+    frames = [wh.read(t).drop("created_at") for t in tables]
+    texts = [df.select(F.lit(t).alias("table_name"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns]).alias("row"))
+             for t, df in zip(tables, frames, strict=True)]
+    out = texts[0]
+    for t in texts[1:]:
+        out = out.unionByName(t)
+    return out
+
+
+def q_loaded_tables(spark, sf):
+    """Every row of the 14 tables after one load."""
+    from storeloom.plans import load as L
+    return _rows_as_text(loaded(spark, sf), L.ALL_TABLES)
+
+
+def second_feeds(spark, sf):
+    """A later delivery that overlaps the first: a tenth of the orders with changed values, some ad days again."""
+    sales = sales_staged(spark, sf).where(F.col("OrderID").endswith("1")).withColumns({
+        "Revenue": F.lit("777.5"), "Region": F.lit("Miền Nam"), "Machine": F.lit("M-new"), "Stage": F.lit("Return"), "Category": F.lit("Snack")})
+    ads = ads_staged(spark, sf).where("_ordinal % 10 = 0").withColumn("spend", F.lit("10"))
+    return sales, ads
+
+
+def q_reloaded_tables(spark, sf):
+    """Every row of the 14 tables after a second, overlapping load (updates, first values that stay, new members)."""
+    from storeloom.plans import load as L
+    root = _scratch(spark, "warehouse")
+    L.run_load(spark, root, sales_staged(spark, sf), ads_staged(spark, sf), weather_staged(spark, sf))
+    return _rows_as_text(L.run_load(spark, root, *second_feeds(spark, sf)), L.ALL_TABLES)
 
 
 # ---------------------------------------------------------------------------
@@ -340,6 +385,33 @@ def q_constraint_report(spark, sf):
     ])
 
 
+def injected(wh):
+    """The published tables with rows that break each kind of constraint."""
+    from storeloom.plans import load as L
+    t = {name: wh.read(name) for name in L.ALL_TABLES}
+    some = lambda n: F.coalesce(F.col("order_id") % 1000 == n, F.lit(False))
+    sales = t["fact_marketing_sales"].withColumns({
+        "revenue": F.when(~some(1), F.col("revenue")), "stage_name": F.when(some(2), F.lit("No such stage")).otherwise(F.col("stage_name")),
+        "product_name": F.when(some(3), F.repeat(F.lit("x"), 151)).otherwise(F.col("product_name"))})
+    t["fact_marketing_sales"] = sales.unionByName(sales.where(some(4)))
+    t["dim_branch"] = t["dim_branch"].withColumn("region_name", F.when(F.col("branch_name").startswith("B"), F.lit("Nowhere")).otherwise(F.col("region_name")))
+    t["dim_date"] = t["dim_date"].withColumn("month", F.when(F.col("year_month") != "1995-02", F.col("month")))
+    t["dim_stage"] = t["dim_stage"].withColumn("stage_order", F.when(F.col("stage_name") != "Click", F.col("stage_order")))
+    t["fact_ad_spend"] = t["fact_ad_spend"].withColumn("channel_name", F.when(F.dayofmonth("full_date") == 3, F.lit("Radio")).otherwise(F.col("channel_name")))
+    t["fact_weather_daily"] = t["fact_weather_daily"].withColumn("region_name", F.when(F.dayofmonth("full_date") != 7, F.col("region_name")))
+    return t
+
+
+def q_warehouse_constraints(spark, sf):
+    """N-1..N-5: the contract over all 14 published tables, with injected violations, and the feeds' decimals."""
+    from storeloom.contracts import ADS_FACT_DECIMALS, SALES_FACT_DECIMALS, WEATHER_FACT_DECIMALS
+    from storeloom.operators.constraints import contract_report, overflow_check, union_all
+    feeds = [overflow_check(clean_sales(spark, sf), "fact_marketing_sales", {d: s_ for s_, d in S_FACT_SOURCES}, SALES_FACT_DECIMALS),
+             overflow_check(C.clean_ads(ads_staged(spark, sf)), "fact_ad_spend", {c: c for c in ADS_FACT_DECIMALS}, ADS_FACT_DECIMALS),
+             overflow_check(C.clean_weather(weather_staged(spark, sf)), "fact_weather_daily", {c: c for c in WEATHER_FACT_DECIMALS}, WEATHER_FACT_DECIMALS)]
+    return union_all([contract_report(injected(loaded(spark, sf))), *feeds])
+
+
 from storeloom.contracts import SALES_FACT_COLUMNS as S_FACT_SOURCES  # noqa: E402
 
 

@@ -57,7 +57,8 @@ def test_fact_publish_rewrites_only_touched_months(spark):
     assert set(m2) == set(m1)
     changed = {m for m in m2 if m2[m] != m1[m]}
     assert changed == {one_month}
-    assert wh.read("fact_marketing_sales").count() == clean.count()
+    kept = clean.where(F.size(L.violations_of(*L.SALES_LIMITS)) == 0)
+    assert wh.read("fact_marketing_sales").count() == kept.count()
 
 
 def test_sales_update_moving_a_row_to_another_month(spark):
@@ -67,8 +68,11 @@ def test_sales_update_moving_a_row_to_another_month(spark):
     base = Q.FX.sales_fact(C_clean(spark)).limit(0)
     schema = base.schema
     row = {f.name: None for f in schema.fields}
+    from decimal import Decimal
+    row["revenue"] = Decimal("1.00")
     a = dict(row, order_id=1, full_date=dt.date(2024, 1, 5))
     b = dict(row, order_id=2, full_date=dt.date(2024, 2, 5))
+    _publish_dates(spark, wh, a["full_date"], b["full_date"], dt.date(2024, 3, 1))
     _merge_fact(wh, "fact_marketing_sales", spark.createDataFrame([a, b], schema))
     moved = dict(row, order_id=1, full_date=dt.date(2024, 3, 1))
     _merge_fact(wh, "fact_marketing_sales", spark.createDataFrame([moved], schema))
@@ -193,3 +197,44 @@ def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
             master = "spark://host:7077"
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(Session())
+
+
+def _bad_fact(spark, **change):
+    """Two days of a valid sales fact, and a changed copy of its second row."""
+    import datetime as dt
+    from decimal import Decimal
+    fields = Q.FX.sales_fact(C_clean(spark)).limit(0).schema
+    row = {f.name: None for f in fields} | {"order_id": 1, "full_date": dt.date(2024, 1, 5), "revenue": Decimal("1.00")}
+    return spark.createDataFrame([row, row | {"order_id": 2} | change], fields)
+
+
+def test_publish_rejects_each_class_of_violation(spark):
+    import datetime as dt
+    import pytest
+    wh = L.Warehouse(spark, _root(spark))
+    _publish_dates(spark, wh, dt.date(2024, 1, 5))
+    L._merge_fact(wh, "fact_marketing_sales", _bad_fact(spark))
+    cases = {"not_null revenue": {"revenue": None}, "max_length_150 product_name": {"product_name": "x" * 151},
+             "foreign_key stage_name": {"stage_name": "nowhere"}, "not_null order_id": {"order_id": None}}
+    for text, change in cases.items():
+        with pytest.raises(ValueError, match=text):
+            L._merge_fact(wh, "fact_marketing_sales", _bad_fact(spark, **change))
+    with pytest.raises(ValueError, match="primary_key order_id: 1 rows"):
+        L._merge_fact(wh, "fact_marketing_sales", _bad_fact(spark, order_id=1))
+    assert wh.version("fact_marketing_sales") == 1 and wh.read("fact_marketing_sales").count() == 2
+
+
+def _publish_dates(spark, wh, *days):
+    """All dimensions, empty but for the dates (and the fixed stages)."""
+    dates = L.D.dim_date(spark.createDataFrame([(d,) for d in days], "date date"))
+    batches = L.dimension_batches(C_clean(spark).limit(0), None, None)
+    for table in sorted(batches, key=lambda t: t in L.CHILDREN):
+        L._publish_dimension(wh, table, [(dates, True)] if table == "dim_date" else batches[table])
+
+
+def test_rows_beyond_the_contract_are_quarantined_with_reasons(spark):
+    wh = L.run_load(spark, _root(spark), Q.sales_staged(spark, SF_SMALL))
+    bad = spark.read.parquet(f"{wh.root}/constraints/sales/quarantine")
+    reasons = {r[0] for r in bad.select(F.explode("violations")).distinct().collect()}
+    assert {"product longer than 150", "revenue beyond decimal(18,2)"} <= reasons
+    assert bad.count() + wh.read("fact_marketing_sales").count() == C_clean(spark).count()
