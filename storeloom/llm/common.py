@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +69,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def kept_in_worker(key: tuple, make):
+    """An object that a Python worker process makes once and keeps for its later tasks (a cache, never data of a task)."""
+    kept = sys.modules.setdefault("_storeloom_kept", types.ModuleType("_storeloom_kept")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def append(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """The batch with further columns."""
     return pa.RecordBatch.from_arrays(list(batch.columns) + list(columns.values()),
@@ -86,6 +96,19 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
+def least_hashes(ids: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` distinct rows of (id, label): those with the least hashes of their ids, or of a part of them.
+
+    From a large table only about twice as many rows as wanted are sorted: those
+    whose hash falls into one of equal classes, so no task meets many rows.
+    """
+    ids = ids.distinct()
+    n = ids.count()
+    if n > 8 * rows:
+        ids = ids.where(F.pmod(F.xxhash64(F.lit(41), "id"), F.lit(n // (2 * rows))) == 0)
+    return ids.orderBy(F.xxhash64("id"), "id", "label").limit(rows)
+
+
 def label_fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(modulus))

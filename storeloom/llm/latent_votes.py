@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.common import append, free_name, joined, label_fold, mix, slices, texts
+from storeloom.llm.common import append, free_name, joined, label_fold, least_hashes, mix, slices, texts
 from storeloom.llm.quality_rules import repeated_words
 
 SAMPLE, DIMENSIONS, NEIGHBOURS, POWER = 4000, 48, 24, 4
@@ -120,8 +120,8 @@ class Votes:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
     """Term vectors and labels of at most ``rows`` labelled ids outside the held-out fold."""
-    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("label")).where(
-        (label_fold(F.col("id"), HELD_OUT_OF) != HELD_OUT) & F.col("label").isin(0, 1)).orderBy(F.xxhash64("id"), "id", "label").limit(rows)
+    known = least_hashes(labels.select(F.col(id_col).cast("long").alias("id"), F.col(label).cast("int").alias("label")).where(
+        (label_fold(F.col("id"), HELD_OUT_OF) != HELD_OUT) & F.col("label").isin(0, 1)), rows)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def vectors(batches):

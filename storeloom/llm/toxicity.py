@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.common import append, free_name, label_fold, plain_words, slices, texts
+from storeloom.llm.common import append, free_name, label_fold, least_hashes, plain_words, slices, texts
 from storeloom.llm.recurrent import BiGRU
 
 WINDOW, STRIDE = 64, 48
@@ -50,7 +50,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id
         (label_fold(F.col("id"), held_out_of) != held_out) & F.col("label").isin(0, 1))
     picked = None
     for value in (0, 1):
-        own = known.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(per_class * (1 if value else CLEAN_TIMES))
+        own = least_hashes(known.where(F.col("label") == value), per_class * (1 if value else CLEAN_TIMES))
         picked = own if picked is None else picked.unionByName(own)
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return src.join(F.broadcast(picked), "id").select("id", "text", "label")  # at most (1 + CLEAN_TIMES) * per_class rows
