@@ -153,9 +153,9 @@ SELECT drop_reason, count(*) AS dropped_rows FROM sales_typed WHERE drop_reason
 _LANG_RAW = ("CASE doc_id % 7 WHEN 0 THEN concat(' ', chr(9), lang, chr(160)) WHEN 1 THEN 'nan' "
              "WHEN 2 THEN ' None ' WHEN 3 THEN concat(chr(10), ' ') ELSE lang END")
 _SOURCE_RAW = "CASE WHEN doc_id % 3 = 0 THEN concat(chr(160), upper(source), '  ') ELSE source END"
-CLEAN_TEXT = f"""WITH t AS (SELECT doc_id, {_LANG_RAW} AS lang_raw, {_SOURCE_RAW} AS source_raw FROM documents)
+CLEAN_TEXT = f"""WITH t AS (SELECT doc_id, text, {_LANG_RAW} AS lang_raw, {_SOURCE_RAW} AS source_raw FROM documents)
 SELECT doc_id, lang_raw, {K.clean_text('lang_raw')} AS lang, {K.strip('source_raw')} AS source,
-  lower({K.strip('source_raw')}) AS source_key, CAST(length({K.strip('lang_raw')}) AS INTEGER) AS lang_len FROM t"""
+  lower({K.strip('source_raw')}) AS source_key, md5({K.clean_text('text')}) AS text_md5, CAST(length({K.strip('lang_raw')}) AS INTEGER) AS lang_len FROM t"""
 
 DEDUP_KEEP_LAST = f"""WITH {SALES_CTES}
 SELECT order_id, date, channel, stage, revenue, year, month FROM sales_clean"""
@@ -454,8 +454,8 @@ ads2_raw AS (SELECT * REPLACE ('10' AS spend) FROM ads_raw WHERE o1 % 10 = 0), {
         "dim_date": f"""SELECT date AS full_date, CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month, monthname(date) AS month_name,
   CAST(quarter(date) AS INTEGER) AS quarter, strftime(date, '%Y-%m') AS year_month FROM ({both("SELECT date FROM s{k}_ok")} UNION {ads_days} UNION SELECT date FROM weather_clean) d""",
         "dim_stage": f"""SELECT * FROM ({_SEED}) seed UNION ALL SELECT stage, 99, 'Other' FROM ({both("SELECT stage FROM s{k}_ok")}) x WHERE stage IS NOT NULL AND stage NOT IN ({stages})""".replace("UNION ALL SELECT stage, 99, 'Other' FROM (SELECT stage FROM s1_ok)", "UNION ALL SELECT DISTINCT stage, 99, 'Other' FROM (SELECT stage FROM s1_ok)"),
-        "dim_channel": f"""SELECT channel AS channel_name, {K.channel_type('channel')} AS channel_type FROM ({both("SELECT channel FROM s{k}_ok")} UNION SELECT 'Facebook') x WHERE channel IS NOT NULL""",
-        "dim_campaign": f"""SELECT campaign AS campaign_name, {K.campaign_type('campaign')} AS campaign_type FROM ({both("SELECT campaign FROM s{k}_ok")} UNION {ads_names}) x WHERE campaign IS NOT NULL""",
+        "dim_channel": f"""SELECT DISTINCT channel AS channel_name, {K.channel_type('channel')} AS channel_type FROM ({both("SELECT channel FROM s{k}_ok")} UNION SELECT 'Facebook') x WHERE channel IS NOT NULL""",
+        "dim_campaign": f"""SELECT DISTINCT campaign AS campaign_name, {K.campaign_type('campaign')} AS campaign_type FROM ({both("SELECT campaign FROM s{k}_ok")} UNION {ads_names}) x WHERE campaign IS NOT NULL""",
         "fact_marketing_sales": newest("order_id", "s1_fact", "s2_fact"), "fact_ad_spend": newest("full_date, campaign_name", "ads_fact", "ads2_fact"),
         "fact_weather_daily": "SELECT * FROM weather_fact",
     }
@@ -483,6 +483,13 @@ def _tables_as_text(second):
     return f"WITH {warehouse_ctes(second)}\n{body}"
 
 
+def _file_fed_load():
+    """Counts of a load without the ads feed."""
+    from storeloom.contracts import PRIMARY_KEYS
+    ctes = warehouse_ctes(False).replace("UNION SELECT date FROM ads_daily ", "").replace("UNION SELECT campaign FROM ads_daily", "").replace(" UNION SELECT 'Facebook'", "")
+    return f"WITH {ctes}\n" + "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM w_{t}" for t in PRIMARY_KEYS if t != "fact_ad_spend")
+
+
 def _warehouse_constraints():
     from storeloom.contracts import ADS_FACT_DECIMALS, FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, VARCHAR_LIMITS, WEATHER_FACT_DECIMALS
     changed = {
@@ -552,6 +559,14 @@ ORACLE.update({
     "quality_split": QUALITY_SPLIT,
     "preview": PREVIEW,
     "end_to_end_load": _end_to_end(),
+    "file_summary": f"""WITH sales_raw AS ({sales_raw_sql()}) SELECT count(*) AS rows, 37 AS columns, '{",".join(K.SALES_CANON)}' AS header FROM sales_raw""",
+    "file_status": f"""WITH sales_raw AS ({sales_raw_sql()}), a AS (SELECT count(*) AS rows, CAST(sum({K.to_decimal('"Revenue"', 38, 2)}) * 100 AS HUGEINT) AS cents FROM sales_raw)
+SELECT rows, CAST(CAST({K.half_up_int('cents', 'CAST(10000000 AS HUGEINT)')} AS DECIMAL(37,0)) * 0.1 AS DECIMAL(38,1)) AS amount_m FROM a""",
+    "file_fed_load": _file_fed_load(),
+    "gate_decisions": f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()}
+SELECT 'as_it_is' AS upload, CASE WHEN count_if(failed_rules <> '') > 0 THEN 'blocked' ELSE 'loads' END AS outcome,
+  CASE WHEN count_if(failed_rules <> '') > 0 THEN 0 ELSE count(*) END AS rows_to_load FROM gate
+UNION ALL SELECT 'auto_filter', 'loads', count_if(failed_rules = '') FROM gate UNION ALL SELECT 'no_cost_column', 'hard_error', 0""",
     "loaded_tables": _tables_as_text(False),
     "reloaded_tables": _tables_as_text(True),
     "warehouse_constraints": _warehouse_constraints(),

@@ -148,3 +148,11 @@ def split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     clean = flagged.where(F.size("failed_rules") == 0).drop("failed_rules", "warnings")
     rejected = flagged.where(F.size("failed_rules") > 0).drop("warnings")
     return clean, rejected
+
+
+def decision(flagged: DataFrame, auto_filter: bool) -> DataFrame:
+    """V13 as one row: (upload, outcome, rows_to_load). Rows with errors block the load unless they are filtered."""
+    totals = flagged.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.size("failed_rules") > 0).alias("bad"))
+    blocked = (F.col("bad") > 0) & F.lit(not auto_filter)
+    return totals.select(F.lit("auto_filter" if auto_filter else "as_it_is").alias("upload"), F.when(blocked, "blocked").otherwise("loads").alias("outcome"),
+                         F.when(blocked, 0).otherwise(F.col("rows") - F.col("bad")).cast("long").alias("rows_to_load"))

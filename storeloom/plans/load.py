@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storeloom.contracts import (
-    ADS_CHANNEL, ADS_FACT_DECIMALS, FOREIGN_KEYS, PRIMARY_KEYS, SALES_FACT_COLUMNS, SALES_FACT_DECIMALS, VARCHAR_LIMITS, WEATHER_FACT_DECIMALS,
+    ADS_CHANNEL, ADS_FACT_DECIMALS, ADS_RAW_COLUMNS, FOREIGN_KEYS, PRIMARY_KEYS, SALES_FACT_COLUMNS, SALES_FACT_DECIMALS, SALES_RAW_COLUMNS,
+    VARCHAR_LIMITS, WEATHER_FACT_DECIMALS, WEATHER_RAW_COLUMNS,
 )
 from storeloom.operators import dims as D
 from storeloom.operators import facts as FX
@@ -25,7 +26,8 @@ from storeloom.operators.upsert import insert_if_absent, upsert_update
 from storeloom.plans import clean as C
 from storeloom.plans.warehouse import Warehouse, month_of
 from storeloom.session import scratch_folder
-from storeloom.sources.staging import land
+from storeloom.sources.staging import land, path_exists
+from storeloom.sources.text import read_text_table
 
 #: Dimensions that refer to another one: published after the others.
 CHILDREN = {t for t, _ in FOREIGN_KEYS if t.startswith("dim_")}
@@ -166,6 +168,16 @@ def run_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame,
     return wh
 
 
+def load_files(spark: SparkSession, warehouse_root: str, sales: str, ads: str | None = None, weather: str | None = None) -> Warehouse:
+    """R1 from landed delimited files: each against its staging contract (K2), in file order; optional files that are missing are skipped."""
+    def feed(path: str, contract: list[str]) -> DataFrame:
+        return read_text_table(spark, path, contract, ordinal=C.ORDINAL)
+
+    def optional(path: str | None, contract: list[str]) -> DataFrame | None:
+        return feed(path, contract) if path and path_exists(spark, path) else None
+    return run_load(spark, warehouse_root, feed(sales, SALES_RAW_COLUMNS), optional(ads, ADS_RAW_COLUMNS), optional(weather, WEATHER_RAW_COLUMNS))
+
+
 def gate(sales_raw: DataFrame, auto_filter: bool) -> tuple[DataFrame | None, DataFrame, DataFrame]:
     """(rows to load or None when blocked, flagged rows, rejected rows).
 

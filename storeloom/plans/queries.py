@@ -115,14 +115,15 @@ def q_drop_reasons(spark, sf):
 
 
 def q_clean_text(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "source")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source")
     raw_lang = F.expr("CASE doc_id % 7 WHEN 0 THEN concat(' ', chr(9), lang, chr(160)) "
                       "WHEN 1 THEN 'nan' WHEN 2 THEN ' None ' WHEN 3 THEN concat(chr(10), ' ') ELSE lang END")
     raw_source = F.expr("CASE WHEN doc_id % 3 = 0 THEN concat(chr(160), upper(source), '  ') ELSE source END")
-    t = docs.select("doc_id", raw_lang.alias("lang_raw"), raw_source.alias("source_raw"))
+    t = docs.select("doc_id", "text", raw_lang.alias("lang_raw"), raw_source.alias("source_raw"))
     return t.select("doc_id", "lang_raw", X.clean_text("lang_raw").alias("lang"),
                     X.strip("source_raw").alias("source"),
                     X.normalize_key("source_raw").alias("source_key"),
+                    F.md5(X.clean_text("text").cast("binary")).alias("text_md5"),
                     F.length(X.strip("lang_raw")).alias("lang_len"))
 
 
@@ -266,6 +267,36 @@ def q_text_scan_nulls(spark, sf):
     return read_text_table(spark, path, contract=["id", "name", "note", "extra"])
 
 
+def landed_sales_files(spark, sf):
+    """The raw sales feed as delimited files in feed order."""
+    from storeloom.sources.text import write_text_table
+    path = _scratch(spark, "sales-csv")
+    write_text_table(sales_staged(spark, sf).orderBy("_ordinal").drop("_ordinal"), path)
+    return path
+
+
+def q_file_summary(spark, sf):
+    """S3: rows, columns and header of the landed sales files."""
+    from storeloom.sources.text import read_text_table, summary
+    return summary(read_text_table(spark, landed_sales_files(spark, sf)))
+
+
+def q_file_status(spark, sf):
+    """Rows and amount of the landed sales files (their modification time is not repeatable)."""
+    from storeloom.sources.text import file_status
+    return file_status(spark, landed_sales_files(spark, sf)).select("rows", "amount_m")
+
+
+def q_file_fed_load(spark, sf):
+    """A load from landed files, with the ads feed missing."""
+    from storeloom.plans import load as L
+    from storeloom.sources.text import write_text_table
+    weather = _scratch(spark, "weather-csv")
+    write_text_table(weather_staged(spark, sf).orderBy("_ordinal").drop("_ordinal"), weather)
+    wh = L.load_files(spark, _scratch(spark, "warehouse"), landed_sales_files(spark, sf), f"{weather}-no-ads-here", weather)
+    return L.table_counts(wh, [t for t in L.ALL_TABLES if t != "fact_ad_spend"])
+
+
 def feed_documents(spark, sf):
     """One document per region x month: parallel arrays of daily order stats, sorted by day.
 
@@ -443,6 +474,19 @@ def q_quality_split(spark, sf):
                                          F.concat_ws(",", "failed_rules").alias("failed_rules"))))
 
 
+def q_gate_decisions(spark, sf):
+    """What the gate does with the upload as it is, with auto-filter, and without a required header."""
+    from storeloom.operators import quality as V
+    flagged = flagged_sales(spark, sf)
+    try:
+        V.check_columns(sales_staged(spark, sf).drop("Cost"))
+        header = "loads"
+    except V.HardError:
+        header = "hard_error"
+    return V.decision(flagged, False).unionByName(V.decision(flagged, True)).unionByName(
+        spark.range(1).select(F.lit("no_cost_column").alias("upload"), F.lit(header).alias("outcome"), F.lit(0).cast("long").alias("rows_to_load")))
+
+
 def q_preview(spark, sf):
     """L1: the first ten rows of the file and of its clean subset, in file order."""
     from storeloom.operators import quality as V
