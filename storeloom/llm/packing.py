@@ -11,8 +11,8 @@ the count rises and the group is dealt again.
 
 Scale: a group is a run of documents of one input split with about
 ``group_windows`` windows of loose pieces; nothing is shuffled and memory is
-bounded by the group. Token ids per distinct word are kept for one task, up to
-``WORDS_KEPT`` words. ``sequence_id`` is the task's partition number (upper bits)
+bounded by the group. Token ids per distinct word are kept by a Python worker for
+its later tasks, up to ``WORDS_KEPT`` words. ``sequence_id`` is the task's partition number (upper bits)
 and a running number, so a task that runs again gives the same rows.
 
 Defined cases: null or empty text is one piece with the closing id; repeated
@@ -23,9 +23,8 @@ from __future__ import annotations
 
 import heapq
 import os
-import re
 import zlib
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,66 +32,99 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.common import slices, texts
+from storeloom.llm.common import kept_in_worker, slices, texts
 
 WINDOW = 2048
 PIECE = 512
 GROUP_WINDOWS = 192
-WORDS_KEPT = 600_000
-
-_AFTER_WORD = re.compile(rb"([A-Za-z0-9])([.,;:!?]+)")
+WORDS_KEPT = 1_000_000
 
 
 class WordTokenizer:
     """Ids of whole texts, by way of the ids of their words between ASCII white space.
 
     The tokenizer's normalizer and pre-tokenizer work on each such word alone
-    and drop white space, so a text's ids are its words' ids in turn. Two
-    rewritings that change no ids make words repeat more often: ASCII letters
-    to lower case (not where a special token may stand, whose case matters),
-    and a space between a letter or digit and the punctuation after it.
+    and drop white space, so a text's ids are its words' ids in turn. Two things
+    that change no ids make words repeat more often: ASCII letters are put in
+    lower case (not where a special token may stand, whose case matters), and a
+    new word that ends in punctuation after an ASCII letter or digit is encoded
+    as the two parts that the pre-tokenizer would make of it.
     """
 
     def __init__(self, path: str, keep: int = WORDS_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.model, self.keep = Tokenizer.from_file(path), keep
+        # the tokens that end a run of letters or signs, where the vocabulary marks them
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        self.closes = np.zeros(self.model.get_vocab_size(), bool)
+        if suffix:
+            self.closes[[i for token, i in self.model.get_vocab().items() if token.endswith(suffix)]] = True
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.flat = np.empty(0, np.uint32)
-        self.ends = np.zeros(1, np.int64)
-
-    @staticmethod
-    def words(text: bytes) -> list[bytes]:
-        return (text if b"<|" in text else _AFTER_WORD.sub(rb"\1 \2", text.lower())).split()
+        self.number: dict[bytes, int] = {}  # a word's place in ``pair``
+        self.pair = np.empty((0, 2), np.int64)  # its parts; part 0 is empty
+        self.part: dict[bytes, int] = {b"": 0}
+        self.flat = np.empty(0, np.uint32)  # the parts' ids
+        self.ends = np.zeros(2, np.int64)
+
+    def _ids(self, parts: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, and how many each has."""
+        if together and parts and self.closes.any():
+            # letters alone make one run each: encoded together, told apart by the tokens that close a run
+            ids = np.fromiter(chain.from_iterable(e.ids for e in self.model.encode_batch_fast([" ".join(parts[i:i + 500]) for i in range(0, len(parts), 500)], add_special_tokens=False)), np.uint32)
+            last = np.flatnonzero(self.closes[ids])
+            if last.size == len(parts) and last[-1] == ids.size - 1:
+                return ids, np.diff(np.concatenate(([-1], last)))
+        every = [e.ids for e in self.model.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(every), np.uint32), np.array(list(map(len, every)), np.int64)
+
+    def _learn(self, fresh: list[bytes]) -> None:
+        """Numbers, parts and ids for new words."""
+        part, stems, tails, plain, other = self.part, [], [], {}, {}
+        for w in fresh:
+            stem = w.rstrip(b".,;:!?")
+            if not (stem and len(stem) < len(w) and stem[-1:].isalnum()):
+                stem = w
+            tail = w[len(stem):]
+            stems.append(stem)
+            tails.append(tail)
+            if stem not in part:
+                (plain if stem.isalpha() else other)[stem] = None
+            if tail not in part:
+                other[tail] = None
+        for new, together in ((list(plain), True), (list(other), False)):
+            ids, sizes = self._ids([p.decode("utf-8", "replace") for p in new], together)
+            base = len(part)
+            part.update(zip(new, range(base, base + len(new)), strict=True))
+            self.flat = np.concatenate([self.flat, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        base = len(self.number)
+        self.number.update(zip(fresh, range(base, base + len(fresh)), strict=True))
+        self.pair = np.concatenate([self.pair, np.stack([np.fromiter(map(part.__getitem__, own), np.int64, len(own)) for own in (stems, tails)], axis=1)])
 
     def encode(self, rows: list[bytes], close: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``close``; and the offsets of their starts."""
         if len(self.number) > self.keep:
             self._clear()
-        split = [self.words(t) for t in rows]
+        split = [(t if b"<|" in t else t.lower()).split() for t in rows]
         every = list(chain.from_iterable(split))
-        fresh = list(set(every).difference(self.number))
-        if fresh:
-            new = [e.ids for e in self.model.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)]
-            base = len(self.number)
-            self.number.update(zip(fresh, range(base, base + len(fresh)), strict=True))
-            self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(new), np.uint32)])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(list(map(len, new)))])
-        sizes = np.fromiter(map(len, split), np.int64, len(rows))
-        # one further "word" a text, -1, stands for the closing id
-        word = np.full(len(every) + len(rows), -1, np.int64)
-        word[np.arange(len(every)) + np.repeat(np.arange(len(rows)), sizes)] = np.fromiter(map(self.number.__getitem__, every), np.int64, len(every))
-        first, count = self.ends[:-1], np.diff(self.ends)
-        n = np.where(word < 0, 1, count[word] if count.size else 1)
-        begin = np.where(word < 0, 0, first[word] if first.size else 0)
+        found = np.fromiter(map(self.number.get, every, repeat(-1)), np.int64, len(every))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            self._learn(list({every[i] for i in missing}))
+            found[missing] = [self.number[every[i]] for i in missing]
+        # two parts a word; one further part a text, -1, stands for the closing id
+        sizes = 2 * np.fromiter(map(len, split), np.int64, len(rows))
+        part = np.full(2 * len(every) + len(rows), -1, np.int64)
+        part[np.arange(2 * len(every)) + np.repeat(np.arange(len(rows)), sizes)] = self.pair[found].ravel()
+        n = np.where(part < 0, 1, np.diff(self.ends)[part])
         until = np.cumsum(n)
-        at = np.arange(int(until[-1]) if until.size else 0) - np.repeat(until - n - begin, n)
+        at = np.arange(int(until[-1]) if until.size else 0) - np.repeat(until - n - np.where(part < 0, 0, self.ends[part]), n)
         ids = self.flat[at] if self.flat.size else np.zeros(at.size, np.uint32)
-        ids[until[word < 0] - 1] = close
-        return ids, np.concatenate(([0], until[word < 0]))
+        ids[until[part < 0] - 1] = close
+        return ids, np.concatenate(([0], until[part < 0]))
 
 
 def difference(sizes: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +181,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     names = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(batches):
-        model = WordTokenizer(tokenizer_path)
+        model = kept_in_worker(("word tokenizer", tokenizer_path), lambda: WordTokenizer(tokenizer_path))
         context = TaskContext.get()
         next_id = (context.partitionId() if context else 0) << 32
         loose: list[tuple] = []  # (doc_id scalar, start, length, crc, doc_tokens, ids)
