@@ -7,27 +7,32 @@ lower-case hexadecimal digits).
 
 The text itself is the first layer. Each layer that comes off the worklist is
 scanned, then unwrapped: percent escapes, Unicode escapes (``\\uXXXX``,
-``\\u{X}``, ``&#N;``, ``&#xH;``) and long base64 runs, whose bytes may be a gzip
-or zlib stream, give further layers, until none is new. A layer with the text
-and the spans of one seen before in the document (by SHA-256) isn't entered
-again, so a stream that unpacks to itself ends. Every layer carries, for each of its characters, the
-span of the original text that it comes from; a secret found in it is reported
-at that span.
+``\\u{X}``, ``&#N;``, ``&#xH;``) and long base64 runs give further layers, until
+none is new. Decoded bytes are layers too: gzip and zlib streams in them are
+unpacked, all members, into bytes that are looked through in the same way; of a
+damaged stream everything before the damage counts, checksums aren't looked at. A
+layer with the content and the spans of one seen before in the document (by
+SHA-256) isn't entered again, so a stream that unpacks to itself ends. Every layer
+carries, for each of its characters, the span of the original text that it comes
+from; a secret found in it is reported at that span.
 
 Scale: one map, no shuffle. Whole texts are scanned; an unpacked stream is taken
-in blocks of ``BLOCK`` bytes that overlap by ``OVERLAP`` and are scanned in turn,
-so it needs no more memory than a block. Defined cases: null and empty text have
-no spans; repeated rows give equal results.
+in blocks of ``BLOCK`` bytes that overlap by ``OVERLAP`` and are scanned in turn.
+An encoded run or a stream that isn't finished at a block's end goes over into the
+next one, up to ``LONGEST`` bytes; a longer one is cut there. The worklist holds
+generators, so memory is bounded by one such block a depth of nesting. Defined
+cases: null and empty text have no spans; repeated rows give equal results.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import contextlib
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,8 @@ from storeloom.llm.common import slices, texts
 
 BLOCK = 8 << 20
 OVERLAP = 1 << 14
+#: Bytes of an unfinished run or stream that go over into the next block.
+LONGEST = 8 * BLOCK
 
 # The kinds in their order, their patterns, and the least length of what they match.
 KINDS = ("assign", "access", "hex")
@@ -50,6 +57,9 @@ NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+_STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: An encoded run that reaches the end, on reversed bytes.
+_OPEN = re.compile(rb"[A-Za-z0-9+/_=%&#;{}\\-]*(?:[ \t]*(?:\n\r?|\r)[ \t]*[A-Za-z0-9+/_=%&#;{}\\-]+)*")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -65,27 +75,36 @@ def scan(text: str) -> Iterator[Span]:
 
 
 class Layer:
-    """A decoded text; ``start`` and ``end`` give each character's span in the original (None: itself)."""
+    """A decoded text, or bytes; ``start`` and ``end`` give each item's span in the original (None: itself; a number: of all).
 
-    def __init__(self, text: str, start: np.ndarray | None = None, end: np.ndarray | None = None):
-        self.text, self.start, self.end = text, start, end
+    ``until`` is where the encoded form ends, for streams in it.
+    """
+
+    def __init__(self, data: str | bytes, start: np.ndarray | int | None = None, end: np.ndarray | int | None = None, until: int | None = None):
+        self.data, self.start, self.end, self.until = data, start, end, until
 
     def origin(self, lo: int, hi: int) -> tuple[int, int]:
         if self.start is None:
             return lo, hi
+        if isinstance(self.start, int):
+            return self.start, self.end
         return int(self.start[lo]), int(self.end[hi - 1])
 
-    def rewritten(self, parts: list[tuple[int, int, str, list[tuple[int, int]] | None]]) -> Layer:
+    def mapped(self, data: str | bytes, lo: np.ndarray, hi: np.ndarray, until: int | None = None) -> Layer:
+        """A layer whose items come from ``lo`` to ``hi`` (arrays) in this one."""
+        if isinstance(self.start, int):
+            return Layer(data, self.start, self.end)
+        return Layer(data, lo, hi, until) if self.start is None else Layer(data, self.start[lo], self.end[hi - 1], until)
+
+    def rewritten(self, parts: list[tuple[int, int, str, list[tuple[int, int]]]]) -> Layer:
         """The layer with (from, to, new text, span of each new character in this layer) put in."""
         text, start, end, at = [], [], [], 0
-        own_start = np.arange(len(self.text)) if self.start is None else self.start
-        own_end = np.arange(1, len(self.text) + 1) if self.end is None else self.end
-        for lo, hi, new, where in [*parts, (len(self.text), len(self.text), "", [])]:
-            text += [self.text[at:lo], new]
-            start += [own_start[at:lo], np.array([own_start[a] for a, _ in where], np.int64)]
-            end += [own_end[at:lo], np.array([own_end[b - 1] for _, b in where], np.int64)]
+        for lo, hi, new, where in [*parts, (len(self.data), len(self.data), "", [])]:
+            text += [self.data[at:lo], new]
+            start += [np.arange(at, lo), np.array([a for a, _ in where], np.int64)]
+            end += [np.arange(at + 1, lo + 1), np.array([b for _, b in where], np.int64)]
             at = hi
-        return Layer("".join(text), np.concatenate(start), np.concatenate(end))
+        return self.mapped("".join(text), np.concatenate(start), np.concatenate(end))
 
 
 def _characters(data: bytes, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]] | None:
@@ -104,7 +123,7 @@ def _characters(data: bytes, spans: list[tuple[int, int]]) -> tuple[str, list[tu
 
 def _percent(layer: Layer) -> Layer | None:
     parts = []
-    for m in _PERCENT.finditer(layer.text):
+    for m in _PERCENT.finditer(layer.data):
         spans = [(i, i + 3) for i in range(m.start(), m.end(), 3)]
         if got := _characters(bytes.fromhex(m[0].replace("%", "")), spans):
             parts.append((m.start(), m.end(), *got))
@@ -114,7 +133,7 @@ def _percent(layer: Layer) -> Layer | None:
 def _escapes(layer: Layer) -> Layer | None:
     parts: list[tuple[int, int, str, list[tuple[int, int]]]] = []
     high = None  # a first half of a pair: its match and value
-    for m in _ESCAPE.finditer(layer.text):
+    for m in _ESCAPE.finditer(layer.data):
         code = int(m[3]) if m[3] else int(m[1] or m[2] or m[4], 16)
         if high and m.start() == high[0].end() and 0xDC00 <= code < 0xE000:
             begin, code = high[0].start(), 0x10000 + ((high[1] - 0xD800) << 10) + code - 0xDC00
@@ -126,24 +145,86 @@ def _escapes(layer: Layer) -> Layer | None:
     return layer.rewritten(parts) if parts else None
 
 
-def _unpacked(data: bytes) -> Iterator[bytes]:
-    """Blocks of the stream that ``data`` holds, with overlaps; what comes before an error counts."""
-    stream, tail, rest = zlib.decompressobj(zlib.MAX_WBITS | 32), b"", data
-    while not stream.eof:
+def _body(data: bytes, at: int) -> tuple[int, int] | None:
+    """Where the deflate data of the stream at ``at`` begins, and the length of its trailer; None if there is no stream."""
+    if not _STREAM.match(data, at):
+        return None
+    if data[at] == 0x78:
+        return at + 2, 4
+    flags, body = (data[at + 3:at + 4] or b"\0")[0], at + 10
+    if flags & 4:
+        body += 2 + int.from_bytes(data[body:body + 2], "little")
+    for flag in (8, 16):
+        if flags & flag:
+            body = data.find(0, body) + 1 or len(data)
+    return body + (flags & 2), 8
+
+
+def _inflated(data: bytes) -> Generator[bytes, None, tuple[int, bool]]:
+    """What the stream at the start and the members right after it hold; returns how much is done with, and if more input was wanted.
+
+    A call that fails loses its output, so it is repeated from before with smaller steps.
+    """
+    at = 0
+    while at < len(data) and (head := _body(data, at)):
+        stream, rest, step = zlib.decompressobj(-zlib.MAX_WBITS), data[head[0]:], BLOCK
+        while not stream.eof:
+            before = stream.copy()
+            try:
+                out = stream.decompress(rest, step)
+            except zlib.error:
+                if step == 1:  # the last byte before the damage comes out if the input ends there
+                    with contextlib.suppress(zlib.error):
+                        yield from filter(None, (before.decompress(rest[i:i + 1], 1) for i in range(len(rest))))
+                    return at + 2, False
+                stream, step = before, max(1, step >> 6)
+                continue
+            rest = stream.unconsumed_tail
+            if out:
+                yield out
+            elif not rest and not stream.eof:
+                return at + 2, True
+        at = len(data) - len(stream.unused_data) + head[1]
+    return at, False
+
+
+def _unfinished(block: bytes) -> int:
+    """Where a further block has to begin: before the overlap, and before a run or a stream that goes on."""
+    at = min(max(0, len(block) - OVERLAP), len(block) - _OPEN.match(block[::-1]).end())
+    pos = 0
+    while (m := _STREAM.search(block, pos)) and m.start() < at:
+        stream = _inflated(block[m.start():])
+        while True:
+            try:
+                next(stream)
+            except StopIteration as end:
+                used, wanting = end.value
+                break
+        if wanting:
+            at = m.start()
+        pos = m.start() + used
+    return max(at, len(block) - LONGEST)
+
+
+def _unpacked(data: bytes) -> Generator[bytes, None, int]:
+    """Blocks of the stream that ``data`` begins with, with overlaps; returns how much of ``data`` is done with."""
+    stream, carry, parts, size = _inflated(data), b"", [], 0
+    while True:
         try:
-            block = stream.decompress(rest, BLOCK)
-        except zlib.error:
-            return
-        rest = stream.unconsumed_tail
-        if block:
-            yield tail + block
-            tail = block[-OVERLAP:]
-        elif not rest:
-            return
+            parts.append(next(stream))
+        except StopIteration as end:
+            if parts:
+                yield carry + b"".join(parts)
+            return end.value[0]
+        size += len(parts[-1])
+        if size >= max(BLOCK, len(carry)):  # grows with what is carried, so that it isn't read over and over
+            block = carry + b"".join(parts)
+            yield block
+            carry, parts, size = block[_unfinished(block):], [], 0
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
+    for m in _BASE64.finditer(layer.data):
         body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
         if len(body) % 4 == 1:
             continue
@@ -151,45 +232,72 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             data = base64.b64decode(body + "=" * (-len(body) % 4))
         except binascii.Error:
             continue
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and len(data) > 1 and int.from_bytes(data[:2]) % 31 == 0:
-            lo, hi = layer.origin(m.start(), m.end())
-            for block in _unpacked(data):
-                text = block.decode("utf-8", "replace")
-                yield Layer(text, np.full(len(text), lo), np.full(len(text), hi))
-        elif sum(32 <= b < 127 or b in (9, 10, 13) or b >= 128 for b in data) == len(data):
-            at = m.start()
-            spans = [(at + i * 8 // 6, min(m.end(), at + (i * 8 + 7) // 6 + 1)) for i in range(len(data))]
-            if got := _characters(data, spans):
-                text, where = got
-                whole = [layer.origin(a, b) for a, b in where]
-                yield Layer(text, np.array([w[0] for w in whole]), np.array([w[1] for w in whole]))
+        i = np.arange(len(data))
+        yield layer.mapped(data, m.start() + i * 8 // 6, np.minimum(m.end(), m.start() + (i * 8 + 7) // 6 + 1), layer.origin(m.start(), m.end())[1])
+
+
+def _streams(layer: Layer) -> Iterator[Layer]:
+    """Bytes of the streams in a layer of bytes."""
+    at = 0
+    while m := _STREAM.search(layer.data, at):
+        lo, hi = layer.origin(m.start(), len(layer.data))
+        blocks, used = _unpacked(layer.data[m.start():]), None
+        while True:
+            try:
+                yield Layer(next(blocks), lo, layer.until or hi)
+            except StopIteration as end:
+                used = end.value
+                break
+        at = len(layer.data) if used is None else m.start() + used
+
+
+def _text(layer: Layer) -> Layer:
+    """The text of a layer of bytes; a byte that isn't UTF-8 is a character of its own that no pattern has."""
+    text = layer.data.decode("utf-8", "surrogateescape")
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    size = np.where((code >= 0xDC80) & (code < 0xDD00), 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
+    until = np.cumsum(size)
+    return layer.mapped(text, until - size, until)
+
+
+def _inner(layer: Layer) -> Iterator[Layer]:
+    """The layers that are wrapped in this one."""
+    if isinstance(layer.data, bytes):
+        yield from _streams(layer)
+        yield _text(layer)
+        return
+    if "%" in layer.data and (new := _percent(layer)):
+        yield new
+    if ("\\u" in layer.data or "&#" in layer.data) and (new := _escapes(layer)):
+        yield new
+    yield from _base64(layer)
 
 
 def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
     """Spans in the text itself, and all spans; each sorted by start, kind and end."""
     base = sorted(scan(text))
-    every, seen, work = set(base), set(), [Layer(text)]
+    every, seen, work = set(base), set(), [_inner(Layer(text))]
     while work:
-        layer = work.pop()
-        if layer.start is not None:
-            for lo, kind, hi in scan(layer.text):
-                start, end = layer.origin(lo, hi)
-                every.add((start, kind, end))
-        inner = []
-        if "%" in layer.text:
-            inner.append(_percent(layer))
-        if "\\u" in layer.text or "&#" in layer.text:
-            inner.append(_escapes(layer))
-        inner += _base64(layer)
-        for new in inner:
-            if new is not None and new.text and (key := _identity(new)) not in seen:
-                seen.add(key)
-                work.append(new)
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+        elif layer.data and (key := _identity(layer)) not in seen:
+            seen.add(key)
+            if isinstance(layer.data, str):
+                for lo, kind, hi in scan(layer.data):
+                    start, end = layer.origin(lo, hi)
+                    every.add((start, kind, end))
+            work.append(_inner(layer))
     return base, sorted(every)
 
 
 def _identity(layer: Layer) -> bytes:
-    return hashlib.sha256(b"".join((layer.text.encode("utf-8", "surrogatepass"), layer.start.tobytes(), layer.end.tobytes()))).digest()
+    text = isinstance(layer.data, str)
+    digest = hashlib.sha256(b"text" if text else b"bytes")
+    digest.update(layer.data.encode("utf-8", "surrogatepass") if text else layer.data)
+    for where in (layer.start, layer.end):
+        digest.update(b"%d" % where if isinstance(where, int) else where.tobytes())
+    return digest.digest()
 
 
 def spelled(spans: list[Span]) -> str:
