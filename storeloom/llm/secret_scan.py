@@ -8,7 +8,10 @@ lower-case hexadecimal digits).
 The text itself is the first layer. Each layer that comes off the worklist is
 scanned, then unwrapped: percent escapes, Unicode escapes (``\\uXXXX``,
 ``\\u{X}``, ``&#N;``, ``&#xH;``) and long base64 runs give further layers, until
-none is new. Decoded bytes are layers too: gzip and zlib streams in them are
+none is new. A base64 run goes over single line ends and is decoded at all four
+alignments, so other characters of the alphabet may be glued to it. Decoded bytes
+are layers too, of percent escapes as of base64: they are read as UTF-8, whatever
+else is among them, and as UTF-16, and gzip and zlib streams in them are
 unpacked, all members, into bytes that are looked through in the same way; of a
 damaged stream everything before the damage counts, checksums aren't looked at. A
 layer with the content and the spans of one seen before in the document (by
@@ -27,7 +30,6 @@ cases: null and empty text have no spans; repeated rows give equal results.
 from __future__ import annotations
 
 import base64
-import binascii
 import contextlib
 import hashlib
 import re
@@ -43,6 +45,8 @@ from storeloom.llm.common import slices, texts
 
 BLOCK = 8 << 20
 OVERLAP = 1 << 14
+#: Bytes that a decompressor is fed at a time.
+INPUT = 1 << 16
 #: Bytes of an unfinished run or stream that go over into the next block.
 LONGEST = 8 * BLOCK
 
@@ -56,8 +60,15 @@ NAMES = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|&#([0-9]{1,7});|&#[xX]([0-9A-Fa-f]{1,6});")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-_STREAM = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n|[\r\n])[ \t]*+[A-Za-z0-9+/_-]++)++|[A-Za-z0-9+/_-]{16,}+)={0,2}")
+_GAPS = re.compile(r"[ \t\r\n=]+")
+MIN_BASE64 = 16
+_STREAM = re.compile(rb"\x1f\x8b\x08[\0-\x1f]|\x78[\x01\x5e\x9c\xda]")
+#: ASCII characters of UTF-16 text, least byte first and last.
+_WIDE = re.compile(rb"(?:[\x01-\x7f]\0){6,}"), re.compile(rb"(?:\0[\x01-\x7f]){6,}")
+_RUN = re.compile(rb"(?:[A-Za-z0-9+/_-][ \t\r\n]*+){16}")
+_HEX = re.compile(HEX.pattern.encode())
+_PARTS = re.compile(r"[/_\r\n-]")
 #: An encoded run that reaches the end, on reversed bytes.
 _OPEN = re.compile(rb"[A-Za-z0-9+/_=%&#;{}\\-]*(?:[ \t]*(?:\n\r?|\r)[ \t]*[A-Za-z0-9+/_=%&#;{}\\-]+)*")
 
@@ -74,25 +85,38 @@ def scan(text: str) -> Iterator[Span]:
     yield from ((m.start(), 2, m.end()) for m in HEX.finditer(text))
 
 
+def _worth(data: bytes) -> bool:
+    """Whether a secret or a further layer can be in the bytes."""
+    low = data.lower()
+    return (any(name.encode() in low for name in NAMES) or any(x in data for x in (b"AKIA", b"%", b"\\u", b"&#"))
+            or any(x.search(data) for x in (_HEX, _RUN, _STREAM, *(_WIDE if b"\0" in data else ()))))
+
+
 class Layer:
     """A decoded text, or bytes; ``start`` and ``end`` give each item's span in the original (None: itself; a number: of all).
 
-    ``until`` is where the encoded form ends, for streams in it.
+    For streams in it, ``until`` is where the encoded form ends and ``begins`` has the places where a part of it begins.
     """
 
+    begins: frozenset[int] = frozenset((0,))
+
     def __init__(self, data: str | bytes, start: np.ndarray | int | None = None, end: np.ndarray | int | None = None, until: int | None = None):
         self.data, self.start, self.end, self.until = data, start, end, until
 
+    @property
+    def fixed(self) -> bool:
+        return isinstance(self.start, int)
+
     def origin(self, lo: int, hi: int) -> tuple[int, int]:
         if self.start is None:
             return lo, hi
-        if isinstance(self.start, int):
+        if self.fixed:
             return self.start, self.end
         return int(self.start[lo]), int(self.end[hi - 1])
 
-    def mapped(self, data: str | bytes, lo: np.ndarray, hi: np.ndarray, until: int | None = None) -> Layer:
-        """A layer whose items come from ``lo`` to ``hi`` (arrays) in this one."""
-        if isinstance(self.start, int):
+    def mapped(self, data: str | bytes, lo: np.ndarray | None, hi: np.ndarray | None, until: int | None = None) -> Layer:
+        """A layer whose items come from ``lo`` to ``hi`` (arrays, not needed where all have one span) in this one."""
+        if self.fixed:
             return Layer(data, self.start, self.end)
         return Layer(data, lo, hi, until) if self.start is None else Layer(data, self.start[lo], self.end[hi - 1], until)
 
@@ -101,33 +125,41 @@ class Layer:
         text, start, end, at = [], [], [], 0
         for lo, hi, new, where in [*parts, (len(self.data), len(self.data), "", [])]:
             text += [self.data[at:lo], new]
-            start += [np.arange(at, lo), np.array([a for a, _ in where], np.int64)]
-            end += [np.arange(at + 1, lo + 1), np.array([b for _, b in where], np.int64)]
+            if not self.fixed:
+                start += [np.arange(at, lo), np.array([a for a, _ in where], np.int64)]
+                end += [np.arange(at + 1, lo + 1), np.array([b for _, b in where], np.int64)]
             at = hi
+        if self.fixed:
+            return self.mapped("".join(text), None, None)
         return self.mapped("".join(text), np.concatenate(start), np.concatenate(end))
 
 
-def _characters(data: bytes, spans: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]] | None:
-    """UTF-8 bytes to text, with the span of each character; None if it isn't UTF-8."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    where, at = [], 0
-    for char in text:
-        n = len(char.encode())
-        where.append((spans[at][0], spans[at + n - 1][1]))
-        at += n
-    return text, where
+def _sizes(text: str) -> np.ndarray:
+    """The UTF-8 bytes of each character; 1 for a byte that isn't UTF-8, which is a character of its own that no pattern has."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    return np.where((code >= 0xDC80) & (code < 0xDD00), 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
 
 
-def _percent(layer: Layer) -> Layer | None:
+def _percent(layer: Layer) -> Iterator[Layer]:
+    """The text with the escapes decoded, and its bytes where they hold a stream or UTF-16."""
     parts = []
     for m in _PERCENT.finditer(layer.data):
-        spans = [(i, i + 3) for i in range(m.start(), m.end(), 3)]
-        if got := _characters(bytes.fromhex(m[0].replace("%", "")), spans):
-            parts.append((m.start(), m.end(), *got))
-    return layer.rewritten(parts) if parts else None
+        text = bytes.fromhex(m[0].replace("%", "")).decode("utf-8", "surrogateescape")
+        size = _sizes(text)
+        until = m.start() + 3 * np.cumsum(size)
+        parts.append((m.start(), m.end(), text, list(zip((until - 3 * size).tolist(), until.tolist(), strict=True))))
+    if not parts:
+        return
+    new = layer.rewritten(parts)
+    yield new
+    data = new.data.encode("utf-8", "surrogateescape")
+    if any(x.search(data) for x in (_STREAM, *_WIDE)):
+        at = None if new.fixed else np.repeat(np.arange(len(new.data)), _sizes(new.data))
+        inner = new.mapped(data, at, None if at is None else at + 1)
+        gone = np.cumsum([0, *(hi - lo - len(text) for lo, hi, text, _ in parts)])[:-1]
+        until = np.cumsum(np.concatenate(([0], _sizes(new.data))))
+        inner.begins = frozenset(until[np.array([p[0] for p in parts]) - gone].tolist()) | {0}
+        yield inner
 
 
 def _escapes(layer: Layer) -> Layer | None:
@@ -160,15 +192,18 @@ def _body(data: bytes, at: int) -> tuple[int, int] | None:
     return body + (flags & 2), 8
 
 
-def _inflated(data: bytes) -> Generator[bytes, None, tuple[int, bool]]:
-    """What the stream at the start and the members right after it hold; returns how much is done with, and if more input was wanted.
+def _inflated(data: bytes) -> Generator[bytes, None, tuple[int, bool | None]]:
+    """What the stream at the start and the members right after it hold; returns how much is done with, and if more input was wanted (None: damaged).
 
     A call that fails loses its output, so it is repeated from before with smaller steps.
     """
     at = 0
     while at < len(data) and (head := _body(data, at)):
-        stream, rest, step = zlib.decompressobj(-zlib.MAX_WBITS), data[head[0]:], BLOCK
+        stream, pos, rest, step = zlib.decompressobj(-zlib.MAX_WBITS), head[0], b"", BLOCK
         while not stream.eof:
+            if not rest:
+                rest = data[pos:pos + INPUT]
+                pos += len(rest)
             before = stream.copy()
             try:
                 out = stream.decompress(rest, step)
@@ -176,98 +211,124 @@ def _inflated(data: bytes) -> Generator[bytes, None, tuple[int, bool]]:
                 if step == 1:  # the last byte before the damage comes out if the input ends there
                     with contextlib.suppress(zlib.error):
                         yield from filter(None, (before.decompress(rest[i:i + 1], 1) for i in range(len(rest))))
-                    return at + 2, False
+                    return at + 2, None
                 stream, step = before, max(1, step >> 6)
                 continue
             rest = stream.unconsumed_tail
             if out:
                 yield out
-            elif not rest and not stream.eof:
+            elif not rest and pos >= len(data) and not stream.eof:
                 return at + 2, True
-        at = len(data) - len(stream.unused_data) + head[1]
+        at = pos - len(stream.unused_data) + head[1]
     return at, False
 
 
+def _extent(data: bytes) -> tuple[int, bool | None]:
+    """What :func:`_inflated` returns."""
+    stream = _inflated(data)
+    while True:
+        try:
+            next(stream)
+        except StopIteration as end:
+            return end.value
+
+
 def _unfinished(block: bytes) -> int:
     """Where a further block has to begin: before the overlap, and before a run or a stream that goes on."""
     at = min(max(0, len(block) - OVERLAP), len(block) - _OPEN.match(block[::-1]).end())
     pos = 0
     while (m := _STREAM.search(block, pos)) and m.start() < at:
-        stream = _inflated(block[m.start():])
-        while True:
-            try:
-                next(stream)
-            except StopIteration as end:
-                used, wanting = end.value
-                break
+        used, wanting = _extent(block[m.start():])
         if wanting:
             at = m.start()
         pos = m.start() + used
     return max(at, len(block) - LONGEST)
 
 
-def _unpacked(data: bytes) -> Generator[bytes, None, int]:
-    """Blocks of the stream that ``data`` begins with, with overlaps; returns how much of ``data`` is done with."""
-    stream, carry, parts, size = _inflated(data), b"", [], 0
-    while True:
-        try:
-            parts.append(next(stream))
-        except StopIteration as end:
-            if parts:
-                yield carry + b"".join(parts)
-            return end.value[0]
-        size += len(parts[-1])
+def _unpacked(data: bytes) -> Iterator[bytes]:
+    """Blocks of the stream that ``data`` begins with, with overlaps."""
+    carry, parts, size = b"", [], 0
+    for piece in _inflated(data):
+        parts.append(piece)
+        size += len(piece)
         if size >= max(BLOCK, len(carry)):  # grows with what is carried, so that it isn't read over and over
             block = carry + b"".join(parts)
             yield block
             carry, parts, size = block[_unfinished(block):], [], 0
-
-
-def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.data):
-        body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4))
-        except binascii.Error:
-            continue
-        i = np.arange(len(data))
-        yield layer.mapped(data, m.start() + i * 8 // 6, np.minimum(m.end(), m.start() + (i * 8 + 7) // 6 + 1), layer.origin(m.start(), m.end())[1])
+    if parts:
+        yield carry + b"".join(parts)
 
 
 def _streams(layer: Layer) -> Iterator[Layer]:
-    """Bytes of the streams in a layer of bytes."""
+    """Bytes of the streams in a layer of bytes.
+
+    The two bytes of a zlib header occur by chance, so elsewhere than where a part begins that stream must be whole.
+    """
     at = 0
     while m := _STREAM.search(layer.data, at):
-        lo, hi = layer.origin(m.start(), len(layer.data))
-        blocks, used = _unpacked(layer.data[m.start():]), None
-        while True:
-            try:
-                yield Layer(next(blocks), lo, layer.until or hi)
-            except StopIteration as end:
-                used = end.value
-                break
-        at = len(layer.data) if used is None else m.start() + used
+        data = layer.data[m.start():]
+        used, wanting = _extent(data)
+        at = m.start() + used
+        if wanting is not False and data[0] == 0x78 and m.start() not in layer.begins:
+            continue
+        lo, hi = layer.origin(m.start(), min(at, len(layer.data)) if wanting is False else len(layer.data))
+        if layer.until and (wanting is not False or at >= len(layer.data)):
+            hi = layer.until
+        for block in _unpacked(data):
+            yield Layer(block, lo, hi)
 
 
-def _text(layer: Layer) -> Layer:
-    """The text of a layer of bytes; a byte that isn't UTF-8 is a character of its own that no pattern has."""
-    text = layer.data.decode("utf-8", "surrogateescape")
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
-    size = np.where((code >= 0xDC80) & (code < 0xDD00), 1, 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000))
-    until = np.cumsum(size)
-    return layer.mapped(text, until - size, until)
+def _base64(layer: Layer) -> Iterator[Layer]:
+    """Bytes of the base64 runs, at each alignment."""
+    for m in _BASE64.finditer(layer.data):
+        if m.end() - m.start() < MIN_BASE64:
+            continue
+        body = _GAPS.sub("", m[0]).replace("-", "+").replace("_", "/")
+        if len(body) < MIN_BASE64:
+            continue
+        place = None
+        for skip in range(4):
+            n = len(body) - skip
+            data = base64.b64decode(body[skip:len(body) - (n % 4 == 1)] + "=" * (-n % 4 if n % 4 > 1 else 0))
+            if not _worth(data):
+                continue
+            if place is None:
+                run = np.frombuffer(m[0].encode(), np.uint8)
+                place = np.flatnonzero(~np.isin(run, np.frombuffer(b" \t\r\n=", np.uint8)))
+            if layer.fixed:
+                new = layer.mapped(data, None, None)
+            else:
+                i, at = np.arange(len(data)), m.start() + place
+                new = layer.mapped(data, at[skip + i * 8 // 6], at[skip + (i * 8 + 7) // 6] + 1, layer.origin(m.start(), m.end())[1])
+            if _STREAM.search(data):
+                parts = np.searchsorted(place, [0, *(x.end() for x in _PARTS.finditer(m[0]))])
+                new.begins = frozenset(((parts[(parts - skip) % 4 == 0] - skip) // 4 * 3).tolist()) | {0}
+            yield new
+
+
+def _text(layer: Layer) -> Iterator[Layer]:
+    """The text of a layer of bytes, as UTF-8 and as UTF-16 (its stretches of ASCII, at any offset)."""
+    if layer.fixed:
+        yield layer.mapped(layer.data.decode("utf-8", "surrogateescape"), None, None)
+    else:
+        text = layer.data.decode("utf-8", "surrogateescape")
+        size = _sizes(text)
+        until = np.cumsum(size)
+        yield layer.mapped(text, until - size, until)
+    for skip, pattern in enumerate(_WIDE):
+        for m in pattern.finditer(layer.data):
+            lo = np.arange(m.start(), m.end(), 2)
+            yield layer.mapped(m[0][skip::2].decode("ascii"), lo, lo + 2)
 
 
 def _inner(layer: Layer) -> Iterator[Layer]:
     """The layers that are wrapped in this one."""
     if isinstance(layer.data, bytes):
         yield from _streams(layer)
-        yield _text(layer)
+        yield from _text(layer)
         return
-    if "%" in layer.data and (new := _percent(layer)):
-        yield new
+    if "%" in layer.data:
+        yield from _percent(layer)
     if ("\\u" in layer.data or "&#" in layer.data) and (new := _escapes(layer)):
         yield new
     yield from _base64(layer)

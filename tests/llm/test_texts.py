@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+import urllib.parse
 import zlib
 from collections import Counter
 
@@ -323,3 +324,48 @@ def test_runs_and_streams_go_over_block_ends(monkeypatch):
     assert kinds_in(gzip.compress(b"text " * 150 + inner)) == {0, 1}
     assert kinds_in(gzip.compress(b"text " * 150 + base64.b64encode(inner) + b" text" * 300)) == {0, 1}
     assert kinds_in(gzip.compress(b"text " * 500 + SECRET.encode())) == {0, 1}
+
+
+@pytest.mark.parametrize("wrapped", [SECRET.encode() * 4, gzip.compress(random.Random(8).randbytes(300) + SECRET.encode())])
+@pytest.mark.parametrize("columns, end", [(64, "\n"), (76, "\r\n"), (10, "\n  ")])
+def test_secrets_in_wrapped_base64(wrapped, columns, end):
+    run = base64.b64encode(wrapped).decode()
+    text = "Title\n" + end.join(run[i:i + columns] for i in range(0, len(run), columns)) + "\n\nafter"
+    found = secret_scan.find_secrets(text)[1]
+    assert {k for _, k, _ in found} == {0, 1}
+    assert all(6 <= lo < hi <= len(text) - 7 for lo, _, hi in found)
+
+
+@pytest.mark.parametrize("before", ["/files/", "key_", "a-b-", "x", "xy", "xyz"])
+@pytest.mark.parametrize("after", ["", "/more", "Q", "_qq"])
+def test_secrets_in_base64_glued_to_other_characters(before, after):
+    assert kinds_in(SECRET.encode(), before, after) == {0, 1}
+    assert kinds_in(gzip.compress(SECRET.encode()), before, after) == {0, 1}
+    token = base64.b64encode(b"token=abcdef.").decode().rstrip("=")  # 13 bytes: the last character's bits are open
+    text = before + token + after
+    assert [text[lo:hi] for lo, k, hi in secret_scan.find_secrets(text)[1]][0].startswith(token[:16])
+
+
+def test_secrets_among_bytes_that_are_no_text():
+    for codec in ("utf-16", "utf-16-le", "utf-16-be"):
+        assert kinds_in(SECRET.encode(codec)) == {0, 1}
+        assert kinds_in(b"\x07" + SECRET.encode(codec)) == {0, 1}
+        assert kinds_in(gzip.compress(SECRET.encode(codec))) == {0, 1}
+    assert kinds_in(b"record\0" + SECRET.encode() + b"\0\xff\xfe") == {0, 1}
+    escaped = "".join(f"%{b:02X}" for b in b"\xff" + SECRET.encode() + b"\xe9")
+    assert {k for _, k, _ in secret_scan.find_secrets(escaped)[1]} == {0, 1}
+    for data in (gzip.compress(SECRET.encode()), SECRET.encode("utf-16")):
+        for text in ("".join(f"%{b:02x}" for b in data), urllib.parse.quote(data)):
+            found = secret_scan.find_secrets(f"a {text} b")[1]
+            assert {k for _, k, _ in found} == {0, 1}
+            assert all(lo >= 2 for lo, _, _ in found)
+    # escapes and bytes that only together are UTF-8, among further layers
+    assert kinds_in(b"\xc3%a9\xc3%a9 %1f%8b%08 " + SECRET.encode()) == {0, 1}
+
+
+def test_streams_by_chance_give_nothing():
+    assert kinds_in(random.Random(1).randbytes(300_000)) == set()
+    cut = zlib.compress(SECRET.encode() + random.Random(2).randbytes(300))[:-100]
+    assert kinds_in(cut, "/files/") == {0, 1}
+    assert {k for _, k, _ in secret_scan.find_secrets("é%20 x " + "".join(f"%{b:02x}" for b in cut))[1]} == {0, 1}
+    assert kinds_in(b"head" + zlib.compress(SECRET.encode()) + b"tail") == {0, 1}
