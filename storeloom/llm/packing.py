@@ -45,9 +45,10 @@ class WordTokenizer:
 
     The tokenizer's normalizer and pre-tokenizer work on each such word alone
     and drop white space, so a text's ids are its words' ids in turn. Two things
-    that change no ids make words repeat more often: ASCII letters are put in
-    lower case (not where a special token may stand, whose case matters), and a
-    new word that ends in punctuation after an ASCII letter or digit is encoded
+    that change no ids make words repeat more often: words of ASCII alone are put
+    in lower case (not where a special token may stand, whose case matters; other
+    words stay as they are, since the tokenizer composes letters and marks before it
+    lower-cases, and some pairs compose in one case only), and a new word that ends in punctuation after an ASCII letter or digit is encoded
     as the two parts that the pre-tokenizer would make of it.
     """
 
@@ -108,7 +109,7 @@ class WordTokenizer:
         """All ids of the texts, each followed by ``close``; and the offsets of their starts."""
         if len(self.number) > self.keep:
             self._clear()
-        split = [(t if b"<|" in t else t.lower()).split() for t in rows]
+        split = [t.split() if b"<|" in t else t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()] for t in rows]
         every = list(chain.from_iterable(split))
         found = np.fromiter(map(self.number.get, every, repeat(-1)), np.int64, len(every))
         missing = np.flatnonzero(found < 0).tolist()

@@ -369,3 +369,14 @@ def test_streams_by_chance_give_nothing():
     assert kinds_in(cut, "/files/") == {0, 1}
     assert {k for _, k, _ in secret_scan.find_secrets("é%20 x " + "".join(f"%{b:02x}" for b in cut))[1]} == {0, 1}
     assert kinds_in(b"head" + zlib.compress(SECRET.encode()) + b"tail") == {0, 1}
+
+
+def test_capitals_that_compose_in_one_case_only_keep_their_ids():
+    from tokenizers import Tokenizer
+    path = tokenizer("word_bpe_49k.json")
+    model, words = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    texts = ["J\u030c", "H\u0331", "T\u0308", "W\u030a Y\u030a", "Plain J\u030cAB, H\u0331. E\u0301 É <|x T\u0308", "J \u030c", "ẞ İ ΑΣ Kelvin \u212a"]
+    texts += [c + chr(m) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" for m in range(0x300, 0x346)]
+    ids, starts = words.encode([t.encode() for t in texts], 1)
+    for t, lo, hi in zip(texts, starts[:-1], starts[1:], strict=True):
+        assert ids[lo:hi].tolist() == [*model.encode(t, add_special_tokens=False).ids, 1], t
