@@ -14,9 +14,12 @@ confirms the occurrence. Thousands of positions of a slice of documents advance
 at once as numpy lanes. Test strings are put in length classes with tables of
 their own, so that a one-word item does not shorten the shifts of the others.
 
-Scale: documents are only read and mapped; nothing is shuffled. Test strings
-are broadcast in blocks of at most ``block_bytes``, counted before; a larger
-benchmark takes further passes of the same map over the same rows.
+Scale: with a benchmark of at most ``block_bytes``, counted before, documents are
+only read and mapped; nothing is shuffled. A larger one is landed, its distinct
+test strings are numbered and broadcast in blocks of about that size, one at a
+time: each pass writes the hits of its block (text digest, spans, numbers) to the
+shared scratch folder before the next block is fetched. Numbers are joined to item
+ids on Spark, and hits to documents by text digest.
 
 Defined cases: null or empty text has no words and is clean; items that are
 null or have no words give no test string; repeated items and windows that
@@ -36,7 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.common import append, free_name, joined, plain_text, plain_words, slices, texts
+from storeloom.llm.common import append, free_name, joined, plain_text, plain_words, slices, text_digest, texts
+from storeloom.session import scratch_folder
 
 WINDOW_WORDS = 13
 BLOCK_BYTES = 32 << 20
@@ -130,20 +134,50 @@ def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_te
               size: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, str]:
     """``docs`` with one more struct column, and its name: n_words, hit spans (in words), sorted items found."""
     spark = docs.sparkSession
-    found = windows(items, item_text, item_id, size).withColumn("bytes", F.octet_length("window") + 16)
-    total = found.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(1.25 * total / block_bytes)) if total > block_bytes else 1
+    found = windows(items, item_text, item_id, size)
+    bytes_of = F.octet_length("window") + F.coalesce(F.octet_length("item"), F.lit(0)) + 16
+    total = found.agg(F.coalesce(F.sum(bytes_of), F.lit(0))).first()[0]
     name = free_name(docs, "hits")
-    out = docs
-    for k in range(blocks):
-        mine = found.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).groupBy("window").agg(F.collect_set("item").alias("items"))
-        strings = [(r["window"].encode(), sorted(r["items"])) for r in mine.toLocalIterator()]
-        out = _pass(out, spark.sparkContext.broadcast(sorted(strings)), text_col, name, first=k == 0)
-    return out, name
+    if total > block_bytes:
+        return _in_blocks(docs, found, text_col, name, block_bytes), name
+    rows = found.groupBy("window").agg(F.collect_set("item").alias("items")).toLocalIterator()
+    strings = [(r["window"].encode(), sorted(r["items"])) for r in rows]
+    return _pass(docs, spark.sparkContext.broadcast(sorted(strings)), text_col, name, first=True), name
+
 
+def _in_blocks(docs: DataFrame, found: DataFrame, text_col: str, name: str, block_bytes: int) -> DataFrame:
+    """``docs`` with the hits of a benchmark that is more than one block."""
+    spark = docs.sparkSession
+    root = scratch_folder(spark, "decontamination")
+    found.write.parquet(f"{root}/windows")
+    found = spark.read.parquet(f"{root}/windows")
+    found.select("window").distinct().withColumn("number", F.monotonically_increasing_id()).write.parquet(f"{root}/numbers")
+    numbers = spark.read.parquet(f"{root}/numbers")
+    total = numbers.agg(F.sum(F.octet_length("window") + 16)).first()[0]
+    blocks = max(1, math.ceil(1.25 * total / block_bytes))
+    text = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
+    for k in range(blocks):
+        mine = numbers.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k)
+        strings = spark.sparkContext.broadcast(sorted((r["window"].encode(), [r["number"]]) for r in mine.toLocalIterator()))
+        hits = _pass(text, strings, "text", "hits", first=True, item="long").where(F.size("hits.spans") > 0)
+        hits.select(text_digest(F.col("text")).alias("digest"), "hits.spans", "hits.items").write.parquet(f"{root}/hits/block={k}")
+        strings.destroy()
+    hits = spark.read.parquet(f"{root}/hits")
+    spans = hits.select("digest", F.explode("spans").alias("span")).groupBy("digest").agg(F.collect_set("span").alias("spans"))
+    items = (hits.select("digest", F.explode("items").alias("number")).distinct()
+             .join(numbers.join(found, "window").select("number", "item"), "number").groupBy("digest").agg(F.sort_array(F.collect_set("item")).alias("items")))
+    key, every = free_name(docs, "text_digest"), spans.join(items, "digest")
+    every = every.select(F.col("digest").alias(key), F.struct(F.lit(0).cast("long").alias("n_words"), "spans", "items").alias(name))
+    whole = docs.withColumn(key, text_digest(F.col(f"`{text_col}`").cast("string"))).join(every, key, "left").drop(key)
+    none = F.from_json(F.lit('{"n_words": 0, "spans": [], "items": []}'), HITS)
+    whole = whole.withColumn(name, F.coalesce(F.col(name).cast(HITS), none))
+    return _pass(whole, spark.sparkContext.broadcast([]), text_col, name, first=False)
+
+
+def _pass(docs: DataFrame, strings, text_col: str, name: str, first: bool, item: str = "string") -> DataFrame:
+    """One pass over the documents with one block of test strings; not the first one: what column ``name`` has is taken in."""
+    arrow_item, hits = (pa.string(), HITS) if item == "string" else (pa.int64(), T.StructType([*HITS.fields[:2], T.StructField("items", T.ArrayType(T.LongType()))]))
 
-def _pass(docs: DataFrame, strings, text_col: str, name: str, first: bool) -> DataFrame:
-    """One pass over the documents with one block of test strings."""
     def run(batches):
         classes = []
         for low, high in zip(LENGTH_CLASSES, (*LENGTH_CLASSES[1:], 1 << 62), strict=True):
@@ -176,13 +210,13 @@ def _pass(docs: DataFrame, strings, text_col: str, name: str, first: bool) -> Da
                         merged.append([s, e])
                 rows.append({"n_words": max(0, text.count(b" ") - 1), "spans": [{"start": s, "end": e} for s, e in merged],
                              "items": sorted(items[r])})
-            kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(pa.string()))])
+            kind = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(_SPAN)), ("items", pa.list_(arrow_item))])
             if not first:
                 part = part.drop_columns([name])
             yield append(part, **{name: pa.array(rows, kind)})
 
     base = [f for f in docs.schema.fields if f.name != name]
-    return docs.mapInArrow(run, T.StructType([*base, T.StructField(name, HITS)]))
+    return docs.mapInArrow(run, T.StructType([*base, T.StructField(name, hits)]))
 
 
 def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

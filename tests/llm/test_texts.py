@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import os
 import random
 import re
 import struct
@@ -380,3 +381,21 @@ def test_capitals_that_compose_in_one_case_only_keep_their_ids():
     ids, starts = words.encode([t.encode() for t in texts], 1)
     for t, lo, hi in zip(texts, starts[:-1], starts[1:], strict=True):
         assert ids[lo:hi].tolist() == [*model.encode(t, add_special_tokens=False).ids, 1], t
+
+
+def test_a_large_benchmark_is_in_memory_one_block_at_a_time(spark, monkeypatch):
+    made, make = [], type(spark.sparkContext).broadcast
+
+    def broadcast(self, value):
+        assert not any(os.path.exists(b._path) for b in made), "an earlier block is still there"
+        made.append(make(self, value))
+        assert sum(len(s) + 8 * len(ids) for s, ids in value) < 4000
+        return made[-1]
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    shared = " ".join(f"w{i}" for i in range(13))
+    items = spark.createDataFrame([(i, shared) for i in range(900)] + [(1000 + i, " ".join(f"v{i}x{j}" for j in range(14))) for i in range(40)], "item_id long, text string")
+    texts = [f"a {shared} b", None, "", "v1x0 " + " ".join(f"v1x{j}" for j in range(14)) + " z " + shared, f"a {shared} b", "nothing"]
+    got = collected(decontaminate.report(frame(spark, texts), items, block_bytes=2000))
+    assert len(made) > 2
+    assert [(got[i]["n_hit"], got[i]["n_items"]) for i in range(6)] == [(13, 900), (0, 0), (0, 0), (27, 901), (13, 900), (0, 0)]
+    assert got[0]["items_sha256"] == hashlib.sha256(",".join(sorted(map(str, range(900)))).encode()).hexdigest()
