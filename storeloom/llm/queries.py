@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from storeloom.llm import decontaminate, latent_votes, line_spread, ngram_join, packing, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
+from storeloom.llm import (collocations, decontaminate, latent_votes, line_spread, ngram_join, packing, quality_rules, secret_scan,
+                           suffix_dedup, token_alignment, token_counts, toxicity, vantage_trees)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +60,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage_trees.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict:
     own = {name: fn for name, fn in globals().items() if name.startswith("op") and name[2].isdigit()}
     return dict(sorted(own.items(), key=lambda x: int(x[0][2:].split("_")[0])))

@@ -56,4 +56,21 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_
 FROM judged
 """
 
-ORACLE = {"op4_decontamination": OP4, "op5_line_spread": OP5, "op8_quality_rules": OP8}
+OP11 = r"""
+WITH doc AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+piece AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM doc)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+gram AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM piece, range(1, 4) AS a(k), unnest(range(1, len(w) - k + 2)) AS u(i)),
+freq AS (SELECT lang, k, s, count(*) AS f FROM gram GROUP BY lang, k, s HAVING count(*) >= 10),
+cand AS (SELECT lang, k, s, f AS a, string_split(s, ' ') AS w FROM freq WHERE k > 1),
+cut AS (SELECT c.lang, c.s, c.a, c.k, i, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS i FROM cand) c
+        JOIN freq x ON x.lang = c.lang AND x.s = array_to_string(c.w[1:i], ' ') JOIN freq y ON y.lang = c.lang AND y.s = array_to_string(c.w[i + 1:c.k], ' ')),
+lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, s ORDER BY score, i) = 1),
+longer AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS s, max(a) AS most FROM (SELECT *, unnest([1, 2]) AS i FROM cand WHERE k = 3) GROUP BY 1, 2),
+kept AS (SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, s) WHERE k = 3 OR most IS NULL OR 100 * most < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, s) AS rank FROM kept)
+SELECT lang, rank, s AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {"op11_collocations": OP11, "op4_decontamination": OP4, "op5_line_spread": OP5, "op8_quality_rules": OP8}
