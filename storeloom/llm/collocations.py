@@ -1,12 +1,13 @@
 """Phrase collocations by SON partitioning: complete local mining at lowered support, then exact global counts.
 
-Documents are dealt into ``SHARDS`` shards by their ids. A phrase that a language
-holds ``support`` times has, in some shard, at least the share of that support
-which the shard has of the language's words. So every shard is mined completely
+Documents are dealt into ``SHARDS`` equal shards by their ids. A phrase that a
+language holds ``support`` times has more than (support - 1) / shards of them in
+some shard, however uneven the shards turn out. So every shard is mined completely
 at that lowered support, level by level (a phrase can only be frequent if the
 phrases without its first and without its last word are); the union of what is
-frequent in any shard holds all phrases that are frequent overall; and one more
-pass counts all of that union exactly.
+frequent in any shard holds all phrases that are frequent overall. Of the union go
+those that can't reach the support with what the other shards may hold below their
+own; and one more pass counts all that are left exactly.
 
 A support that doesn't grow with the corpus is lowered to one if there are more
 shards than its number, and then prunes nothing; so shards are few and each is
@@ -43,8 +44,6 @@ SCALE = 1_000_000
 #: A-Z to lower case, piece ends to a line feed, tab to space.
 _PLAIN = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b for b in range(256))
 _WORD = r"[^ \t.,;:!?\n\x0B\f\r]+"
-#: A local count times its weight reaches this where it reaches the local support.
-_FULL = 1 << 40
 _SHARD_BITS = 2
 
 
@@ -67,35 +66,70 @@ def _pieces(batch: pa.RecordBatch, max_bytes: int) -> tuple[list[bytes], list[in
 
 
 class Words:
-    """The words of a slice: number in the slice's dictionary, piece and row of each."""
+    """The words of a slice: where each begins and ends, its piece and its row."""
 
     def __init__(self, parts: list[bytes], rows: np.ndarray):
         data, starts = joined(parts, b"\n")
-        flat = np.frombuffer(data, np.uint8)
+        self.flat = flat = np.frombuffer(data, np.uint8)
         inside = (flat != 32) & (flat != 10)
-        edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
-        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        offsets = np.concatenate(([0], np.cumsum(end - begin))).astype(np.int64)
-        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), begin.size, [None, pa.py_buffer(offsets), pa.py_buffer(flat[inside])]).dictionary_encode()
-        self.dictionary, self.ids = found.dictionary, found.indices.to_numpy().astype(np.int64)
-        self.piece = np.searchsorted(np.flatnonzero(flat == 10), begin)
-        self.row = rows[np.searchsorted(starts, begin, "right") - 1]
+        edge = np.diff(np.concatenate(([False], inside, [False])).view(np.int8))
+        self.begin, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.piece = np.searchsorted(np.flatnonzero(flat == 10), self.begin)
+        self.row = rows[np.searchsorted(starts, self.begin, "right") - 1]
 
     def hashes(self, row_seed: np.ndarray):
         """Hashes of the phrases of 1, 2, ... words that begin at each word, whether or not their piece goes on."""
-        import xxhash
-        own = np.array([xxhash.xxh3_64_intdigest(w) for w in self.dictionary.to_pylist()], np.uint64)[self.ids]
+        if not self.begin.size:
+            return
+        own = np.empty(self.begin.size, np.uint64)
+        for at in range(0, own.size, _AT_ONCE):  # a polynomial over each word's bytes, by prefix sums of a run of words
+            begin, end = self.begin[at:at + _AT_ONCE], self.end[at:at + _AT_ONCE]
+            flat = self.flat[begin[0]:end[-1]]
+            power = np.full(flat.size + 1, _BASE)
+            power[0] = 1
+            np.multiply.accumulate(power, out=power)
+            total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_OF_BYTE[flat] * power[:-1], dtype=np.uint64)))
+            own[at:at + _AT_ONCE] = (total[end - begin[0]] - total[begin - begin[0]]) * power[flat.size - begin + begin[0]] * _inverse(power[-1])
+        own = mix(own)
         value = mix(own + row_seed[self.row])
         while True:
             yield value
             value = mix(value[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[own.size - value.size + 1:])
 
+    def numbers(self, which: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """The numbers of some words in a dictionary of theirs, and that dictionary."""
+        begin, size = self.begin[which], (self.end - self.begin)[which]
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        data = self.flat[np.arange(int(offsets[-1])) + np.repeat(begin - offsets[:-1], size)]
+        found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), begin.size, [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        return found.indices.to_numpy().astype(np.int64), found.dictionary
+
     def whole(self, size: int) -> np.ndarray:
         """Whether a phrase of ``size`` words begins at each word."""
         n = max(0, self.piece.size - size + 1)
         return self.piece[:n] == self.piece[self.piece.size - n:]
 
 
+#: An odd base, so that its powers have inverses modulo 2 ** 64, and a number for each byte.
+_BASE = np.uint64(0xD6E8FEB86659FD93)
+_AT_ONCE = 1 << 15
+_OF_BYTE = mix(np.arange(1, 257, dtype=np.uint64))
+
+
+def _inverse(x: np.uint64) -> np.uint64:
+    return np.uint64(pow(int(x), -1, 1 << 64))
+
+
+def _distinct(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One place and the number of each distinct value, and the place of every value among them."""
+    order = np.argsort(code)
+    sorted_code = code[order]
+    new = np.concatenate(([True], sorted_code[1:] != sorted_code[:-1]))
+    rank = np.empty(code.size, np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return order[new], np.diff(np.concatenate((np.flatnonzero(new), [code.size]))), rank
+
+
 def _holds(bitmap: tuple[int, np.ndarray], value: np.ndarray) -> np.ndarray:
     bits, words = bitmap
     at = value >> np.uint64(64 - bits)
@@ -110,14 +144,13 @@ def _seeds(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
 
 
 def _local(src: DataFrame, size: int, shorter: tuple[int, object] | None, max_bytes: int) -> DataFrame:
-    """(key, weight) for the phrases of ``size`` words of each slice: the key's last bits are the shard."""
+    """(key, n) for the phrases of ``size`` words of each slice: the key's last bits are the shard."""
     def run(batches):
         bitmap = (shorter[0], np.frombuffer(shorter[1].value, np.uint64)) if shorter else None
         low = np.uint64((1 << _SHARD_BITS) - 1)
         for part in slices(batches, "text", max_bytes):
-            langs, seeds = _seeds(part)
+            _, seeds = _seeds(part)
             shard = part.column("shard").to_numpy(zero_copy_only=False).astype(np.uint64)
-            weight = part.column("weight").to_numpy(zero_copy_only=False)
             parts, rows = _pieces(part, max_bytes)
             for at in _runs(parts, max_bytes):
                 words = Words(parts[at], np.array(rows[at]))
@@ -130,11 +163,9 @@ def _local(src: DataFrame, size: int, shorter: tuple[int, object] | None, max_by
                         good = good & seen[:-1] & seen[1:]
                     if n == size:
                         break
-                key = (value[good] & ~low) | shard[words.row[:good.size][good]]
-                key, first, n = np.unique(key, return_index=True, return_counts=True)
-                w = weight[words.row[:good.size][good][first]] * n
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(w.astype(np.int64))], names=["key", "weight"])
-    return src.select("lang", "text", "shard", "weight").mapInArrow(run, "key long, weight long")
+                key, n = np.unique((value[good] & ~low) | shard[words.row[:good.size][good]], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["key", "n"])
+    return src.select("lang", "text", "shard").mapInArrow(run, "key long, n long")
 
 
 def _runs(parts: list[bytes], max_bytes: int) -> list[slice]:
@@ -167,28 +198,34 @@ def _exact(src: DataFrame, bitmaps: list[tuple[int, object]], max_bytes: int) ->
             langs, seeds = _seeds(part)
             names = sorted(set(langs))
             place = {x: i for i, x in enumerate(names)}
-            number = np.array([place[x] for x in langs], np.int64)
+            numbers = np.array([place[x] for x in langs], np.int64)
             parts, rows = _pieces(part, max_bytes)
             for at in _runs(parts, max_bytes):
                 words = Words(parts[at], np.array(rows[at]))
-                if not words.ids.size:
-                    continue
-                code, base, alive = number[words.row] * len(words.dictionary) + words.ids, len(words.dictionary), np.arange(words.ids.size)
+                alive, code = np.arange(words.begin.size), None
                 for size, (value, bitmap) in enumerate(zip(words.hashes(seeds), maps, strict=False), 1):
-                    if size > 1:  # exact numbers of longer phrases: of the shorter ones, brought close, and the next word's
-                        code = np.unique(code, return_inverse=True)[1]
-                        inside = alive + size <= words.ids.size
-                        alive = alive[inside]
-                        code = code[inside] * base + words.ids[alive + size - 1]
-                    good = words.whole(size)[alive] & _holds(bitmap, value[alive])
-                    alive, code = alive[good], code[good]
+                    alive = alive[alive + size <= words.begin.size]
+                    alive = alive[words.whole(size)[alive] & _holds(bitmap, value[alive])]
                     if not alive.size:
                         break
-                    _, first, n = np.unique(code, return_index=True, return_counts=True)
+                    if size == 1:
+                        number, dictionary = words.numbers(alive)
+                        place_of = np.full(words.begin.size, -1)
+                        place_of[alive] = number
+                        code = np.full(words.begin.size, -1)
+                        code[alive] = numbers[words.row[alive]] * len(dictionary) + number
+                    else:  # exact numbers of longer phrases: of the shorter ones, brought close, and the next word's
+                        alive = alive[place_of[alive + size - 1] >= 0]
+                        if not alive.size:
+                            break
+                        code[alive] = rank_of[alive] * len(dictionary) + place_of[alive + size - 1]
+                    first, n, rank = _distinct(code[alive])
+                    rank_of = np.zeros(words.begin.size, np.int64)
+                    rank_of[alive] = rank
                     first = alive[first]
-                    own = [words.dictionary.take(pa.array(words.ids[first + k])) for k in range(size)]
+                    own = [dictionary.take(pa.array(place_of[first + k])) for k in range(size)]
                     phrase = pc.binary_join_element_wise(*own, pa.scalar(b" ", pa.large_binary())) if size > 1 else own[0]
-                    lang = pa.array(names, pa.string()).take(pa.array(number[words.row[first]]))
+                    lang = pa.array(names, pa.string()).take(pa.array(numbers[words.row[first]]))
                     yield pa.RecordBatch.from_arrays([lang, pa.array(np.full(first.size, size, np.int32)), phrase.view(pa.large_string()).cast(pa.string()), pa.array(n.astype(np.int64))],
                                                      names=["lang", "size", "phrase", "n"])
     return src.select("lang", "text").mapInArrow(run, "lang string, size int, phrase string, n long")
@@ -203,23 +240,21 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     root = scratch_folder(spark, "collocations")
     src = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
                       F.pmod(F.xxhash64(F.col(id_col)), F.lit(shards)).cast("int").alias("shard"))
-    src.groupBy("lang", "shard").agg(F.sum(F.regexp_count("text", F.lit(_WORD)).cast("long")).alias("own")).write.parquet(f"{root}/sizes")
-    sizes = spark.read.parquet(f"{root}/sizes")
-    every = sizes.groupBy("lang").agg(F.sum("own").alias("n"))
-    # a shard with the share own/n of a language's words is mined at support * own / n, rounded up
-    local = sizes.join(every, "lang").where("own > 0").select("lang", "shard", F.expr(f"greatest(1L, ({support} * own + n - 1) div n)").alias("least"))
-    mined = src.join(local.select("lang", "shard", F.expr(f"({_FULL} + least - 1) div least").alias("weight")), ["lang", "shard"])
+    sizes = src.groupBy("lang").agg(F.sum(F.regexp_count("text", F.lit(_WORD)).cast("long")).alias("n"))
+    least = (support - 1) // shards + 1
     maps: list[tuple[int, object]] = []
     for size in range(1, longest + 1):
-        found = _local(mined, size, maps[-1] if maps else None, max_bytes).groupBy("key").agg(F.sum("weight").alias("weight")).where(F.col("weight") >= _FULL)
-        found.select("key").write.parquet(f"{root}/mined-{size}")
+        found = _local(src, size, maps[-1] if maps else None, max_bytes).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        union = found.groupBy(F.shiftrightunsigned("key", _SHARD_BITS).alias("key")).agg(F.sum("n").alias("n"), F.count("*").alias("met"))
+        may = F.col("n") + (shards - F.col("met")) * (least - 1) >= support
+        union.where(may).select(F.shiftleft("key", _SHARD_BITS).alias("key")).write.parquet(f"{root}/mined-{size}")
         bits, bitmap = _bitmap(spark.read.parquet(f"{root}/mined-{size}"), most_bits)
         maps.append((bits, spark.sparkContext.broadcast(bitmap)))
     counted = _exact(src, maps, max_bytes).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= support)
     counted.write.parquet(f"{root}/counted")
     for _, b in maps:
         b.unpersist()
-    return spark.read.parquet(f"{root}/counted"), every
+    return spark.read.parquet(f"{root}/counted"), sizes
 
 
 def _joined(words: Column, begin: Column, n: Column) -> Column:
