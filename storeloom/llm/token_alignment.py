@@ -28,8 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.common import kept_in_worker, slices, texts
+from storeloom.llm.common import joined, kept_in_worker, slices, texts
 from storeloom.session import scratch_folder
 
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 96 << 20
 HOT = 1 << 16
 
-_CUT = re.compile(r"(?<=\S)(?= )")
-
 
 def byte_level_alphabet() -> dict[str, int]:
     """The byte of each character of a byte-level vocabulary: printable Latin-1 stands for itself, the rest for 256 and on."""
@@ -76,32 +73,44 @@ class Tokenizers:
                 first.setdefault(own, i)
         #: The B id of the same bytes as each A id; -1 where there is none.
         self.same = np.array([first.get(own, -1) for own in self.a_bytes], np.int32)
-        self.a_len, self.b_len = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of parts that begin with a space."""
-        return [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)], self.b.encode([p[1:] for p in parts], num_threads=1)
-
-    def spelled(self, a: list[int], b: list[int], text: bytes) -> bool:
-        return b"".join(map(self.a_bytes.__getitem__, a)) == text and b"".join(map(self.b_bytes.__getitem__, b)) == text
-
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """The groups of two token runs over the same bytes."""
-        if len(a) == len(b) == 1:
-            return [(a, b)]
-        size_a, size_b = self.a_len, self.b_len
-        out, i, j, x, y, left, right = [], 0, 0, 0, 0, 0, 0
-        while x < len(a) or y < len(b):
-            if left <= right:
-                left += size_a[a[x]]
-                x += 1
-            else:
-                right += size_b[b[y]]
-                y += 1
-            if left == right:
-                out.append((a[i:x], b[j:y]))
-                i, j = x, y
-        return out
+        self.a_size, self.b_size = (np.array(list(map(len, own)), np.int64) for own in (self.a_bytes, self.b_bytes))
+        #: Ids as text: A's inside a group and at its end, then B's.
+        self.written = [f"{i}{sign}".encode() for n, signs in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for sign in signs for i in range(n)]
+        self.written_size = np.array(list(map(len, self.written)), np.int64)
+
+    def encode(self, parts: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Ids of parts that begin with a space, and whether both spell the part."""
+        strings = [p.decode("utf-8", "replace") for p in parts]
+        a = [e.ids for e in self.a.encode_batch_fast(strings, add_special_tokens=False)]
+        b = self.b.encode([p[1:] for p in strings], num_threads=1)
+        good = np.array([b"".join(map(self.a_bytes.__getitem__, x)) == p == b"".join(map(self.b_bytes.__getitem__, y)) for x, y, p in zip(a, b, parts, strict=True)], bool)
+        return a, b, good
+
+    def groups(self, a: list[list[int]], b: list[list[int]]) -> tuple[np.ndarray, list[bytes], tuple, tuple]:
+        """Of parts that both spell: numbers of tokens and groups, groups as text (each with its sign at the end), links of either kind with their numbers."""
+        n_a, n_b = (np.array(list(map(len, own)), np.int64) for own in (a, b))
+        a, b = (np.fromiter(chain.from_iterable(own), np.int64) for own in (a, b))
+        end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        at = np.minimum(np.searchsorted(end_b, end_a), max(0, end_b.size - 1))
+        last_a = np.flatnonzero(end_b[at] == end_a) if a.size else at
+        last_b = at[last_a]
+        part = np.searchsorted(np.cumsum(n_a), last_a, "right")
+        before_a, before_b = np.concatenate(([-1], last_a))[:-1], np.concatenate(([-1], last_b))[:-1]
+        one = (last_a - before_a == 1) & (last_b - before_b == 1) & (self.same[a[last_a]] == b[last_b])
+        link = np.stack([a[last_a], b[last_b]], axis=1).astype(np.int32)
+        per_part = lambda which: np.bincount(part[which], minlength=n_a.size)
+        codes = np.empty(a.size + b.size, np.int64)
+        of_a, of_b = np.searchsorted(last_a, np.arange(a.size)), np.searchsorted(last_b, np.arange(b.size))
+        own = a.copy()
+        own[last_a] += len(self.a_bytes)
+        codes[np.arange(a.size) + (before_b + 1)[of_a]] = own
+        own = b + 2 * len(self.a_bytes)
+        own[last_b] += len(self.b_bytes)
+        codes[np.arange(b.size) + (last_a + 1)[of_b]] = own
+        text = b"".join(map(self.written.__getitem__, codes.tolist()))
+        ends = np.concatenate(([0], np.cumsum(self.written_size[codes])))[np.concatenate(([0], np.cumsum(n_a + n_b)))].tolist()
+        numbers = np.stack([n_a, n_b, per_part(slice(None))], axis=1)
+        return numbers, [text[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], (link[one, 0], per_part(one)), (link[~one], per_part(~one))
 
 
 class Aligned:
@@ -112,59 +121,80 @@ class Aligned:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number: dict[bytes, int] = {}
         self.held = 0
-        self.text: list[bytes] = []  # a piece's groups as text; None where its tokens don't spell it
+        self.text: list[bytes | None] = []  # a piece's groups as text; None where its tokens don't spell it
         self.n = np.empty((0, 3), np.int64)  # tokens of A, of B, groups
         self.one, self.one_ends = np.empty(0, np.int32), np.zeros(1, np.int64)  # A ids of one-to-one links
         self.odd, self.odd_ends = np.empty((0, 2), np.int32), np.zeros(1, np.int64)  # other links
-
-    def learn(self, parts: list[str]) -> None:
-        base, counts, one, odd, ones, odds = len(self.number), [], [], [], [], []
+        self.met = np.empty(0, np.int32)  # slices in which a piece was met
+
+    def shrink(self) -> None:
+        """Forget the pieces that were met in one slice only, or all if that leaves many."""
+        keep, names = np.flatnonzero(self.met > 1), list(self.number)
+        if 2 * keep.size > len(names):
+            return self.clear()
+        self.held = int(self.held * keep.size / len(names))
+        self.number = {names[i]: k for k, i in enumerate(keep.tolist())}
+        self.text = [self.text[i] for i in keep.tolist()]
+        self.one, n_one = _gather(self.one, self.one_ends, keep)
+        self.odd, n_odd = _gather(self.odd, self.odd_ends, keep)
+        self.one_ends, self.odd_ends = (np.concatenate(([0], np.cumsum(n))) for n in (n_one, n_odd))
+        self.n, self.met = self.n[keep], np.ones(keep.size, np.int32)
+
+    def learn(self, parts: list[bytes]) -> None:
+        counts, one, odd, ones, odds = [self.n], [self.one], [self.odd], [], []
         for k in range(0, len(parts), 2000):
             fresh = parts[k:k + 2000]
-            for part, a, b in zip(fresh, *self.t.encode(fresh), strict=True):
-                if not self.t.spelled(a, b, part.encode("utf-8", "replace")):
-                    self.text.append(None)
-                    counts.append((0, 0, 0))
-                else:
-                    found = self.t.groups(a, b)
-                    self.text.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in found).encode())
-                    counts.append((len(a), len(b), len(found)))
-                    for x, y in found:
-                        if len(x) == len(y) == 1 and self.t.same[x[0]] == y[0]:
-                            one.append(x[0])
-                        else:
-                            odd.append((x[-1], y[-1]))
-                ones.append(len(one))
-                odds.append(len(odd))
-                self.held += 240 + 3 * len(part) + 24 * counts[-1][0]
-        self.number.update(zip(parts, range(base, base + len(parts)), strict=True))
-        self.n = np.concatenate([self.n, np.array(counts, np.int64).reshape(-1, 3)])
-        self.one = np.concatenate([self.one, np.array(one, np.int32)])
-        self.odd = np.concatenate([self.odd, np.array(odd, np.int32).reshape(-1, 2)])
-        self.one_ends = np.concatenate([self.one_ends, self.one_ends[-1] + np.array(ones, np.int64)])
-        self.odd_ends = np.concatenate([self.odd_ends, self.odd_ends[-1] + np.array(odds, np.int64)])
-
-    def numbers(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """The pieces' numbers, all texts in turn; where each text's begin."""
+            a, b, good = self.t.encode(fresh)
+            numbers, text, (x, n_x), (y, n_y) = self.t.groups([i for i, g in zip(a, good, strict=True) if g], [i for i, g in zip(b, good, strict=True) if g])
+            own, per = np.zeros((len(fresh), 3), np.int64), np.zeros((2, len(fresh)), np.int64)
+            own[good], per[:, good] = numbers, (n_x, n_y)
+            text = iter(text)
+            self.text += [next(text) if g else None for g in good]
+            counts.append(own)
+            one.append(x)
+            odd.append(y)
+            ones.append(per[0])
+            odds.append(per[1])
+            self.held += 260 * len(fresh) + 2 * sum(map(len, fresh)) + 24 * int(own.sum())
+        self.number.update(zip(parts, range(len(self.number), len(self.number) + len(parts)), strict=True))
+        self.n, self.one, self.odd = np.concatenate(counts), np.concatenate(one), np.concatenate(odd)
+        self.one_ends, self.odd_ends = (np.concatenate([was, was[-1] + np.cumsum(np.concatenate(n))]) for was, n in ((self.one_ends, ones), (self.odd_ends, odds)))
+
+    def numbers(self, rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the texts' pieces, all texts in turn; where each text's begin."""
         if self.held > self.cache_bytes:
-            self.clear()
-        every = list(chain.from_iterable(split))
-        found = np.fromiter(map(self.number.get, every, repeat(-1)), np.int64, len(every))
-        missing = np.flatnonzero(found < 0).tolist()
+            self.shrink()
+        found, starts = pieces(rows)
+        distinct = found.dictionary.to_pylist()
+        missing = [p for p in distinct if p not in self.number]
         if missing:
-            self.learn(list(dict.fromkeys(every[i] for i in missing)))
-            found[missing] = [self.number[every[i]] for i in missing]
-        return found, np.concatenate(([0], np.cumsum([len(s) for s in split]))).astype(np.int64)
-
-
-def pieces(text: str) -> list[str]:
-    """Space + text, cut before each space that follows a character other than white space."""
-    own = text.split(" ")
-    if all(own) and not any(p[-1].isspace() for p in own):
-        return [" " + p for p in own]
-    return _CUT.split(" " + text)
+            self.learn(missing)
+        own = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        self.met = np.concatenate([self.met, np.zeros(len(self.number) - self.met.size, np.int32)])
+        self.met[own] += 1
+        return own[found.indices.to_numpy()], starts
+
+
+def pieces(rows: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Space + text, cut before each space that follows a character other than white space; where each text's begin.
+
+    An empty text has no piece. A cut that is left out does no harm, so control
+    characters that some call white space count as white space here.
+    """
+    data, starts = joined([b" " + t if t else t for t in rows])
+    flat = np.frombuffer(data, np.uint8)
+    space = np.flatnonzero(flat == 32)
+    one, two, three = (flat[np.maximum(space - k, 0)] for k in (1, 2, 3))
+    blank = (one <= 32) & ((one >= 28) | (one >= 9) & (one <= 13))
+    blank |= (two == 0xC2) & ((one == 0x85) | (one == 0xA0))
+    blank |= (three == 0xE2) & (two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF))
+    blank |= (three == 0xE2) & (two == 0x81) & (one == 0x9F) | (three == 0xE3) & (two == 0x80) & (one == 0x80) | (three == 0xE1) & (two == 0x9A) & (one == 0x80)
+    begin = np.union1d(space[~blank], starts[:-1][np.diff(starts) > 0])
+    offsets = np.concatenate((begin, [flat.size])).astype(np.int64)
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), begin.size, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+    return found, np.searchsorted(begin, starts)
 
 
 def _gather(values: np.ndarray, ends: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -190,9 +220,8 @@ def _links(src: DataFrame, a_path: str, b_path: str, cache_bytes: int) -> DataFr
         known = kept_in_worker(("aligned pieces", a_path, b_path), lambda: Aligned(t, cache_bytes))
         span_b = len(t.b_bytes)
         for part in slices(batches, "text", 1 << 20):
-            rows = [x.decode("utf-8", "replace") for x in texts(part, "text")]
-            split = [pieces(x) if x else [] for x in rows]
-            found, starts = known.numbers(split)
+            rows = texts(part, "text")
+            found, starts = known.numbers(rows)
             bad = {int(np.searchsorted(starts, k, "right")) - 1 for k in np.flatnonzero([known.text[x] is None for x in found.tolist()]).tolist()}
             alone = {i: _whole(t, rows[i]) for i in bad}
             row = np.repeat(np.arange(len(rows)), np.diff(starts))
@@ -212,8 +241,8 @@ def _links(src: DataFrame, a_path: str, b_path: str, cache_bytes: int) -> DataFr
                     odd, odd_row = np.concatenate([odd, np.array(y, np.int32).reshape(-1, 2)]), np.concatenate([odd_row, np.full(len(y), i)])
                 else:
                     lo, hi = np.searchsorted(row, (i, i + 1))
-                    text = b";".join(map(known.text.__getitem__, found[lo:hi].tolist()))
-                digests.append(hashlib.sha256(text).hexdigest() if numbers[i, 2] else "")
+                    text = b"".join(map(known.text.__getitem__, found[lo:hi].tolist()))
+                digests.append(hashlib.sha256(text[:-1]).hexdigest() if text else "")
             at_one, key_one, n_one = _counted(one_row, one.astype(np.int64), len(rows), len(t.a_bytes))
             at_odd, key_odd, n_odd = _counted(odd_row, odd[:, 0].astype(np.int64) * span_b + odd[:, 1], len(rows), len(t.a_bytes) * span_b)
             ints = lambda at, x: pa.ListArray.from_arrays(at, pa.array(x, pa.int32()))
@@ -224,15 +253,13 @@ def _links(src: DataFrame, a_path: str, b_path: str, cache_bytes: int) -> DataFr
     return src.mapInArrow(run, _LANDED.format(id=src.schema["doc_id"].dataType.simpleString()))
 
 
-def _whole(t: Tokenizers, text: str) -> tuple:
+def _whole(t: Tokenizers, text: bytes) -> tuple:
     """Numbers, groups as text, one-to-one links and others of a text that is encoded at once."""
-    ([a], [b]), one, odd = t.encode([" " + text]), [], []
-    if not t.spelled(a, b, (" " + text).encode("utf-8", "replace")):
+    a, b, good = t.encode([b" " + text])
+    if not good[0]:
         return (0, 0, 0), b"", [], []
-    found = t.groups(a, b)
-    for x, y in found:
-        (one.append(x[0]) if len(x) == len(y) == 1 and t.same[x[0]] == y[0] else odd.append((x[-1], y[-1])))
-    return (len(a), len(b), len(found)), ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in found).encode(), one, odd
+    numbers, written, (one, _), (odd, _) = t.groups(a, b)
+    return numbers[0], written[0], one, odd
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT, cache_bytes: int = CACHE_BYTES) -> DataFrame:
