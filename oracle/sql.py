@@ -407,6 +407,10 @@ QUALITY_SPLIT = f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()}
 SELECT "OrderID", "Date", "Revenue", "Category", "Region",
   CASE WHEN failed_rules = '' THEN 'clean' ELSE 'rejected' END AS status, failed_rules FROM gate"""
 
+UPLOAD_BACKUP = f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()}
+SELECT copy, "OrderID", "Date", "Revenue", "Category", "Region" FROM gate, (VALUES ('current'), ('backup')) AS c(copy)
+WHERE failed_rules = '' AND (copy = 'backup' OR "OrderID" LIKE '%1')"""
+
 PREVIEW = f"""WITH sales_raw AS ({sales_raw_sql()}), {gate_ctes()}
 SELECT * FROM (SELECT 'raw' AS frame, "OrderID", "Date", "Region", "Product", "Revenue" FROM gate ORDER BY row_index LIMIT 10)
 UNION ALL
@@ -557,6 +561,7 @@ ORACLE.update({
     "quality_report": _quality_report(),
     "quality_samples": _quality_samples(),
     "quality_split": QUALITY_SPLIT,
+    "upload_backup": UPLOAD_BACKUP,
     "preview": PREVIEW,
     "end_to_end_load": _end_to_end(),
     "file_summary": f"""WITH sales_raw AS ({sales_raw_sql()}) SELECT count(*) AS rows, 37 AS columns, '{",".join(K.SALES_CANON)}' AS header FROM sales_raw""",

@@ -21,10 +21,10 @@ from storeloom.contracts import (
 from storeloom.operators import dims as D
 from storeloom.operators import facts as FX
 from storeloom.operators import quality as V
-from storeloom.operators.constraints import table_report, violations_of
+from storeloom.operators.constraints import asserted, unique_rows, violations_of
 from storeloom.operators.upsert import insert_if_absent, upsert_update
 from storeloom.plans import clean as C
-from storeloom.plans.warehouse import Warehouse, month_of
+from storeloom.plans.warehouse import Homes, Warehouse, month_of
 from storeloom.session import scratch_folder
 from storeloom.sources.staging import land, path_exists
 from storeloom.sources.text import read_text_table
@@ -44,13 +44,9 @@ WEATHER_LIMITS = ({"region": VARCHAR_LIMITS["fact_weather_daily", "region_name"]
 VIOLATIONS = "violations"
 
 
-def _meets_contract(wh: Warehouse, table: str):
-    """The publish check: NOT NULL, key, lengths and foreign keys of what was written."""
-    def check(df: DataFrame):
-        parents = {p: wh.read(p) for (t, _), (p, _) in FOREIGN_KEYS.items() if t == table}
-        bad = table_report(df, table, parents).where("violations > 0").collect()  # at most a row a constraint
-        return "; ".join(f"{r.check_name} {r.column_name}: {r.violations} rows" for r in sorted(bad)) or None
-    return check
+def _checked(wh: Warehouse, table: str, df: DataFrame) -> DataFrame:
+    """The rows to publish, in a plan that raises at the first one that breaks NOT NULL, a length or a foreign key."""
+    return asserted(df, table, {p: wh.read(p) for (t, _), (p, _) in FOREIGN_KEYS.items() if t == table})
 
 
 def _loadable(wh: Warehouse, feed: str, clean: DataFrame, limits: tuple[dict, dict], run_id: str) -> DataFrame:
@@ -66,29 +62,35 @@ def _loadable(wh: Warehouse, feed: str, clean: DataFrame, limits: tuple[dict, di
     return flagged.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
 
 
-def touched_months(wh: Warehouse, table: str, batch: DataFrame) -> list[str]:
-    """Months a fact upsert must rewrite: the batch's months, plus, when the key
-    does not contain the date (sales), the months where matched keys live now.
+def touched_parts(wh: Warehouse, table: str, batch: DataFrame) -> tuple[list[str], list[str]]:
+    """Months a fact upsert must rewrite: the batch's, plus, when the key does not contain the date
+    (sales), those where its keys live now; and which of the latter the batch leaves without rows.
 
-    The result is one string per calendar month, a bounded list.
+    Both are one string per calendar month, bounded lists. No fact row is read for
+    the first (``Homes``), and only months that the batch brings nothing to for the second.
     """
     keys = PRIMARY_KEYS[table]
-    months = batch.select(month_of().alias("m")).distinct()
-    if "full_date" not in keys and wh.version(table) is not None:
-        current = wh.read(table).select(*keys, month_of().alias("m"))
-        months = months.unionByName(current.join(batch.select(*keys).distinct(), keys, "left_semi")
-                                    .select("m").distinct())
-    return sorted({r.m for r in months.distinct().collect() if r.m is not None})
+    own = {r.m for r in batch.select(month_of().alias("m")).distinct().collect() if r.m is not None}
+    if "full_date" in keys:
+        return sorted(own), []
+    homes = Homes(wh, table, keys[0])
+    known = homes.of(batch, month_of())
+    left = sorted({r.part for r in known.select("part").distinct().collect()} - own) if known is not None and wh.exists(table) else []
+    homes.add(batch, month_of())
+    if not left:
+        return sorted(own), []
+    stay = wh.read(table, parts=left).join(batch.select(*keys), keys, "left_anti").select(month_of().alias("m")).distinct().collect()
+    return sorted(own | set(left)), sorted(set(left) - {r.m for r in stay})
 
 
 def _merge_fact(wh: Warehouse, table: str, batch: DataFrame) -> None:
     """K3 into a month-partitioned fact: rewrite only the touched months."""
     keys = PRIMARY_KEYS[table]
     stamped = table not in UNSTAMPED
-    touched = touched_months(wh, table, batch)
-    target = wh.read(table, schema=(_with_created(batch) if stamped else batch).schema, months=touched)
-    merged = upsert_update(target, batch, keys, created_at="created_at" if stamped else None)
-    wh.publish_months(table, merged, touched, checks=_meets_contract(wh, table))
+    touched, emptied = touched_parts(wh, table, batch)
+    target = wh.read(table, schema=(_with_created(batch) if stamped else batch).schema, parts=touched)
+    merged = upsert_update(target, unique_rows(batch, table), keys, created_at="created_at" if stamped else None)
+    wh.publish(table, _checked(wh, table, merged), month_of(), emptied)
 
 
 def _publish_dimension(wh: Warehouse, table: str, batches: list[tuple[DataFrame, bool]]) -> None:
@@ -96,9 +98,10 @@ def _publish_dimension(wh: Warehouse, table: str, batches: list[tuple[DataFrame,
     keys = PRIMARY_KEYS[table]
     state = wh.read(table, schema=batches[0][0].schema)
     for batch, update in batches:
+        batch = unique_rows(batch, table)
         state = (upsert_update(state, batch, keys, created_at=None) if update
                  else insert_if_absent(state, batch, keys, created_at=None))
-    wh.publish(table, state, checks=_meets_contract(wh, table))
+    wh.publish(table, _checked(wh, table, state))
 
 
 def _with_created(df: DataFrame) -> DataFrame:
@@ -204,11 +207,17 @@ def quarantine(rejected: DataFrame, root: str, run_id: str) -> str:
     return path
 
 
+def accept_upload(wh: Warehouse, clean: DataFrame, run_id: str) -> None:
+    """K9: keep a copy of the accepted upload before this run, then put the new one in its place."""
+    wh.backup("upload_sales", run_id)
+    wh.publish("upload_sales", clean)
+
+
 def gate_and_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame,
                   ads_raw: DataFrame | None = None, weather_raw: DataFrame | None = None,
                   auto_filter: bool = True, run_id: str | None = None) -> tuple[Warehouse | None, dict]:
-    """R2: gate the upload, quarantine rejects (K8), publish the accepted upload as a new
-    version keeping the previous one (K9), then load from it (R1).
+    """R2: gate the upload, quarantine rejects (K8), publish the accepted upload and keep a copy
+    of the previous one (K9), then load from it (R1).
 
     The counts (G9) are observed while the flagged upload is landed, so the gate
     decision (V13) costs no extra pass. Returns the warehouse (None when the
@@ -227,7 +236,7 @@ def gate_and_load(spark: SparkSession, warehouse_root: str, sales_raw: DataFrame
     counts["accepted_rows"] = counts["upload_rows"] - counts["rejected_rows"]
     if counts["rejected_rows"] and not auto_filter:
         return None, counts
-    wh.publish("upload_sales", clean)
+    accept_upload(wh, clean, run_id)
     run_load(spark, warehouse_root, wh.read("upload_sales"), ads_raw, weather_raw)
     return wh, counts
 

@@ -240,6 +240,19 @@ def q_reloaded_tables(spark, sf):
     return _rows_as_text(L.run_load(spark, root, *second_feeds(spark, sf)), L.ALL_TABLES)
 
 
+def q_upload_backup(spark, sf):
+    """K9: what the warehouse holds of the accepted upload after a second, smaller one: the new rows and the kept copy."""
+    from storeloom.operators import quality as V
+    from storeloom.plans import load as L
+    wh = L.Warehouse(spark, _scratch(spark, "warehouse"))
+    clean, _ = V.split(flagged_sales(spark, sf))
+    L.accept_upload(wh, clean, "first")
+    L.accept_upload(wh, clean.where(F.col("OrderID").endswith("1")), "second")
+    cols = ["OrderID", "Date", "Revenue", "Category", "Region"]
+    kept = spark.read.parquet(f"{wh.root}/backup/upload_sales").where("run = 'second'")
+    return wh.read("upload_sales").select(F.lit("current").alias("copy"), *cols).unionByName(kept.select(F.lit("backup").alias("copy"), *cols))
+
+
 # ---------------------------------------------------------------------------
 # sources and sinks
 # ---------------------------------------------------------------------------
@@ -267,12 +280,18 @@ def q_text_scan_nulls(spark, sf):
     return read_text_table(spark, path, contract=["id", "name", "note", "extra"])
 
 
+_FILES: dict = {}
+
+
 def landed_sales_files(spark, sf):
-    """The raw sales feed as delimited files in feed order."""
+    """The raw sales feed as delimited files in feed order; once for an application and state of the sources."""
     from storeloom.sources.text import write_text_table
-    path = _scratch(spark, "sales-csv")
-    write_text_table(sales_staged(spark, sf).orderBy("_ordinal").drop("_ordinal"), path)
-    return path
+    key = (spark.sparkContext.applicationId, *(source_state(spark, f"{sf}/{t}.parquet") for t in ("lineitem", "orders", "customer", "part", "supplier", "nation")))
+    if key not in _FILES:
+        path = _scratch(spark, "sales-csv")
+        write_text_table(sales_staged(spark, sf).orderBy("_ordinal").drop("_ordinal"), path)
+        _FILES[key] = path
+    return _FILES[key]
 
 
 def q_file_summary(spark, sf):
