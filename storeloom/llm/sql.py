@@ -17,12 +17,11 @@ FROM doc LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 
 _LINES = r"""
 doc AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
-line AS (SELECT r, source, i, string_split(text, chr(10))[i] AS s, length(string_split(text, chr(10))[i]) AS chars
+line AS (SELECT r, source, i, string_split(text, chr(10))[i] AS s
          FROM doc, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(i) WHERE regexp_matches(string_split(text, chr(10))[i], '[^\x20\x09-\x0D]')),
 wide AS (SELECT s FROM line GROUP BY s HAVING count(DISTINCT source) >= 10),
-gone AS (SELECT r, count(*) AS n, list(i) AS at, sum(chars) AS chars FROM line WHERE s IN (SELECT s FROM wide) GROUP BY r),
+cut AS (SELECT r, count(*) AS n, list(i) AS at FROM line WHERE s IN (SELECT s FROM wide) GROUP BY r),
 whole AS (SELECT r, count(*) AS n_lines FROM line GROUP BY r),
-cut AS (SELECT gone.r, gone.n, gone.at FROM gone JOIN doc USING (r) WHERE gone.chars <= 0.5 * length(doc.text)),
 clean AS (SELECT doc.r, doc.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(cut.n, 0) AS n_removed,
           CASE WHEN cut.r IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(1, len(string_split(text, chr(10))) + 1), lambda x: NOT list_contains(cut.at, x)), lambda x: string_split(text, chr(10))[x]), chr(10)) END AS body
           FROM doc LEFT JOIN whole ON whole.r = doc.r LEFT JOIN cut ON cut.r = doc.r)

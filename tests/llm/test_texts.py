@@ -227,8 +227,6 @@ def test_line_spread_counts_sites_exactly_near_the_threshold(spark):
     for i, t in enumerate(texts):
         lines = (t or "").split("\n")
         gone = [x for x in lines if x.startswith("line ") and int(x[5:]) >= 10]
-        if sum(map(len, gone)) > 0.5 * len(t or ""):
-            gone = []
         clean = "\n".join(x for x in lines if x not in gone)
         assert (got[i]["n_removed"], got[i]["clean_sha256"]) == (len(gone), hashlib.sha256(clean.encode()).hexdigest()), t
 
