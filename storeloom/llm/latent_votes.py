@@ -21,11 +21,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.common import append, free_name, joined, label_fold, least_hashes, mix, slices, texts
+from storeloom.llm.common import append, free_name, joined, label_fold, least_hashes, mix, nothing_kept, slices, texts
 from storeloom.llm.quality_rules import repeated_words
 
 SAMPLE, DIMENSIONS, NEIGHBOURS, POWER = 4000, 48, 24, 4
@@ -140,11 +141,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str
 def with_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", rows: int = SAMPLE) -> tuple[DataFrame, str]:
     """``docs`` with one more column, the score, and its name."""
     terms, marks = labelled_sample(docs, labels, label, id_col, text_col, rows)
-    model = docs.sparkSession.sparkContext.broadcast(Votes(terms, marks) if len(marks) else None)
+    model = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Votes(terms, marks) if len(marks) else None))  # by value: workers need not have this package
     name = free_name(docs, "score")
 
     def run(batches):
-        votes = model.value
+        nothing_kept()
+        votes = cloudpickle.loads(model.value)
         for part in slices(batches, text_col):
             own = texts(part, text_col)
             score = votes.score(term_vectors(own)) if votes else np.zeros(len(own))

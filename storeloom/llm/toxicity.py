@@ -20,11 +20,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.common import append, free_name, label_fold, least_hashes, plain_words, slices, texts
+from storeloom.llm.common import append, free_name, label_fold, least_hashes, nothing_kept, plain_words, slices, texts
 from storeloom.llm.recurrent import BiGRU
 
 WINDOW, STRIDE = 64, 48
@@ -146,11 +147,12 @@ def score_texts(net: BiGRU | None, rows: list[bytes]) -> np.ndarray:
 def with_score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", **options) -> tuple[DataFrame, str]:
     """``docs`` with one more column, the score, and its name."""
     net = train(training_windows(sample(docs, labels, label, id_col, text_col, **options)))
-    model = docs.sparkSession.sparkContext.broadcast(net)
+    model = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(net))  # by value: workers need not have this package
     name = free_name(docs, "score")
 
     def run(batches):
-        own = model.value
+        nothing_kept()
+        own = cloudpickle.loads(model.value)
         for part in slices(batches, text_col, 2 << 20):
             yield append(part, **{name: pa.array(score_texts(own, texts(part, text_col)), pa.float64())})
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])), name
