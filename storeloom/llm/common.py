@@ -70,13 +70,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def kept_in_worker(key: tuple, make):
-    """An object that a Python worker process makes once and keeps for its later tasks (a cache, never data of a task)."""
-    kept = sys.modules.setdefault("_storeloom_kept", types.ModuleType("_storeloom_kept")).__dict__
+    """An object that a Python worker process makes once and keeps for its later tasks (a cache, never data of a task).
+
+    What was kept under the key of another operator goes first, so a worker that
+    serves one operator after the other holds the tables of one.
+    """
+    kept = sys.modules.setdefault("_storeloom_kept", types.ModuleType("_storeloom_kept")).__dict__.setdefault("objects", {})
+    for other in [k for k in kept if k[0] != key[0]]:
+        del kept[other]
     if key not in kept:
         kept[key] = make()
     return kept[key]
 
 
+def nothing_kept() -> None:
+    """Let go of what this worker process keeps: for operators that keep nothing themselves."""
+    module = sys.modules.get("_storeloom_kept")
+    if module is not None:
+        module.__dict__.pop("objects", None)
+
+
 def append(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
     """The batch with further columns."""
     return pa.RecordBatch.from_arrays(list(batch.columns) + list(columns.values()),

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from storeloom.llm.common import append, free_name, joined, plain_text, plain_words, slices, text_digest, texts
+from storeloom.llm.common import append, free_name, joined, nothing_kept, plain_text, plain_words, slices, text_digest, texts
 from storeloom.session import scratch_folder
 
 WINDOW_WORDS = 13
@@ -179,6 +179,7 @@ def _pass(docs: DataFrame, strings, text_col: str, name: str, first: bool, item:
     arrow_item, hits = (pa.string(), HITS) if item == "string" else (pa.int64(), T.StructType([*HITS.fields[:2], T.StructField("items", T.ArrayType(T.LongType()))]))
 
     def run(batches):
+        nothing_kept()
         classes = []
         for low, high in zip(LENGTH_CLASSES, (*LENGTH_CLASSES[1:], 1 << 62), strict=True):
             if own := [(s, i) for s, i in strings.value if low <= len(s) < high]:

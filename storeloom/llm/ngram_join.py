@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storeloom.llm.common import free_name, mix, plain_words, slices, text_digest, texts
+from storeloom.llm.common import free_name, mix, nothing_kept, plain_words, slices, text_digest, texts
 from storeloom.session import scratch_folder
 
 WORDS = 5
@@ -62,14 +62,16 @@ def word_hashes(text: bytes, known: dict[bytes, int]) -> np.ndarray:
     for w in plain_words(text):
         h = known.get(w)
         if h is None:
-            h = known[w] = xxhash.xxh3_64_intdigest(w)
+            h = xxhash.xxh3_64_intdigest(w)
+            if len(w) <= 64:  # longer ones seldom repeat, and the cache's bound is a number of words
+                known[w] = h
         out.append(h)
     return np.array(out, np.uint64)
 
 
 def shingles(text: bytes, known: dict[bytes, int], words: int = WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes."""
-    if len(known) > 500_000:
+    if len(known) > 250_000:
         known.clear()
     ids = word_hashes(text, known)
     if not ids.size:
@@ -110,6 +112,7 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
 
     def run(batches):
         import hashlib
+        nothing_kept()
         signer, known = Signer(), {}
         for part in slices(batches, "text"):
             keys, signatures = [], []

@@ -12,7 +12,7 @@ the count rises and the group is dealt again.
 Scale: a group is a run of documents of one input split with about
 ``group_windows`` windows of loose pieces; nothing is shuffled and memory is
 bounded by the group. Token ids per distinct word are kept by a Python worker for
-its later tasks, up to ``WORDS_KEPT`` words. ``sequence_id`` is the task's partition number (upper bits)
+its later tasks, up to ``BYTES_KEPT`` bytes of them. ``sequence_id`` is the task's partition number (upper bits)
 and a running number, so a task that runs again gives the same rows.
 
 Defined cases: null or empty text is one piece with the closing id; repeated
@@ -37,7 +37,8 @@ from storeloom.llm.common import kept_in_worker, slices, texts
 WINDOW = 2048
 PIECE = 512
 GROUP_WINDOWS = 192
-WORDS_KEPT = 1_000_000
+#: Bytes of words and ids that a worker keeps, and what an entry takes besides.
+BYTES_KEPT, ENTRY_BYTES = 144 << 20, 260
 
 
 class WordTokenizer:
@@ -52,7 +53,7 @@ class WordTokenizer:
     as the two parts that the pre-tokenizer would make of it.
     """
 
-    def __init__(self, path: str, keep: int = WORDS_KEPT):
+    def __init__(self, path: str, keep: int = BYTES_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.model, self.keep = Tokenizer.from_file(path), keep
@@ -69,6 +70,7 @@ class WordTokenizer:
         self.part: dict[bytes, int] = {b"": 0}
         self.flat = np.empty(0, np.uint32)  # the parts' ids
         self.ends = np.zeros(2, np.int64)
+        self.held = 0
 
     def _ids(self, parts: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all parts, and how many each has."""
@@ -99,15 +101,17 @@ class WordTokenizer:
             ids, sizes = self._ids([p.decode("utf-8", "replace") for p in new], together)
             base = len(part)
             part.update(zip(new, range(base, base + len(new)), strict=True))
+            self.held += sum(map(len, new)) + 4 * ids.size + ENTRY_BYTES // 2 * len(new)
             self.flat = np.concatenate([self.flat, ids])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
         base = len(self.number)
+        self.held += sum(map(len, fresh)) + ENTRY_BYTES // 2 * len(fresh)
         self.number.update(zip(fresh, range(base, base + len(fresh)), strict=True))
         self.pair = np.concatenate([self.pair, np.stack([np.fromiter(map(part.__getitem__, own), np.int64, len(own)) for own in (stems, tails)], axis=1)])
 
     def encode(self, rows: list[bytes], close: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``close``; and the offsets of their starts."""
-        if len(self.number) > self.keep:
+        if self.held > self.keep:
             self._clear()
         split = [t.split() if b"<|" in t else t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()] for t in rows]
         every = list(chain.from_iterable(split))
@@ -209,7 +213,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             return out
 
         arrow_id = None
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", 2 << 20):
             arrow_id = part.schema.field("doc_id").type
             ids, starts = model.encode(texts(part, "text"), close_id)
             full: list[tuple] = []

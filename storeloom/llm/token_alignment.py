@@ -216,8 +216,8 @@ _LANDED = "doc_id {id}, n_a long, n_b long, n_groups long, groups_sha256 string,
 def _links(src: DataFrame, a_path: str, b_path: str, cache_bytes: int) -> DataFrame:
     """Per document: its numbers, its one-to-one links by A id and its other links by both ids, with counts."""
     def run(batches):
-        t = kept_in_worker(("aligned tokenizers", a_path, b_path), lambda: Tokenizers(a_path, b_path))
-        known = kept_in_worker(("aligned pieces", a_path, b_path), lambda: Aligned(t, cache_bytes))
+        t = kept_in_worker(("alignment", "tokenizers", a_path, b_path), lambda: Tokenizers(a_path, b_path))
+        known = kept_in_worker(("alignment", "pieces", a_path, b_path), lambda: Aligned(t, cache_bytes))
         span_b = len(t.b_bytes)
         for part in slices(batches, "text", 1 << 20):
             rows = texts(part, "text")
