@@ -580,3 +580,53 @@ SELECT f.*, b.region_name, p.category_name, w.temp_mean, w.temp_max, w.rain_mm F
 LEFT JOIN w_dim_branch b ON b.branch_name = f.branch_name LEFT JOIN w_dim_product p ON p.product_name = f.product_name
 LEFT JOIN w_fact_weather_daily w ON w.full_date = f.full_date AND w.region_name = b.region_name""",
 })
+
+
+# ---------------------------------------------------------------------------
+# deliveries
+# ---------------------------------------------------------------------------
+
+def _stage_counts():
+    feeds = {"sales": ("sales_raw", "(SELECT * FROM sales_typed WHERE drop_reason IS NULL)", "sales_clean", sales_fits()),
+             "ads": ("ads_raw", "ads_kept", "ads_daily", "true"),
+             "weather": ("weather_raw", "(SELECT * FROM weather_typed WHERE date IS NOT NULL AND region IS NOT NULL AND temp_mean IS NOT NULL)", "weather_clean", "true")}
+    n = "(SELECT count(*) FROM {})".format
+    rows = [(feed, stage, count) for feed, (raw, kept, clean, fits) in feeds.items() for stage, count in (
+        ("staged", n(raw)), ("dropped", f"{n(raw)} - {n(kept)}"), ("merged", f"{n(kept)} - {n(clean)}"),
+        ("quarantined", f"{n(clean)} - {n(f'{clean} WHERE {fits}')}"), ("loaded", n(f"{clean} WHERE {fits}")))]
+    body = "\nUNION ALL\n".join(f"SELECT '{f}' AS feed, '{s}' AS stage, CAST({c} AS BIGINT) AS rows" for f, s, c in rows)
+    return f"WITH {SALES_CTES}, {ADS_CTES}, {WEATHER_CTES}\n{body}"
+
+
+def _repeated_deliveries():
+    first = [(p, s) for p in ("sales", "ads", "weather") for s in ("begun", "done")]
+    second = [("sales", "begun"), ("sales", "done"), ("ads", "begun")]  # the ads phase fails
+    resumed = [("ads", "begun"), ("ads", "done")]
+    values = ", ".join(f"('ledger', '{k}|{p}|{s}')" for k, (p, s) in enumerate(first + second + resumed, 1))
+    return f"{_tables_as_text(True)}\nUNION ALL SELECT * FROM (VALUES {values}) AS ledger(table_name, row)"
+
+
+def _replay_ctes():
+    rules, warns = _rule_names()
+    flags = ", ".join([*(f"r_{r}" for r in rules), *(f"w_{w}" for w in warns), "failed_rules", "row_index"])
+    again = gate_ctes("mended").replace("gate0", "again0").replace("gate AS", "again AS")
+    return f"""sales_raw AS ({sales_raw_sql()}), {gate_ctes()},
+mended AS (SELECT * EXCLUDE ({flags}) REPLACE (coalesce(strftime({K.parse_date('"Date"')}, '%Y-%m-%d'), "Date") AS "Date",
+  CASE WHEN "Category" IN ({', '.join(K.q(v) for v in VALID_CATEGORIES)}) THEN "Category" ELSE {K.q(VALID_CATEGORIES[0])} END AS "Category")
+  FROM gate WHERE failed_rules <> ''),
+{again}"""
+
+
+_QUARANTINE_COLUMNS = '"OrderID", "Date", "Revenue", "Category", "Region", failed_rules'
+ORACLE.update({
+    "stage_counts": _stage_counts(),
+    "repeated_deliveries": _repeated_deliveries(),
+    "last_good_feed": f"WITH {WEATHER_CTES} SELECT *, 'r1' AS source_run FROM weather_fact",
+    "quarantine_contents": f"""WITH {_replay_ctes()}
+SELECT 'first' AS run, {_QUARANTINE_COLUMNS} FROM gate WHERE failed_rules <> ''
+UNION ALL SELECT 'second', {_QUARANTINE_COLUMNS} FROM again WHERE failed_rules <> ''""",
+    "quarantine_replay": f"""WITH {_replay_ctes()},
+back AS (SELECT * FROM gate WHERE failed_rules = '' UNION ALL SELECT * FROM again WHERE failed_rules = ''),
+{sales_ctes('back', 'b', with_raw=False)}
+SELECT order_id, date, category, region, revenue FROM b_clean""",
+})

@@ -82,13 +82,17 @@ def clean_ads(raw: DataFrame) -> DataFrame:
     return kept.groupBy("date", "campaign").agg(*sums)
 
 
-def clean_weather(raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:
-    """Parse, strip region (no NULL tokens), drop incomplete rows, last row per day x region."""
+def typed_weather(raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:
+    """Parse, strip region (no NULL tokens), drop incomplete rows."""
     typed = raw.select(
         parse_date("date").alias("date"),
         strip("region").alias("region"),
         *[to_number(c).alias(c) for c in ("temp_mean", "temp_max", "rain_mm")],
         F.col(ordinal),
     )
-    kept = drop_missing(typed, ["date", "region", "temp_mean"])
-    return keep_last(kept, ["date", "region"], ordinal)
+    return drop_missing(typed, ["date", "region", "temp_mean"])
+
+
+def clean_weather(raw: DataFrame, ordinal: str = ORDINAL) -> DataFrame:
+    """Complete typed rows, the last one per day x region."""
+    return keep_last(typed_weather(raw, ordinal), ["date", "region"], ordinal)

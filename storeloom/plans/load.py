@@ -116,17 +116,23 @@ def dimension_batches(sales: DataFrame, ads: DataFrame | None, weather: DataFram
     plan = {t: [(dims[t], True)] for t in ("dim_date", "dim_stage", "dim_channel", "dim_campaign",
                                           "dim_branch", "dim_product")}
     plan.update({t: [(dims[t], False)] for t in D.NAME_DIMS})
-    if ads is not None:
-        channel = ads.sparkSession.createDataFrame([ADS_CHANNEL], "channel_name string, channel_type string")
-        plan["dim_date"].append((D.dim_date(ads.select("date")), False))
-        plan["dim_campaign"].append((D.dim_campaign(ads), False))
-        plan["dim_channel"].append((channel, False))
-    if weather is not None:
-        plan["dim_date"].append((D.dim_date(weather.select("date")), False))
-        plan["dim_region"].append((D.distinct_names(weather, "region", "region_name"), False))
+    for phase, feed in (("ads", ads), ("weather", weather)):
+        if feed is not None:
+            for table, batches in phase_batches(phase, feed).items():
+                plan[table] += batches
     return plan
 
 
+def phase_batches(phase: str, rows: DataFrame) -> dict:
+    """table -> [(batch, DO UPDATE?)] that one phase (sales, ads or weather) brings to the dimensions."""
+    if phase == "sales":
+        return dimension_batches(rows, None, None)
+    if phase == "ads":
+        channel = rows.sparkSession.createDataFrame([ADS_CHANNEL], "channel_name string, channel_type string")
+        return {"dim_date": [(D.dim_date(rows.select("date")), False)], "dim_campaign": [(D.dim_campaign(rows), False)], "dim_channel": [(channel, False)]}
+    return {"dim_date": [(D.dim_date(rows.select("date")), False)], "dim_region": [(D.distinct_names(rows, "region", "region_name"), False)]}
+
+
 def load_sales(wh: Warehouse, clean: DataFrame) -> None:
     """The sales phase alone: its dimensions, then its fact."""
     clean = _loadable(wh, "sales", clean, SALES_LIMITS, new_run_id())

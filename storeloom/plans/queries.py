@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -527,3 +528,74 @@ def q_end_to_end_load(spark, sf):
     wh, _ = L.gate_and_load(spark, _scratch(spark, "warehouse"), sales_staged(spark, sf),
                             ads_staged(spark, sf), weather_staged(spark, sf), auto_filter=True)
     return L.table_counts(wh, L.ALL_TABLES)
+
+
+# ---------------------------------------------------------------------------
+# deliveries
+# ---------------------------------------------------------------------------
+
+def q_stage_counts(spark, sf):
+    """Rows of the three feeds at every stage of a load: staged, dropped, merged or deduplicated, quarantined, loaded."""
+    from storeloom.plans import deliveries as P
+    wh = P.load_delivery(spark, _scratch(spark, "warehouse"), {"sales": sales_staged(spark, sf), "ads": ads_staged(spark, sf), "weather": weather_staged(spark, sf)})
+    return P.stage_log(wh).read().select("feed", "stage", "rows")
+
+
+def q_repeated_deliveries(spark, sf):
+    """All tables and the ledger after a load, a second delivery that breaks in its ads phase, and the same one twice more."""
+    from storeloom.plans import deliveries as P
+    from storeloom.plans import load as L
+    root = _scratch(spark, "warehouse")
+    P.load_delivery(spark, root, {"sales": sales_staged(spark, sf), "ads": ads_staged(spark, sf), "weather": weather_staged(spark, sf)})
+    sales, ads = second_feeds(spark, sf)
+    try:
+        P.load_delivery(spark, root, {"sales": sales, "ads": ads.drop("campaign")})
+    except PySparkException:
+        pass  # the phase's failure is what is tried here; the ledger shows it
+    P.load_delivery(spark, root, {"sales": sales, "ads": ads})
+    wh = P.load_delivery(spark, root, {"sales": sales, "ads": ads})
+    entries = P.ledger(wh).read().select(F.lit("ledger").alias("table_name"), F.concat_ws("|", F.col("entry").cast("string"), "phase", "state").alias("row"))
+    return _rows_as_text(wh, L.ALL_TABLES).unionByName(entries)
+
+
+def q_last_good_feed(spark, sf):
+    """The weather fact where the newest deliveries of the feed lack a column or can't be read, and the run it came from."""
+    from storeloom.contracts import WEATHER_RAW_COLUMNS
+    from storeloom.plans import deliveries as P
+    wh = P.Warehouse(spark, _scratch(spark, "warehouse"))
+    feed = P.Snapshots(wh, "weather", WEATHER_RAW_COLUMNS)
+    weather = weather_staged(spark, sf)
+    feed.take(lambda: weather, "r1")
+    feed.take(lambda: weather.drop("temp_mean"), "r2")
+    run = feed.take(lambda: spark.read.parquet(f"{wh.root}/no-feed-here"), "r3")
+    P.load_delivery(spark, wh.root, {"weather": feed.read(run)})
+    return wh.read("fact_weather_daily").withColumn("source_run", F.lit(run))
+
+
+def replayed(spark, sf):
+    """(warehouse, accepted rows, rows accepted after mending their dates and categories)."""
+    from storeloom.contracts import VALID_CATEGORIES
+    from storeloom.operators import quality as V
+    from storeloom.plans import deliveries as P
+    from storeloom.plans import load as L
+    wh = P.Warehouse(spark, _scratch(spark, "warehouse"))
+    clean, rejected = V.split(flagged_sales(spark, sf))
+    L.quarantine(rejected, wh.root, "first")
+    fixes = {"Date": F.coalesce(F.date_format(X.parse_date("Date"), "yyyy-MM-dd"), F.col("Date")),
+             "Category": F.when(F.col("Category").isin(*VALID_CATEGORIES), F.col("Category")).otherwise(F.lit(VALID_CATEGORIES[0]))}
+    return wh, clean, P.replay(wh, "first", fixes, "second")
+
+
+def q_quarantine_contents(spark, sf):
+    """K8: what the quarantine holds after a gate run and a replay of its mended rows."""
+    from storeloom.plans import deliveries as P
+    wh, _, _ = replayed(spark, sf)
+    cols = ["OrderID", "Date", "Revenue", "Category", "Region"]
+    runs = [P.quarantined(wh, run).select(F.lit(run).alias("run"), *cols, F.concat_ws(",", "failed_rules").alias("failed_rules")) for run in ("first", "second")]
+    return runs[0].unionByName(runs[1])
+
+
+def q_quarantine_replay(spark, sf):
+    """K8/O3: the orders of the upload with the mended rows back in their first places (the last row of an id counts)."""
+    _, clean, passed = replayed(spark, sf)
+    return C.clean_sales(clean.unionByName(passed)).select("order_id", "date", "category", "region", "revenue")
