@@ -59,6 +59,39 @@ def test_windows_overlap_and_reach_the_end():
         assert all(b - a == toxicity.STRIDE for a, b in zip(starts, starts[1:], strict=False))
 
 
+def test_training_finds_a_passage_in_the_middle_of_a_long_text(spark):
+    import random
+    rng = random.Random(2)
+    plain = [f"word{k}" for k in range(300)]
+    bad = ["vile", "nasty", "scum", "filth", "rotten"]
+
+    def text(n, toxic):
+        words = [rng.choice(plain) for _ in range(n)]
+        if toxic:
+            at = rng.randrange(max(1, n - 10))
+            words[at:at + 8] = [rng.choice(bad) for _ in range(8)]
+        return " ".join(words)
+    long = [rng.choice(plain) for _ in range(20_000)]
+    long[9_003:9_011] = [rng.choice(bad) for _ in range(8)]
+    rows = [(i, text(40, i % 3 == 0)) for i in range(120)] + [(1000, " ".join(long)), (1001, text(20_000, False)), (1002, text(50, False)), (1002, text(50, False)), (1003, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(120)] + [(1000, 1), (1001, 0), (1002, 0), (1003, 0)], "doc_id long, toxic int")
+    labelled = toxicity.sample(docs, labels, "toxic", held_out_of=1 << 30, held_out=0)
+    assert labelled.where("id = 1002").count() == 1  # one text an id
+    first = toxicity.training_windows(labelled)
+    assert not any(set(bad) & {w.decode() for w in own} for i, _, own in first if i == 1000)
+    chosen = {}
+
+    def more(net):
+        chosen["now"] = toxicity.highest_windows(labelled, net)
+        return chosen["now"]
+    net = toxicity.train(first, more=more)
+    assert {i for i, _, _ in chosen["now"]} == {1000, 1001} and len(chosen["now"]) <= 2 * toxicity.WINDOWS_EACH
+    assert any(b"vile" in own or b"scum" in own or b"filth" in own for i, _, own in chosen["now"] if i == 1000)
+    scores = toxicity.score_texts(net, [t.encode() for _, t in rows[120:122]])
+    assert scores[0] > 0.5 > scores[1]
+
+
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.report(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
