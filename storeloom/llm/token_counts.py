@@ -17,8 +17,10 @@ pieces (byte fallback).
 The public vocabularies at hand hold no unigram scores, and tokenizers aren't
 trained here: :func:`zipf_vocabulary` gives the pieces of a sentencepiece file
 the log-probabilities of Zipf's law by their order. Any list of (piece, score)
-works. Scale: one map, no shuffle; counts of distinct segments are kept for a
-task, up to ``SEGMENTS_KEPT``. Defined cases: null and empty text have 0 tokens;
+works. Scale: one map, no shuffle; counts of distinct segments of at most
+``SEGMENT_KEPT`` characters are kept for a task, up to ``SEGMENTS_KEPT``. A segment
+of any length is searched with as many cells as the longest piece has characters.
+Defined cases: null and empty text have 0 tokens;
 repeated rows are counted each.
 """
 
@@ -36,6 +38,8 @@ from storeloom.llm.common import slices, texts
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 SEGMENTS_KEPT = 500_000
+#: The longest segment, in characters, whose count is kept.
+SEGMENT_KEPT = 64
 
 
 def zipf_vocabulary(path: str) -> tuple[list[tuple[str, float]], int]:
@@ -58,6 +62,7 @@ class PieceCounter:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         pieces = {p for p, _ in vocabulary}
+        self.longest = max(map(len, pieces), default=1)
         self.single = {p for p in pieces if len(p) == 1}
         self.bytes = all(f"<0x{b:02X}>" in pieces for b in range(256))
         self.unknown = min(s for _, s in vocabulary) - UNKNOWN_PENALTY
@@ -65,26 +70,30 @@ class PieceCounter:
         self.cut = re.compile(f"{MARK}[^{MARK}]*")
 
     def segment(self, text: str) -> int:
-        """Tokens on the best path of one segment."""
-        n = len(text)
-        score, count, open_run, reached = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1), [False] * (n + 1)
-        reached[0] = True
-        matches: list[list] = [[] for _ in range(n + 1)]
-        for end, found in self.automaton.iter(text):
-            matches[end + 1].append(found)
-        for end in range(1, n + 1):
-            for size, own in sorted(matches[end], reverse=True):
-                start = end - size
+        """Tokens on the best path of one segment; as many positions are held as the longest piece has characters, and one more."""
+        width = self.longest + 1
+        score, count = [0.0] * width, [0] * width
+        found = self.automaton.iter(text)
+        match, run_open = next(found, None), False
+        for end, char in enumerate(text, 1):
+            ending = []
+            while match is not None and match[0] == end - 1:
+                ending.append(match[1])
+                match = next(found, None)
+            best, pieces, reached, unknown = 0.0, 0, False, False
+            for size, own in sorted(ending, reverse=True):
+                start = (end - size) % width
                 value = own + score[start]
-                if not reached[end] or value > score[end]:
-                    score[end], count[end], open_run[end], reached[end] = value, count[start] + 1, False, True
-            char = text[end - 1]
+                if not reached or value > best:
+                    best, pieces, reached = value, count[start] + 1, True
             if char not in self.single:
-                value = self.unknown + score[end - 1]
-                if not reached[end] or value > score[end]:
-                    more = len(char.encode()) if self.bytes else not open_run[end - 1]
-                    score[end], count[end], open_run[end], reached[end] = value, count[end - 1] + more, True, True
-        return count[n]
+                before = (end - 1) % width
+                value = self.unknown + score[before]
+                if not reached or value > best:
+                    best, unknown = value, True
+                    pieces = count[before] + (len(char.encode()) if self.bytes else not run_open)
+            score[end % width], count[end % width], run_open = best, pieces, unknown
+        return count[len(text) % width]
 
     def count(self, text: str) -> int:
         if not text:
@@ -98,7 +107,9 @@ class PieceCounter:
         for part in self.cut.findall(text):
             n = known.get(part)
             if n is None:
-                n = known[part] = self.segment(part)
+                n = self.segment(part)
+                if len(part) <= SEGMENT_KEPT:  # longer ones seldom repeat, and the cache's bound is a number of segments
+                    known[part] = n
             total += n
         return total
 

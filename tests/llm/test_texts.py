@@ -397,3 +397,34 @@ def test_a_large_benchmark_is_in_memory_one_block_at_a_time(spark, monkeypatch):
     assert len(made) > 2
     assert [(got[i]["n_hit"], got[i]["n_items"]) for i in range(6)] == [(13, 900), (0, 0), (0, 0), (27, 901), (13, 900), (0, 0)]
     assert got[0]["items_sha256"] == hashlib.sha256(",".join(sorted(map(str, range(900)))).encode()).hexdigest()
+
+
+def test_token_counts_of_a_long_segment_hold_few_cells():
+    import random
+    import tracemalloc
+    rng = random.Random(3)
+    vocabulary = [("<unk>", 0.0), ("\u2581", -2.0), ("a", -1.0), ("b", -1.5), ("ab", -1.8), ("abba", -2.5), ("ba", -2.2)]
+    counter = token_counts.PieceCounter(vocabulary)
+
+    def plain(text):
+        """Best score and pieces of every prefix, all cells kept."""
+        best = [(0.0, 0, False)] + [None] * len(text)
+        for end in range(1, len(text) + 1):
+            for start in range(end):
+                own = dict(vocabulary).get(text[start:end])
+                if own is not None and (best[end] is None or own + best[start][0] > best[end][0]):
+                    best[end] = (own + best[start][0], best[start][1] + 1, False)
+            if text[end - 1] not in {p for p, _ in vocabulary}:
+                value = counter.unknown + best[end - 1][0]
+                if best[end] is None or value > best[end][0]:
+                    best[end] = (value, best[end - 1][1] + (not best[end - 1][2]), True)
+        return best[-1][1]
+    for _ in range(200):
+        text = "\u2581" + "".join(rng.choice("aabbxy") for _ in range(rng.randrange(30)))
+        assert counter.segment(text) == plain(text)
+    text = "\u2581" + "abbaxab" * 200_000
+    tracemalloc.start()
+    n = counter.count(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1 + 200_000 * 3 and peak < 20_000_000 and not counter.known
