@@ -7,21 +7,26 @@ copy class, which goes on as one.
 
 Each of ``TREES`` trees gives a class a signature of ``LEVELS`` MinHash values
 of 12 bits each, packed into one long. The sorted signatures of a tree are a
-prefix trie: a node at depth d is the classes whose first d values agree. The
-matched prefix starts at full depth and is shortened until the expected share
-of pairs at the threshold that meet in some tree reaches ``RECALL``. Nodes with
-the same members in several trees are kept once. Within a node, each pair
-counts in the first tree in which it meets, and the Jaccard similarity of its
-shingle sets decides. A node of many members is dealt out as pairs of blocks,
-so no task holds a whole group; a block pair returns one row a member (its
-links and the least member it hangs on), never its pairs.
+prefix trie: a node at depth d is the classes whose first d values agree. Full
+depth is matched and verified first, then the prefix is shortened by one value
+at a time. A shorter prefix only brings in nodes that gained members by it, and
+only pairs that no longer prefix has brought together. It ends at the depth
+whose recall reaches ``RECALL``: by measure, weighing each of ``EVIDENCE`` or
+more links found so far with the inverse of its probability of being found, or
+by the bound that holds for every pair at the threshold. Nodes with the same
+members in several trees are kept once. Within a node, each pair counts in the
+first tree in which it meets, and the Jaccard similarity of its shingle sets
+decides. A node of many members or bytes is dealt out as pairs of blocks, so no
+task holds a whole group; a block pair returns one row a member (its links and
+the least member it hangs on), never its pairs.
 
 Groups are connected components over verified links: least labels spread along
 the links, with each round written to the shared checkpoint folder. Nothing of
-this passes through the driver but the count of labels that still moved.
+this passes through the driver but the count of labels that still moved, and
+two numbers a depth.
 
-Scale: texts are shuffled once, to the nodes where their class meets another;
-the rest moves hashes. Defined cases: null text and text without words have no
+Scale: one text of each class that meets another is sent to its nodes, copies go
+before the shuffle; the rest moves hashes. Defined cases: null text and text without words have no
 shingles, no links, and are groups of their own; ids may be null or repeat (a
 group's id is its least id, null if it has none); repeated rows are copies.
 """
@@ -39,8 +44,11 @@ from storeloom.session import scratch_folder
 WORDS = 5
 SIMILARITY = 0.8
 TREES, LEVELS, BITS = 20, 5, 12
-RECALL = 0.9999
-BLOCK = 192
+RECALL = 0.99995
+#: Links that a measure of recall must rest on.
+EVIDENCE = 1000
+#: A node of more members or bytes than that is dealt out in blocks.
+BLOCK, BLOCK_BYTES = 192, 32 << 20
 #: A block pair's texts are worked on with at most so many shared shingles at a time.
 COLUMNS = 4096
 #: Up to so many pairs are compared one by one rather than by a product of incidence matrices.
@@ -50,11 +58,16 @@ PAIRWISE = 300
 def depth_for(similarity: float = SIMILARITY, recall: float = RECALL, trees: int = TREES, levels: int = LEVELS) -> int:
     """The greatest depth at which pairs at the threshold meet in some tree with the given probability; 1 at least."""
     depth = levels
-    while depth > 1 and 1 - (1 - similarity ** depth) ** trees < recall:
+    while depth > 1 and meeting(similarity, depth, trees) < recall:
         depth -= 1
     return depth
 
 
+def meeting(similarity, depth: int, trees: int = TREES):
+    """The probability that a pair (or each of several) meets in some tree at a depth."""
+    return 1 - (1 - similarity ** depth) ** trees
+
+
 def word_hashes(text: bytes, known: dict[bytes, int]) -> np.ndarray:
     """A 64-bit hash of each word."""
     import xxhash
@@ -106,9 +119,9 @@ class Signer:
 
 
 def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """Per document: doc_id, text_key (MD5), set_key (of its shingle set; null if empty) and the packed signatures."""
+    """Per document: doc_id, text_key (MD5), size (bytes), set_key (of its shingle set; null if empty) and the packed signatures."""
     text = F.col(text_col).cast("string")
-    src = docs.select(F.col(id_col).alias("doc_id"), text_digest(text).alias("text_key"), text.alias("text"))
+    src = docs.select(F.col(id_col).alias("doc_id"), text_digest(text).alias("text_key"), F.octet_length(text).cast("long").alias("size"), text.alias("text"))
 
     def run(batches):
         import hashlib
@@ -120,20 +133,21 @@ def signed(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame
                 own = shingles(t, known, words)
                 keys.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if own.size else None)
                 signatures.append(signer.sign(own) if own.size else None)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
-                                             names=["doc_id", "text_key", "set_key", "signature"])
-    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key binary, set_key binary, signature array<long>")
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_key"), part.column("size"), pa.array(keys, pa.binary()), pa.array(signatures, pa.list_(pa.int64()))],
+                                             names=["doc_id", "text_key", "size", "set_key", "signature"])
+    return src.mapInArrow(run, f"doc_id {src.schema['doc_id'].dataType.simpleString()}, text_key binary, size long, set_key binary, signature array<long>")
 
 
 def _pairs(sets: list[np.ndarray], new: np.ndarray, similarity: float) -> np.ndarray:
-    """Of the pairs marked in ``new`` (upper triangle), those with Jaccard similarity at the threshold or above."""
+    """Jaccard similarity of the pairs marked in ``new`` (upper triangle) at the threshold or above; 0 elsewhere."""
     n = len(sets)
     size = np.array([s.size for s in sets], np.int64)
     if int(new.sum()) <= PAIRWISE:
-        found = np.zeros((n, n), bool)
+        found = np.zeros((n, n))
         for i, j in zip(*np.nonzero(new), strict=True):
             both = np.intersect1d(sets[i], sets[j], assume_unique=True).size
-            found[i, j] = both >= similarity * (size[i] + size[j] - both) - 1e-9
+            if both >= similarity * (size[i] + size[j] - both) - 1e-9:
+                found[i, j] = both / (size[i] + size[j] - both)
         return found
     row = np.repeat(np.arange(n), size)
     key, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -148,16 +162,19 @@ def _pairs(sets: list[np.ndarray], new: np.ndarray, similarity: float) -> np.nda
         m = np.zeros((n, min(COLUMNS, width - at)), np.float32)
         m[row[lo:hi], column[lo:hi] - at] = 1
         both += m @ m.T
-    return new & (both >= similarity * (size[:, None] + size[None, :] - both.astype(np.float64)) - 1e-9)
+    either = size[:, None] + size[None, :] - both.astype(np.float64)
+    return np.where(new & (both >= similarity * either - 1e-9), both / either, 0)
 
 
-def verify(rows: list[dict], similarity: float, words: int, shift: int, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """For the members of one node or block pair: each one's weighted links, and the least key that it hangs on.
+def verify(rows: list[dict], similarity: float, words: int, depth: int, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the members of one node or block pair: each one's weighted links, and the least key that it hangs on; and the pairs' similarities.
 
     Rows have set_key, copies, text, signature, tree, and block_a, block_b (equal within one block) and block.
+    Pairs that a longer prefix has brought together are left out.
     """
     n = len(rows)
-    prefix = np.array([r["signature"] for r in rows], np.int64) >> shift
+    signature = np.array([r["signature"] for r in rows], np.int64)
+    prefix = signature >> BITS * (LEVELS - depth)
     tree = rows[0]["tree"]
     new = np.triu(np.ones((n, n), bool), 1)
     if rows[0]["block_a"] != rows[0]["block_b"]:
@@ -165,12 +182,17 @@ def verify(rows: list[dict], similarity: float, words: int, shift: int, known: d
         new &= block[:, None] != block[None, :]
     for t in range(tree):
         new &= prefix[:, t][:, None] != prefix[:, t][None, :]
+    if depth < LEVELS:
+        longer = signature >> BITS * (LEVELS - depth - 1)
+        for t in range(tree, longer.shape[1]):  # in earlier trees not even the shorter prefix agrees
+            new &= longer[:, t][:, None] != longer[:, t][None, :]
     links, least = np.zeros(n, np.int64), np.arange(n)
     if not new.any():
-        return links, least
+        return links, least, np.zeros(0)
     used = np.flatnonzero(new.any(axis=0) | new.any(axis=1))
     sets = [shingles(rows[i]["text"], known, words) for i in used.tolist()]
-    found = _pairs(sets, new[np.ix_(used, used)], similarity)
+    likeness = _pairs(sets, new[np.ix_(used, used)], similarity)
+    found = likeness > 0
     copies = np.array([rows[i]["copies"] for i in used.tolist()], np.int64)
     links[used] = found @ copies + found.T @ copies
     root = list(range(n))  # union to the least key; rows come sorted by key
@@ -183,21 +205,30 @@ def verify(rows: list[dict], similarity: float, words: int, shift: int, known: d
     for i, j in zip(*np.nonzero(found), strict=True):
         a, b = sorted((top(int(used[i])), top(int(used[j]))))
         root[b] = a
-    return links, np.array([top(i) for i in range(n)])
+    return links, np.array([top(i) for i in range(n)]), likeness[found]
+
 
+def _verified(work: DataFrame, similarity: float, words: int, depth: int) -> DataFrame:
+    """Rows of (set_key, links, root_key) from members sorted by node and block pair within a partition.
+
+    The first row of a node also has its number of linked pairs, and per depth
+    how many pairs like them are expected to stay unfound there (``unseen``).
+    """
+    kind = pa.schema([("set_key", pa.binary()), ("links", pa.int64()), ("root_key", pa.binary()), ("pairs", pa.int64()), ("unseen", pa.list_(pa.float64()))])
 
-def _verified(work: DataFrame, similarity: float, words: int, shift: int) -> DataFrame:
-    """Rows of (set_key, links, root_key) from members sorted by node and block pair within a partition."""
     def run(batches):
         held: list[dict] = []
         place, known = None, {}
 
         def done():
             held.sort(key=lambda r: r["set_key"])
-            links, least = verify(held, similarity, words, shift, known)
-            keep = np.flatnonzero((links > 0) | (least != np.arange(len(held))))
-            return pa.RecordBatch.from_pydict({"set_key": [held[i]["set_key"] for i in keep], "links": links[keep], "root_key": [held[least[i]]["set_key"] for i in keep]},
-                                              schema=pa.schema([("set_key", pa.binary()), ("links", pa.int64()), ("root_key", pa.binary())]))
+            links, least, likeness = verify(held, similarity, words, depth, known)
+            keep = np.flatnonzero(links > 0)
+            pairs, unseen = np.zeros(keep.size, np.int64), np.zeros((keep.size, LEVELS))
+            if keep.size:
+                pairs[0], unseen[0] = likeness.size, [(1 / meeting(likeness, d) - 1).sum() for d in range(1, LEVELS + 1)]
+            return pa.RecordBatch.from_pydict({"set_key": [held[i]["set_key"] for i in keep], "links": links[keep], "root_key": [held[least[i]]["set_key"] for i in keep],
+                                               "pairs": pairs, "unseen": unseen.tolist()}, schema=kind)
         for part in slices(batches, "text"):
             columns = {c: part.column(c).to_pylist() for c in part.schema.names if c != "text"}
             columns["text"] = texts(part, "text")
@@ -210,7 +241,7 @@ def _verified(work: DataFrame, similarity: float, words: int, shift: int) -> Dat
                 held.append(row)
         if len(held) > 1:
             yield done()
-    return work.mapInArrow(run, "set_key binary, links long, root_key binary")
+    return work.mapInArrow(run, "set_key binary, links long, root_key binary, pairs long, unseen array<double>")
 
 
 def _components(links: DataFrame, root: str) -> DataFrame:
@@ -234,38 +265,67 @@ def _components(links: DataFrame, root: str) -> DataFrame:
             return done.select(F.col("u").alias("set_key"), "label")
 
 
+def _dealt(sets: DataFrame, depth: int, block: int, block_bytes: int, root: str) -> DataFrame:
+    """Per class and node in which it may meet others anew at this depth: tree, prefix, block and the pair of blocks."""
+    spark = sets.sparkSession
+    nodes = sets.select("set_key", "size", F.posexplode("signature").alias("tree", "packed")).select(
+        "set_key", "size", "tree", F.shiftright("packed", BITS * (LEVELS - depth)).alias("prefix"))
+    met = nodes.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("bytes"), F.bit_xor(F.xxhash64("set_key")).alias("a"),
+                                              F.bit_xor(F.xxhash64(F.lit(3), "set_key")).alias("b")).where("members > 1")
+    same = ["members", "a", "b"]
+    once = met.groupBy(*same).agg(F.max("bytes").alias("bytes"), F.min(F.struct("tree", "prefix")).alias("node"))
+    once.write.parquet(f"{root}/nodes-{depth}")
+    once = spark.read.parquet(f"{root}/nodes-{depth}")
+    if depth < LEVELS:  # nodes that the shorter prefix hasn't changed bring no new pairs
+        once = once.join(spark.read.parquet(f"{root}/nodes-{depth + 1}").select(*same), same, "left_anti")
+    once.select("node.tree", "node.prefix", F.greatest(F.ceil(F.col("members") / block), F.ceil(F.col("bytes") / block_bytes)).cast("int").alias("blocks")).write.parquet(f"{root}/open-{depth}")
+    joined = nodes.join(spark.read.parquet(f"{root}/open-{depth}"), ["tree", "prefix"])
+    dealt = (joined.withColumn("block", F.pmod(F.xxhash64(F.lit(9), "set_key"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("set_key", "tree", "prefix", "block", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b")))
+    dealt.write.parquet(f"{root}/dealt-{depth}")
+    return spark.read.parquet(f"{root}/dealt-{depth}")
+
+
+def _work(source: DataFrame, sets: DataFrame, dealt: DataFrame, path: str) -> DataFrame:
+    """The dealt classes with a text of each, the rows of a node and block pair next to each other in one partition."""
+    spark = sets.sparkSession
+    sets.join(dealt.select("set_key").distinct(), "set_key", "left_semi").select("set_key", "copies", "text_key", "signature").write.parquet(path)
+    wanted = spark.read.parquet(path)
+    # copies are reduced before the shuffle; few keys are broadcast below the grouping
+    body = source.groupBy("text_key").agg(F.min("text").alias("text")).join(wanted.select("text_key"), "text_key", "left_semi").join(wanted, "text_key").drop("text_key")
+    keys = ["tree", "prefix", "block_a", "block_b"]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.join(body, "set_key").repartition(partitions, *keys).sortWithinPartitions(*keys)
+
+
+def _recall(verified: DataFrame, depth: int) -> float:
+    """Measured recall at a depth: linked pairs over linked and expected unseen ones; 0 where too few are linked."""
+    found = verified.agg(F.sum("pairs").alias("pairs"), F.sum(F.element_at("unseen", depth)).alias("unseen")).first()
+    return found["pairs"] / (found["pairs"] + found["unseen"]) if (found["pairs"] or 0) >= EVIDENCE else 0.0
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, words: int = WORDS,
-            recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+            recall: float = RECALL, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per copy class and id: text_key, set_key, doc_id, copies, group_id, n_links, group_key, and what picks a group's document."""
     spark = docs.sparkSession
     root = scratch_folder(spark, "ngram-join")
     signed(docs, id_col, text_col, words).write.parquet(f"{root}/signed")
     base = spark.read.parquet(f"{root}/signed")
-    shift = BITS * (LEVELS - depth_for(similarity, recall))
-
+    text = F.col(text_col).cast("string")
     base.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(
-        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.min("signature").alias("signature")).write.parquet(f"{root}/sets")
+        F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id"), F.min(F.struct("text_key", "size")).alias("one"), F.min("signature").alias("signature")).select(
+        "set_key", "copies", "least_id", "one.*", "signature").write.parquet(f"{root}/sets")
     sets = spark.read.parquet(f"{root}/sets")
-    nodes = sets.select("set_key", F.posexplode("signature").alias("tree", "packed")).select("set_key", "tree", F.shiftright("packed", shift).alias("prefix"))
-    met = nodes.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("set_key")).alias("a"), F.bit_xor(F.xxhash64(F.lit(3), "set_key")).alias("b")).where("members > 1")
-    once = met.groupBy("members", "a", "b").agg(F.min(F.struct("tree", "prefix")).alias("node")).select("node.tree", "node.prefix", "members")
-    joined = nodes.join(once, ["tree", "prefix"])
-    blocks = F.ceil(F.col("members") / block).cast("int")
-    dealt = (joined.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(F.lit(9), "set_key"), F.col("blocks")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("set_key", "tree", "prefix", "block", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b")))
-    dealt.write.parquet(f"{root}/dealt")
-    dealt = spark.read.parquet(f"{root}/dealt")
-    wanted = sets.join(dealt.select("set_key").distinct(), "set_key", "left_semi").select("set_key", "copies", "text_key", "signature")
-    text = F.col(text_col).cast("string")
-    body = (docs.select(text_digest(text).alias("text_key"), text.alias("text")).join(wanted, "text_key")
-            .groupBy("text_key", "set_key", "copies", "signature").agg(F.first("text").alias("text")).drop("text_key"))
-    work = dealt.join(body, "set_key")
-    keys = ["tree", "prefix", "block_a", "block_b"]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    work = work.repartition(partitions, *keys).sortWithinPartitions(*keys)
-    _verified(work, similarity, words, shift).write.parquet(f"{root}/verified")
-    verified = spark.read.parquet(f"{root}/verified")
+    source = docs.select(text_digest(text).alias("text_key"), text.alias("text"))
+    depth, last = LEVELS, depth_for(similarity, recall)
+    while True:
+        dealt = _dealt(sets, depth, block, block_bytes, root)
+        _verified(_work(source, sets, dealt, f"{root}/wanted-{depth}"), similarity, words, depth).write.parquet(f"{root}/verified-{depth}")
+        verified = spark.read.parquet(*[f"{root}/verified-{d}" for d in range(depth, LEVELS + 1)])
+        if depth <= last or _recall(verified, depth) >= recall:
+            break
+        depth -= 1
     label = _components(verified, root)
     count = verified.groupBy("set_key").agg(F.sum("links").alias("links"))
 
