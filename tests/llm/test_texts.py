@@ -209,22 +209,6 @@ def test_ngram_join_loses_no_link(spark, block):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({top(i) for i in range(len(texts))})
 
 
-@pytest.mark.parametrize("recall", [0.9, 0.9999999])
-def test_pairs_count_once_whatever_the_depth(spark, recall):
-    docs = frame(spark, mixed_texts(120, 9, vocabulary=200))
-    want = collected(ngram_join.report(docs))
-    assert collected(ngram_join.report(docs, recall=recall, block=5)) == want
-    assert collected(ngram_join.report(docs, block_bytes=2000)) == want
-
-
-def test_recall_is_measured_on_the_links_found(spark):
-    unseen = [[9.0, 9.0, 9.0, 9.0, float(k)] for k in range(3)]
-    links = spark.createDataFrame([(400, u) for u in unseen], "pairs long, unseen array<double>")
-    assert ngram_join._recall(links, ngram_join.LEVELS) == 1200 / 1203
-    assert ngram_join._recall(links.limit(2), ngram_join.LEVELS) == 0  # too few to tell
-    assert ngram_join._recall(links.limit(0), ngram_join.LEVELS) == 0
-
-
 def test_forest_depth_is_shortened_to_the_recall():
     assert ngram_join.depth_for(0.8, 0.5) == ngram_join.LEVELS
     assert 1 - (1 - 0.8 ** ngram_join.depth_for()) ** ngram_join.TREES >= ngram_join.RECALL
