@@ -22,10 +22,12 @@ on the input.
    ranges; a range's task merges them by binary search of each shard's strings
    among the others', which gives the repeats across shards.
 
-Scale: copies of a text are reduced to one row each; a text is shuffled once,
-and then only if it shares an anchor. Shards and ranges are bounded in bytes, so
-a passage in a third of all documents is spread over many tasks. Intermediate
-tables are in the shared scratch folder. Defined cases: null is empty text and
+Scale: only texts that hold a run with a shared anchor are sent on, their copies
+reduced to one row each, and once more to be cleaned. What these filters are made of (shared anchors, equal pieces, ids) is
+written first, so Spark broadcasts it where its size is small and joins by
+shuffle where it isn't. Shards and ranges are bounded in bytes, so a passage in a
+third of all documents is spread over many tasks. Intermediate tables are in the
+shared scratch folder. Defined cases: null is empty text and
 counts 0 bytes; texts shorter than ``LENGTH`` stay whole; repeated rows repeat
 each other; ids may be null or repeat; other columns pass by.
 """
@@ -171,11 +173,12 @@ def _runs(text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def fingerprints(flat: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """64-bit fingerprints of the strings at some places."""
+    """128-bit fingerprints of the strings at some places: two columns."""
     words = np.ndarray(flat.size, "<u8", flat.tobytes() + bytes(8), strides=(1,))
-    out = np.full(at.size, length, np.uint64)
+    out = np.full((at.size, 2), [length, length + 1], np.uint64)
     for j in [*range(0, length - 7, 8), length - 8]:
-        out = mix(out ^ words[at + j])
+        out[:, 0] = mix(out[:, 0] ^ words[at + j])
+        out[:, 1] = mix(out[:, 1] + words[at + j])
     return out
 
 
@@ -202,29 +205,29 @@ def _sort_shard(rows: list[dict], length: int) -> list[dict]:
         owner = np.array([(r["id_a"], r["id_b"]) for r in rows], np.int64)[piece[stands]]
         owner[~wanted] = 0
         start = np.where(wanted, np.array([r["start"] for r in rows], np.int64)[piece[stands]] + place[stands], -1)
-        order = np.argsort(keys)
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
         keys, owner, start = keys[order], owner[order], start[order]
         parts = dealt * RANGES
-        cut = np.searchsorted(keys, (np.arange(1, parts, dtype=np.float64) * (2.0 ** 64 / parts)).astype(np.uint64))
+        cut = np.searchsorted(keys[:, 0], (np.arange(1, parts, dtype=np.float64) * (2.0 ** 64 / parts)).astype(np.uint64))
         for part, (k, o, s) in enumerate(zip(np.split(keys, cut), np.split(owner, cut), np.split(start, cut), strict=True)):
             if k.size:
-                out.append({"anchor": rows[0]["anchor"], "part": part, "prints": k.tobytes(), "owners": o.tobytes(), "places": s.tobytes()})
+                out.append({"anchor": rows[0]["anchor"], "part": part, "prints": k.astype(">u8").tobytes(), "owners": o.tobytes(), "places": s.tobytes()})
     return out
 
 
 def _merge(group: pd.DataFrame) -> pd.DataFrame:
-    """Starts that are single in their own shard and found, by binary search, in another one."""
-    shards = [(np.frombuffer(p, np.uint64), np.frombuffer(o, np.int64).reshape(-1, 2), np.frombuffer(s, np.int64))
+    """Starts that are single in their own shard and found, by binary search, in another one.
+
+    A shard has each of its strings once, so one that stands twice in all shards' strings together is in two of them.
+    """
+    shards = [(np.frombuffer(p, "S16"), np.frombuffer(o, np.int64).reshape(-1, 2), np.frombuffer(s, np.int64))
               for p, o, s in zip(group["prints"], group["owners"], group["places"], strict=True)]
+    merged = np.sort(np.concatenate([keys for keys, _, _ in shards]), kind="stable")  # of sorted parts
     rows = []
-    for i, (keys, owner, start) in enumerate(shards):
+    for keys, owner, start in shards:
         wanted = np.flatnonzero(start >= 0)
-        found = np.zeros(wanted.size, bool)
-        for j, (other, _, _) in enumerate(shards):
-            if i != j:
-                at = np.searchsorted(other, keys[wanted])
-                found |= other[np.minimum(at, other.size - 1)] == keys[wanted]
-        hit = wanted[found]
+        after = np.searchsorted(merged, keys[wanted]) + 1
+        hit = wanted[(after < merged.size) & (merged[np.minimum(after, merged.size - 1)] == keys[wanted])]
         rows.append(pd.DataFrame({"id_a": owner[hit, 0], "id_b": owner[hit, 1], "start": start[hit]}))
     out = pd.concat(rows, ignore_index=True)
     out["starts"] = 1
@@ -271,19 +274,20 @@ def removed(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram:
     runs = landed(src.mapInArrow(cut, "id_a long, id_b long, start long, starts int, anchor long, kind long, several boolean"), "runs")
 
     shared = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("several").alias("several")).where("n > 1 or several").select("anchor")
-    runs = landed(runs.join(shared, "anchor", "left_semi"), "shared")
+    runs = landed(runs.join(landed(shared, "anchors"), "anchor", "left_semi"), "shared")
     kinds = landed(runs.groupBy("anchor", "kind", "starts").agg(F.count(F.lit(1)).alias("times"), F.max("several").alias("several"), F.min(F.struct("id_a", "id_b", "start")).alias("place")), "kinds")
-    equal = kinds.where("times > 1").select("anchor", "kind", "starts")
+    equal = landed(kinds.where("times > 1").select("anchor", "kind", "starts"), "equal")
     marks = [runs.join(equal, ["anchor", "kind", "starts"], "left_semi").select("id_a", "id_b", "start", F.col("starts").cast("long").alias("starts"))]
 
     size = F.col("starts").cast("long") + length - 1
-    mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.col("times") == 1).alias("single"), F.max("several").alias("any"), F.sum(size).alias("total")).where("single and (kinds > 1 or any)")
-    sent = (kinds.drop("several").join(mixed, "anchor").withColumn("shards", F.ceil(F.col("total") / shard_bytes).cast("int"))
+    mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.col("times") == 1).alias("single"), F.max("several").alias("any"), F.sum(size).alias("total")).where("single and (kinds > 1 or any)").select("anchor", "total")
+    sent = (kinds.drop("several").join(landed(mixed, "mixed"), "anchor").withColumn("shards", F.ceil(F.col("total") / shard_bytes).cast("int"))
             .select("place.*", "starts", "anchor", "kind", "times", "shards", F.pmod(F.xxhash64("kind"), F.col("shards")).cast("int").alias("shard")))
     wanted = sent.groupBy("id_a", "id_b").agg(F.collect_list(F.struct("start", "starts", "anchor", "times", "shards", "shard")).alias("pieces"))
-    touched = wanted.join(marks[0].select("id_a", "id_b").distinct(), ["id_a", "id_b"], "full_outer")
-    # one row a text; only texts that share an anchor go on
-    once = src.groupBy("id_a", "id_b").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    touched = landed(wanted.join(marks[0].select("id_a", "id_b").distinct(), ["id_a", "id_b"], "full_outer"), "touched")
+    # one row a text, copies are reduced before the shuffle; only texts that share an anchor go on
+    once = src.groupBy("id_a", "id_b").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    once = once.join(landed(touched.select("id_a", "id_b"), "ids"), ["id_a", "id_b"], "left_semi")  # small ids are broadcast below the grouping
     held = landed(once.join(touched, ["id_a", "id_b"]), "texts")
 
     def pieces(batches):
