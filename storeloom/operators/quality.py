@@ -18,6 +18,8 @@ from storeloom.sources.ordinal import rows_before
 ROW_RULES = (["date_format"] + [f"null_{c}" for c in GATE_REQUIRED_COLS]
              + ["revenue_not_numeric", "revenue_non_positive", "quantity_non_positive",
                 "category_invalid", "region_invalid"])
+#: Columns that rules, warnings and samples read.
+JUDGED_COLS = list(dict.fromkeys([*GATE_REQUIRED_COLS, "OrderID", "Date", "Revenue", "Quantity", "Cost", "Category", "Region", "CustomerSegment"]))
 WARNING_RULES = ["segment_unknown", "revenue_below_cost", "duplicate_order_id"]
 
 
