@@ -69,3 +69,46 @@ def test_landed_sales_files_hold_the_feed_in_order(spark):
     got = read_text_table(spark, path, SALES_RAW_COLUMNS, ordinal="_at").orderBy("_at").drop("_at").collect()
     want = Q.sales_staged(spark, SF_SMALL).orderBy("_ordinal").drop("_ordinal").collect()
     assert got == want and all(f.endswith(".gz") for f in os.listdir(path) if f.startswith("part-"))
+
+
+def _widest_window(df):
+    """Most columns that a window of the plan has as its input."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return max(plan.apply(i).output().size() for i in range(500) if plan.apply(i) is not None and plan.apply(i).nodeName() == "Window")
+
+
+def test_tests_of_the_fact_go_through_the_dedup_as_places_of_failed_ones(spark):
+    from storeloom.contracts import SALES_FACT_DECIMALS
+    from storeloom.operators import constraints as K
+    from storeloom.plans import clean as C
+    tests = K.row_tests(["order_id", "revenue"], K.length_limits("fact_marketing_sales"), K.overflow_of({d: f"src_{d}" for d in SALES_FACT_DECIMALS}, SALES_FACT_DECIMALS))
+    rows, last = Q.tested_sales(spark, SF_SMALL, tests)
+    assert rows.columns == ["order_id", "_ordinal", "drop_reason", "failed"] and last.columns == ["order_id", "failed"]
+    assert _widest_window(C.last_usable(rows)) < 8
+    clean = Q.clean_sales(spark, SF_SMALL)
+    assert last.count() == clean.count() and rows.count() == Q.sales_staged(spark, SF_SMALL).count()
+    fact = Q.FX.sales_fact(clean, tuple(clean[s].alias(f"src_{d}") for s, d in Q.S_FACT_SOURCES if d in SALES_FACT_DECIMALS))
+    want = K._counted(fact, "fact_marketing_sales", tests).collect()
+    assert K.failed_checks(last, "fact_marketing_sales", tests, "failed").collect() == want and sum(r["violations"] for r in want) > 0
+
+
+def test_values_beyond_a_decimal_as_the_cast_says(spark):
+    from pyspark.sql import functions as F
+    from storeloom.operators.constraints import beyond
+    values = [None, 0.0, 499.0, 500.0, -500.0, 999.994, 999.995, 999.996, -999.996, 1000.0, 1e300, float("nan"), float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    plain = F.col("v").isNotNull() & F.col("v").try_cast("decimal(5,2)").isNull()
+    got = df.select("v", beyond("v", "decimal(5,2)").alias("got"), plain.alias("want")).collect()
+    assert [r["got"] for r in got] == [r["want"] for r in got] and sum(r["want"] for r in got) >= 5
+
+
+def test_scans_of_staged_rows_are_many_small_tasks(spark):
+    from storeloom.session import SCAN_BYTES, _bytes, tune
+    assert [_bytes(x) for x in ("16m", "134217728b", "134217728", "1g", "64MB")] == [16 << 20, 128 << 20, 128 << 20, 1 << 30, 64 << 20]
+    own = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size, want in (("128m", SCAN_BYTES), ("4m", 4 << 20)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            assert _bytes(tune(spark).conf.get("spark.sql.files.maxPartitionBytes")) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", own)
