@@ -102,6 +102,19 @@ def test_values_beyond_a_decimal_as_the_cast_says(spark):
     assert [r["got"] for r in got] == [r["want"] for r in got] and sum(r["want"] for r in got) >= 5
 
 
+def test_names_shrink_to_combinations_before_they_are_exploded(spark):
+    from storeloom.operators.dims import names_by_dimension
+    df = spark.createDataFrame([("x", "a"), ("x", "a"), (None, "a"), ("y", None), (None, None)], "p string, q string")
+    names = names_by_dimension(df, {"one": "p", "two": "q", "three": "p"})
+    assert sorted(map(tuple, names.collect())) == [("one", "x"), ("one", "y"), ("three", "x"), ("three", "y"), ("two", "a")]
+    plan = names._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [p#" in plan.split("Generate", 1)[1]
+    G._LANDED.clear()
+    Q.q_dim_distinct(spark, SF_SMALL)
+    landed = [p for key, p in G._LANDED.items() if key[1] == "sales"]
+    assert len(landed) == 1 and len(spark.read.parquet(landed[0]).columns) == 11
+
+
 def test_scans_of_staged_rows_are_many_small_tasks(spark):
     from storeloom.session import SCAN_BYTES, _bytes, tune
     assert [_bytes(x) for x in ("16m", "134217728b", "134217728", "1g", "64MB")] == [16 << 20, 128 << 20, 128 << 20, 1 << 30, 64 << 20]
