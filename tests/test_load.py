@@ -263,3 +263,29 @@ def test_rows_beyond_the_contract_are_quarantined_with_reasons(spark):
     reasons = {r[0] for r in bad.select(F.explode("violations")).distinct().collect()}
     assert {"product longer than 150", "revenue beyond decimal(18,2)"} <= reasons
     assert bad.count() + wh.read("fact_marketing_sales").count() == C_clean(spark).count()
+
+
+def test_a_fact_publish_joins_whole_rows_with_the_target_alone(spark, monkeypatch):
+    plans, publish = [], L.Warehouse.publish
+
+    def noted(wh, table, df, *rest):
+        plans.append((table, df._jdf.queryExecution().optimizedPlan().toString()))
+        publish(wh, table, df, *rest)
+    monkeypatch.setattr(L.Warehouse, "publish", noted)
+    wh = L.run_load(spark, _root(spark), Q.sales_staged(spark, SF_SMALL))
+    L.run_load(spark, wh.root, Q.second_feeds(spark, SF_SMALL)[0])
+    first, second = [plan for table, plan in plans if table == "fact_marketing_sales"]
+    assert "Window" not in first + second
+    assert first.count("Join ") == 0 and second.count("Join ") == 1
+
+
+def test_keys_are_rejected_before_anything_is_written(spark):
+    import pytest
+    wh = L.Warehouse(spark, _root(spark))
+    row = _bad_fact(spark).first().asDict()
+    _publish_dates(spark, wh, row["full_date"])
+    schema = _bad_fact(spark).schema
+    for change, why in (({}, "primary_key order_id"), ({"order_id": row["order_id"] + 1, "stage_name": "nowhere"}, "foreign_key stage_name")):
+        with pytest.raises(ValueError, match=f"fact_marketing_sales rejected: {why}"):
+            L._merge_fact(wh, "fact_marketing_sales", spark.createDataFrame([row, row | change], schema))
+        assert not wh.exists("fact_marketing_sales") and not L.path_exists(spark, f"{wh.root}/_homes")
