@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from storeloom.functions.text import _col, strip
 
 ISO_PATTERN = r"^(\d{4}-\d{1,2}-\d{1,2})([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
-STRICT_ISO_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}$"
+STRICT_ISO_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2}\z"
 DMY_PATTERN = r"^\d{1,2}[/.-]\d{1,2}[/.-]\d{4}$"
+DMY_PARTS = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})\z"
 COMPACT_PATTERN = r"^\d{8}$"
 
 
@@ -31,10 +32,10 @@ def parse_date(c) -> Column:
 
 def date_from_stripped(t) -> Column:
     t = _col(t)
-    iso = F.try_to_date(F.regexp_extract(t, ISO_PATTERN, 1), "yyyy-M-d")
-    slashed = F.regexp_replace(t, r"[.-]", "/")
-    day_first = F.try_to_date(slashed, "d/M/yyyy")
-    month_first = F.try_to_date(slashed, "M/d/yyyy")
+    # a cast reads yyyy-M-d and ignores a time part; unlike a formatter it raises nothing inside for impossible dates
+    iso = t.try_cast("date")
+    day_first = F.regexp_replace(t, DMY_PARTS, "$3-$2-$1").try_cast("date")
+    month_first = F.regexp_replace(t, DMY_PARTS, "$3-$1-$2").try_cast("date")
     compact = F.try_to_date(t, "yyyyMMdd")
     return (
         F.when(t.rlike(ISO_PATTERN), iso)
@@ -46,7 +47,7 @@ def date_from_stripped(t) -> Column:
 def is_strict_iso_date(c) -> Column:
     """Value is a real date written ``yyyy-M-d`` (no blanks, no time)."""
     c = _col(c)
-    return c.rlike(STRICT_ISO_PATTERN) & F.try_to_date(c, "yyyy-M-d").isNotNull()
+    return c.rlike(STRICT_ISO_PATTERN) & c.try_cast("date").isNotNull()
 
 
 def calendar_columns(d) -> list[Column]:

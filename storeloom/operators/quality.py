@@ -57,12 +57,20 @@ def _warnings(df: DataFrame) -> list[tuple[str, Column]]:
     return out
 
 
+def _names(tests: list[tuple[str, Column]]) -> Column:
+    """The names of the tests that hold, in their order.
+
+    One-element arrays are put together: Spark generates code for that, while a filter
+    over an array of names is interpreted for each row, with all tests in it.
+    """
+    one = [F.array(F.lit(n)) for n, _ in tests]
+    return F.concat(*[F.when(t, a).otherwise(F.slice(a, 1, 0)) for a, (_, t) in zip(one, tests, strict=True)])
+
+
 def flag(df: DataFrame) -> DataFrame:
     """V2-V10 as arrays: ``failed_rules`` (row errors, fixed order) and ``warnings``."""
     check_columns(df)
-    failed = F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in _rules(df)]))
-    warned = F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in _warnings(df)]))
-    return df.withColumn("failed_rules", failed).withColumn("warnings", warned)
+    return df.withColumn("failed_rules", _names(_rules(df))).withColumn("warnings", _names(_warnings(df)))
 
 
 def _tenths_pct(n: Column, total: Column) -> Column:

@@ -604,7 +604,7 @@ def replayed(spark, sf):
     wh = P.Warehouse(spark, _scratch(spark, "warehouse"))
     clean, rejected = V.split(flagged_sales(spark, sf))
     L.quarantine(rejected, wh.root, "first")
-    fixes = {"Date": F.coalesce(F.date_format(X.parse_date("Date"), "yyyy-MM-dd"), F.col("Date")),
+    fixes = {"Date": F.coalesce(X.parse_date("Date").cast("string"), F.col("Date")),
              "Category": F.when(F.col("Category").isin(*VALID_CATEGORIES), F.col("Category")).otherwise(F.lit(VALID_CATEGORIES[0]))}
     return wh, clean, P.replay(wh, "first", fixes, "second")
 

@@ -175,3 +175,27 @@ def test_blank_weather_region_is_kept_and_reported(spark):
     cleaned = C.clean_weather(raw)
     assert sorted(r.region for r in cleaned.collect()) == ["", "North"]
     assert rows(N.blank_keys(cleaned, "fact_weather_daily", ["region"]), "violations") == [(1,)]
+
+
+def test_gate_rules_are_generated_code(spark):
+    cols = ["OrderID", "Date", "Region", "Product", "Category", "Quantity", "Revenue", "Cost", "Profit"]
+    own = spark.createDataFrame([("1", "2024-02-30", V.VALID_REGIONS[0], "p", None, "0", "x", "1", "1"),
+                                 ("2", "2024-2-9", V.VALID_REGIONS[0], "p", V.VALID_CATEGORIES[0], "1", "5", "9", "1")], ", ".join(f"{c} string" for c in cols))
+    flagged = V.flag(own)
+    assert rows(flagged, "failed_rules", "warnings") == [
+        (["date_format", "null_Category", "revenue_not_numeric", "quantity_non_positive"], []), ([], ["revenue_below_cost"])]
+    assert not flagged.schema["failed_rules"].dataType.containsNull
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan  # a lambda is interpreted, with the whole expression below it
+
+
+def test_dates_are_cast_not_formatted(spark):
+    from storeloom.functions import is_strict_iso_date, parse_date
+    texts = ["2024-02-29", "2024-2-30", "29/2/2024", "2.29-2024", "31.04.2024", "2024-1-5 10:00", "2024-1-5T1:22:33.5", "20240229", "0004-02-29", "2024-1-5\n", "1-1-2024x", None]
+    own = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").repartition(1).sortWithinPartitions("k")
+    got = own.select(parse_date("t").alias("d"), is_strict_iso_date("t").alias("strict"))
+    leap, fifth = dt.date(2024, 2, 29), dt.date(2024, 1, 5)
+    assert rows(got) == [(leap, True), (None, False), (leap, False), (leap, False), (None, False), (fifth, False), (fifth, False), (leap, False),
+                         (dt.date(4, 2, 29), True), (fifth, False), (None, False), (None, False)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("gettimestamp") <= 2  # the compact form alone (its two mentions at most)
