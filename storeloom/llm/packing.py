@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from itertools import chain, repeat
 
@@ -41,6 +42,12 @@ GROUP_WINDOWS = 192
 BYTES_KEPT, ENTRY_BYTES = 144 << 20, 260
 
 
+#: Letters that the tokenizer's normalizer and pre-tokenizer keep in one run: ASCII's and Latin-1's, in UTF-8.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+#: ASCII's signs: at the end of a word, a run of its own to the pre-tokenizer.
+_SIGNS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
+
+
 class WordTokenizer:
     """Ids of whole texts, by way of the ids of their words between ASCII white space.
 
@@ -49,8 +56,8 @@ class WordTokenizer:
     that change no ids make words repeat more often: words of ASCII alone are put
     in lower case (not where a special token may stand, whose case matters; other
     words stay as they are, since the tokenizer composes letters and marks before it
-    lower-cases, and some pairs compose in one case only), and a new word that ends in punctuation after an ASCII letter or digit is encoded
-    as the two parts that the pre-tokenizer would make of it.
+    lower-cases, and some pairs compose in one case only), and a new word that ends in ASCII signs after a letter of ASCII or Latin-1 or a digit
+    is encoded as the two parts that the pre-tokenizer would make of it (not where a special token may stand).
     """
 
     def __init__(self, path: str, keep: int = BYTES_KEPT):
@@ -66,10 +73,10 @@ class WordTokenizer:
 
     def _clear(self) -> None:
         self.number: dict[bytes, int] = {}  # a word's place in ``pair``
-        self.pair = np.empty((0, 2), np.int64)  # its parts; part 0 is empty
+        self.pair = np.empty((0, 2), np.int32)  # its parts; part 0 is empty
         self.part: dict[bytes, int] = {b"": 0}
         self.flat = np.empty(0, np.uint32)  # the parts' ids
-        self.ends = np.zeros(2, np.int64)
+        self.starts, self.sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.held = 0
 
     def _ids(self, parts: list[str], together: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -87,14 +94,14 @@ class WordTokenizer:
         """Numbers, parts and ids for new words."""
         part, stems, tails, plain, other = self.part, [], [], {}, {}
         for w in fresh:
-            stem = w.rstrip(b".,;:!?")
-            if not (stem and len(stem) < len(w) and stem[-1:].isalnum()):
+            stem = w.rstrip(_SIGNS)
+            if len(stem) < len(w) and (b"<|" in w or not (stem[-1:].isalnum() or _LETTERS.fullmatch(stem))):
                 stem = w
             tail = w[len(stem):]
             stems.append(stem)
             tails.append(tail)
             if stem not in part:
-                (plain if stem.isalpha() else other)[stem] = None
+                (plain if _LETTERS.fullmatch(stem) else other)[stem] = None
             if tail not in part:
                 other[tail] = None
         for new, together in ((list(plain), True), (list(other), False)):
@@ -102,34 +109,40 @@ class WordTokenizer:
             base = len(part)
             part.update(zip(new, range(base, base + len(new)), strict=True))
             self.held += sum(map(len, new)) + 4 * ids.size + ENTRY_BYTES // 2 * len(new)
+            self.starts = np.concatenate([self.starts, self.flat.size + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
             self.flat = np.concatenate([self.flat, ids])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
         base = len(self.number)
         self.held += sum(map(len, fresh)) + ENTRY_BYTES // 2 * len(fresh)
         self.number.update(zip(fresh, range(base, base + len(fresh)), strict=True))
-        self.pair = np.concatenate([self.pair, np.stack([np.fromiter(map(part.__getitem__, own), np.int64, len(own)) for own in (stems, tails)], axis=1)])
+        self.pair = np.concatenate([self.pair, np.stack([np.fromiter(map(part.__getitem__, own), np.int32, len(own)) for own in (stems, tails)], axis=1)])
+
+    @staticmethod
+    def _words(text: bytes) -> list[bytes]:
+        """The text's words as they are looked up."""
+        low = text if b"<|" in text else text.lower()
+        if low == text or text.isascii():
+            return low.split()
+        return [a if a.isascii() else w for a, w in zip(low.split(), text.split(), strict=True)]
 
     def encode(self, rows: list[bytes], close: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``close``; and the offsets of their starts."""
         if self.held > self.keep:
             self._clear()
-        split = [t.split() if b"<|" in t else t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()] for t in rows]
+        split = [self._words(t) for t in rows]
         every = list(chain.from_iterable(split))
         found = np.fromiter(map(self.number.get, every, repeat(-1)), np.int64, len(every))
         missing = np.flatnonzero(found < 0).tolist()
         if missing:
             self._learn(list({every[i] for i in missing}))
             found[missing] = [self.number[every[i]] for i in missing]
-        # two parts a word; one further part a text, -1, stands for the closing id
-        sizes = 2 * np.fromiter(map(len, split), np.int64, len(rows))
-        part = np.full(2 * len(every) + len(rows), -1, np.int64)
-        part[np.arange(2 * len(every)) + np.repeat(np.arange(len(rows)), sizes)] = self.pair[found].ravel()
-        n = np.where(part < 0, 1, np.diff(self.ends)[part])
+        part = self.pair[found].ravel()  # two parts a word
+        n = self.sizes[part]
         until = np.cumsum(n)
-        at = np.arange(int(until[-1]) if until.size else 0) - np.repeat(until - n - np.where(part < 0, 0, self.ends[part]), n)
-        ids = self.flat[at] if self.flat.size else np.zeros(at.size, np.uint32)
-        ids[until[part < 0] - 1] = close
-        return ids, np.concatenate(([0], until[part < 0]))
+        at = np.arange(int(until[-1]) if until.size else 0) + np.repeat(self.starts[part] - until + n, n)
+        last = np.concatenate(([0], until))[2 * np.cumsum(np.fromiter(map(len, split), np.int64, len(rows)))]
+        ids = np.insert(self.flat[at], last, close) if self.flat.size else np.full(len(rows), close, np.uint32)
+        return ids, np.concatenate(([0], last + np.arange(1, len(rows) + 1)))
 
 
 def difference(sizes: list[int], k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -381,6 +381,20 @@ def test_capitals_that_compose_in_one_case_only_keep_their_ids():
         assert ids[lo:hi].tolist() == [*model.encode(t, add_special_tokens=False).ids, 1], t
 
 
+def test_signs_and_latin_letters_at_a_words_end_are_learnt_apart():
+    from tokenizers import Tokenizer
+    path = tokenizer("word_bpe_49k.json")
+    model, words = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    # one word a text: each way to end after letters, digits and signs, alone and beside special tokens
+    stems = ["queue", "ciónboll", "ñññ", "ß", "Éa", "x²", "a1", "日本", "e\u0301", "don't", "'s", "<|endoftext", "a<|endoftext|>", "ﬁ", "×"]
+    texts = [stem + tail for stem in stems for tail in ("", "$$$", ".***", "'", "'s", "='", "<|", "|>", "\u0338", "=\u0338", "ñ,", "!!)")]
+    ids, starts = words.encode([t.encode() for t in texts], 1)
+    for t, lo, hi in zip(texts, starts[:-1], starts[1:], strict=True):
+        assert ids[lo:hi].tolist() == [*model.encode(t, add_special_tokens=False).ids, 1], t
+    assert {"queue".encode(), "ciónboll".encode(), "ñññ".encode(), b"$$$", b".***"} <= set(words.part)
+    assert not {"queue$$$".encode(), "ñññ.***".encode()} & set(words.part)  # an end of its own isn't encoded again with each word
+
+
 def test_a_large_benchmark_is_in_memory_one_block_at_a_time(spark, monkeypatch):
     made, make = [], type(spark.sparkContext).broadcast
 
