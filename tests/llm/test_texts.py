@@ -395,6 +395,29 @@ def test_signs_and_latin_letters_at_a_words_end_are_learnt_apart():
     assert not {"queue$$$".encode(), "ñññ.***".encode()} & set(words.part)  # an end of its own isn't encoded again with each word
 
 
+def test_words_are_looked_up_once_a_slice_and_kept_by_their_parts():
+    from tokenizers import Tokenizer
+    path = tokenizer("word_bpe_49k.json")
+    model, words = Tokenizer.from_file(path), packing.WordTokenizer(path)
+    asked = []
+
+    class Counted(dict):
+        def get(self, key, *default):
+            asked.append(key)
+            return super().get(key, *default)
+    words.part = Counted(words.part)
+    texts = ["Queue queue, QUEUE... ciónboll " * 500, "", "  ", "\x1cqueue\x85 queue\x0b\x0cqueue\u00a0queue\u2003. \x00 \t", "QUEUE<|ENDOFTEXT|> queue<|endoftext|>,"]
+    ids, starts = words.encode([t.encode() for t in texts], 1)
+    for t, lo, hi in zip(texts, starts[:-1], starts[1:], strict=True):
+        assert ids[lo:hi].tolist() == [*model.encode(t, add_special_tokens=False).ids, 1], t
+    assert len(asked) < 20  # not once a word
+    held = words.held
+    words.encode([b"Queue... QUEUE, queue... ci\xc3\xb3nboll, ci\xc3\xb3nboll..."], 1)
+    assert words.held == held  # other words of the same parts take no room
+    ids, starts = words.encode([b"queue\xff, \xc3 x", "queue\ufffd, \ufffd x".encode()], 1)  # bytes that are no UTF-8
+    assert ids[:starts[1]].tolist() == ids[starts[1]:].tolist()
+
+
 def test_a_large_benchmark_is_in_memory_one_block_at_a_time(spark, monkeypatch):
     made, make = [], type(spark.sparkContext).broadcast
 
