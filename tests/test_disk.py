@@ -5,11 +5,13 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from storeloom import session
 from storeloom.contracts import SALES_RAW_COLUMNS
 from storeloom.plans import deliveries as P
 from storeloom.plans import load as L
 from storeloom.plans import queries as Q
-from storeloom.session import _CLEANUP, ensure_checkpoint_dir
+from storeloom.plans import warehouse as W
+from storeloom.session import _CLEANUP
 from storeloom.sources.staging import land
 
 
@@ -37,8 +39,19 @@ def test_a_landed_plan_leaves_no_shuffle_files(spark):
     assert sorted(r["count"] for r in frame.collect()) == [142] + [143] * 6  # the caller's own frame is as it was
 
 
-def test_a_load_leaves_its_warehouse_only(spark):
-    kept = set(os.listdir(ensure_checkpoint_dir(spark)))
+def _folders(monkeypatch):
+    """The passing folders that are made from here on."""
+    made, own = [], session.scratch_folder
+
+    def maker(spark, name):
+        made.append(own(spark, name))
+        return made[-1]
+    monkeypatch.setattr(session, "scratch_folder", maker)
+    return made
+
+
+def test_a_load_leaves_its_warehouse_only(spark, monkeypatch):
+    made = _folders(monkeypatch)
     root = tempfile.mkdtemp()
     wh = L.run_load(spark, root, _sales(spark, [1, 2, 2, 3]))
     assert wh.read("fact_marketing_sales").count() == 3
@@ -46,7 +59,8 @@ def test_a_load_leaves_its_warehouse_only(spark):
     assert {r["order_id"]: int(r["revenue"]) for r in wh.read("fact_marketing_sales").collect()} == {1: 10, 2: 10, 3: 20, 4: 20}
     blocked, counts = L.gate_and_load(spark, tempfile.mkdtemp(), _sales(spark, [5, 6]), auto_filter=False)  # they lack a cost
     assert blocked is None and (counts["upload_rows"], counts["rejected_rows"]) == (2, 2)
-    assert set(os.listdir(ensure_checkpoint_dir(spark))) == kept
+    names = {os.path.basename(d).rsplit("-", 1)[0] for d in made}
+    assert names == {"clean", "merged-fact_marketing_sales", "flagged-upload"} and not any(map(os.path.exists, made))
 
 
 def _plans(monkeypatch, module, name, place):
@@ -62,10 +76,9 @@ def _plans(monkeypatch, module, name, place):
 
 def test_rows_are_dealt_to_months_after_the_join_with_the_target_has_ended(spark, monkeypatch):
     wh = L.run_load(spark, tempfile.mkdtemp(), _sales(spark, [1, 2]))
-    seen = _plans(monkeypatch, L.Warehouse, "publish", 2)
+    seen = _plans(monkeypatch, W, "land", 0)
     L.run_load(spark, wh.root, _sales(spark, [2, 3], "20"))
-    plan = [p for args, p in seen if args[1] == "fact_marketing_sales"]
-    assert len(plan) == 1 and "Join" not in plan[0]
+    assert len(seen) == 1 and "/merged-fact_marketing_sales-" in seen[0][0][1] and "Join" in seen[0][1]  # what is published is read from there
     assert {r["order_id"]: int(r["revenue"]) for r in wh.read("fact_marketing_sales").collect()} == {1: 10, 2: 20, 3: 20}
 
 
@@ -82,9 +95,9 @@ def test_the_sales_files_are_sorted_after_their_joins_have_ended(spark, monkeypa
         "nation": "SELECT 1 AS n_nationkey, 'N' AS n_name, 2 AS n_regionkey"}
     for name, sql in tables.items():
         spark.sql(sql).coalesce(1).write.parquet(f"{sf}/{name}.parquet")
-    seen = _plans(monkeypatch, text, "write_text_table", 0)
+    seen, made = _plans(monkeypatch, text, "write_text_table", 0), _folders(monkeypatch)
     path = Q.landed_sales_files(spark, sf)
     assert len(seen) == 1 and "Sort" in seen[0][1] and "Join" not in seen[0][1]
     got = text.read_text_table(spark, path, SALES_RAW_COLUMNS, ordinal="_at").orderBy("_at").drop("_at").collect()
     assert got == Q.sales_staged(spark, sf).orderBy("_ordinal").drop("_ordinal").collect() and len(got) == 5
-    assert not [d for d in os.listdir(ensure_checkpoint_dir(spark)) if d.startswith("sales-join")]
+    assert [d for d in made if "/sales-join-" in d] and not any(os.path.exists(d) for d in made if "/sales-join-" in d)
